@@ -21,7 +21,7 @@ from .common import bounded, materialise
 from .components import Forest, connected_components
 
 #: Pivots of a vector's description, and how many of them a candidate must share.
-NEAREST, SHARED = 8, 3
+NEAREST, SHARED = 8, 2
 #: Vectors in a block of a list.
 BLOCK = 4_096
 #: Pivots at most; they are sent to all tasks.

@@ -2,8 +2,8 @@
 
 The kernel counts the common subsequences of ``LENGTH`` characters of two
 fragments, also gapped ones, each weighing ``DECAY`` for every character it skips
-on either side; subsequences that skip more than ``GAPS`` characters are left
-out.  A linear support vector machine is trained on the Nyström features of
+on either side; subsequences that skip more than ``GAPS`` characters or end with two
+gaps between words are left out.  A linear support vector machine is trained on the Nyström features of
 labelled fragments.  Its decision is a weighted sum of kernels with landmarks and
 so a sum of one weight for each subsequence of a fragment; these weights are
 tabulated, and a whole text is scored in one pass over its windows.
@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from .common import chunks
 from .mixing import HASH_BITS, hash_of
 
-LENGTH, GAPS, DECAY = 4, 3, 0.6
+LENGTH, GAPS, DECAY = 4, 3, 0.8
 #: Characters of a window, the unit that is scored; a sentence is cut into windows at its words.
 WINDOW = 10
-#: Labelled rows that the machine is trained on at most, about, for each label; chosen by hash.
+#: Toxic rows that the machine is trained on, about, at most, and twice as many others; chosen by hash.
 SAMPLE_ROWS = 1_500
 #: Longer texts aren't used for training.
 TRAIN_CHARS = 20_000
@@ -54,7 +54,8 @@ _TO = _symbols()
 def encode(at: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all rows and their offsets; upper case counts as lower, runs of other characters as one gap.
 
-    Every row starts and ends with a gap.
+    Every row starts with a gap and ends with as many as a window is long, so that
+    no window of it reaches the next row.
     """
     text = raw.copy()
     upper = np.flatnonzero((text[1:] >= 0x80) & (text[1:] < 0x9F) & (text[:-1] == 0xC3)) + 1
@@ -73,7 +74,11 @@ def encode(at: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     last[edge[:-1][edge[:-1] < len(s)]] = False
     keep &= ~last
     counts = np.concatenate([[0], np.cumsum(keep)])
-    return real[keep], counts[edge]
+    ends = counts[edge]
+    size = ends[-1] + rows * WINDOW
+    out = np.zeros(size, np.uint8)
+    out[np.arange(ends[-1]) + WINDOW * np.repeat(np.arange(rows), np.diff(ends))] = real[keep]
+    return out, ends + WINDOW * np.arange(rows + 1)
 
 
 def codes(s: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
@@ -94,26 +99,26 @@ class Machine:
     middle: float
 
     def windows(self, s: np.ndarray) -> np.ndarray:
-        """Decision of the window that starts at each position; symbols of several rows may follow each other."""
-        each = np.zeros(len(s), np.float32)
-        for o, weight in OFFSETS:
-            each += np.float32(weight) * self.table[codes(s, o)]
-        sums = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
-        # subsequences that leave the window aren't counted
-        n = len(s)
-        starts = WINDOW - LENGTH + 1
-        ends = np.minimum(np.arange(n) + starts, n)
-        return sums[ends] - sums[:n]
+        """Decision of the window that starts at each position, over the subsequences that stay inside it."""
+        n, total = len(s), np.zeros(len(s))
+        for last in sorted({o[-1] for o, _ in OFFSETS}):
+            each = np.zeros(n, np.float32)
+            for o, weight in OFFSETS:
+                if o[-1] == last:
+                    each += np.float32(weight) * self.table[codes(s, o)]
+            sums = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
+            total += sums[np.minimum(np.arange(n) + WINDOW - last, n)] - sums[:n]
+        return total
 
     def best(self, s: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The highest decision of the windows that start at a word or at the start of each row."""
+        if len(at) == 1:
+            return np.zeros(0)
         value = self.windows(s)
-        lead = s == 0  # windows start at a word
-        value = np.where(lead, value, -np.inf)
-        out = np.zeros(len(at) - 1)
-        some = at[:-1] < at[1:]
-        if some.any():
-            out[some] = np.maximum.reduceat(value, at[:-1][some])
-        return out
+        lead = s == 0
+        lead[:-1] &= s[1:] != 0
+        lead[at[:-1]] = True
+        return np.maximum.reduceat(np.where(lead, value, -np.inf), at[:-1])
 
     def score(self, best: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (best - self.middle), -30, 30)))
@@ -127,13 +132,9 @@ def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _windows_of(s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows that start at a word of every row (as rows of symbols, gaps after the end), and their rows."""
-    starts = np.flatnonzero(s == 0)
+    starts = np.flatnonzero((s[:-1] == 0) & (s[1:] != 0))
     row = np.searchsorted(at, starts, "right") - 1
-    inside = starts + 1 < at[row + 1]
-    starts, row = starts[inside], row[inside]
-    cols = starts[:, None] + np.arange(WINDOW)
-    out = np.where(cols < at[row + 1][:, None], s[np.minimum(cols, len(s) - 1)], 0)
-    return out.astype(np.uint8), row
+    return s[starts[:, None] + np.arange(WINDOW)], row
 
 
 def _features(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,6 +159,7 @@ def _kernels(codes_: np.ndarray, weights: np.ndarray, marks: np.ndarray) -> np.n
     table = np.zeros(SYMBOLS**LENGTH, np.float32)
     for j, m in enumerate(marks):
         np.add.at(table, m, weights)
+        table[:: SYMBOLS**2] = 0
         out[:, j] = table[codes_] @ weights
         table[m] = 0
     return out
@@ -181,9 +183,10 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1_00
 
 
 def _loosened(w: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The same windows with a gap or a chance character put into their words, cut to size."""
-    out = np.zeros_like(w)
-    for k, row in enumerate(w):
+    """The same windows with gaps, and with a chance character, put into their words, cut to size."""
+    out = np.zeros((2 * len(w), w.shape[1]), w.dtype)
+    for k in range(len(out)):
+        row = w[k // 2]
         end = 1 + int(np.argmax(row[1:] == 0)) if (row[1:] == 0).any() else len(row)
         if k % 2:
             word = [x for c in row[1:end] for x in (c, 0)]
@@ -207,8 +210,10 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
     if not y.any() or y.all():
         return Machine(np.zeros(SYMBOLS**LENGTH, np.float32), 1.0, -20.0 if y.any() else 20.0)
     rng = np.random.default_rng(seed)
-    held = np.arange(len(y)) % 4 == 3
-    if not (y & ~held).any() or not (~y & ~held).any():
+    held = np.zeros(len(y), bool)
+    for own in (np.flatnonzero(y), np.flatnonzero(~y)):
+        held[own[3::4]] = True
+    if not held[y].any() or not held[~y].any():
         held[:] = False
     fit = np.flatnonzero(~held)
     s, at = _rows([texts[i] for i in fit])
@@ -227,6 +232,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
     n_yes, n_no = max(1, y[fit].sum()), max(1, (~y[fit]).sum())
     odds = np.log((in_yes + 0.5) / (n_yes + 1)) - np.log((in_no + 0.5) / (n_no + 1))
     odds[in_yes < 3] = 0
+    odds[:: SYMBOLS**2] = 0
     value = odds[dense].sum(1)
     clean = np.zeros(len(w), bool)
     clean[back[~yes]] = True
@@ -246,8 +252,8 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         bad = np.unique(np.concatenate([hard, rest]))
         extra, _ = _features(_loosened(w[good], rng))
         x = np.concatenate([near[good], extra, near[bad]])
-        label = np.concatenate([np.ones(2 * len(good)), -np.ones(len(bad))])
-        many = np.concatenate([often, 0.5 * often, np.ones(len(bad))]).astype(np.float64)
+        label = np.concatenate([np.ones(3 * len(good)), -np.ones(len(bad))])
+        many = np.concatenate([often, np.repeat(0.25 * often, 2), np.ones(len(bad))]).astype(np.float64)
         many[label > 0] *= len(bad) / many[label > 0].sum()
         order = np.argsort(-often, kind="stable")
         marks = np.concatenate([near[good[order[: LANDMARKS * 3 // 4]]], near[rng.choice(bad, min(len(bad), LANDMARKS // 4), replace=False)]])
@@ -262,6 +268,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         table = np.zeros(SYMBOLS**LENGTH, np.float32)
         for a, m in zip(alpha, marks, strict=True):
             np.add.at(table, m, np.float32(a) * weights)
+        table[:: SYMBOLS**2] = 0
         machine = Machine(table, 1.0, 0.0)
         value = (table[near] @ weights).astype(np.float64) + bias
     use = np.flatnonzero(held) if held.any() else fit
@@ -292,14 +299,14 @@ def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id") -> Machine:
-    """Machine from documents (key, text) and labels (key, toxic), on at most about ``sample_rows`` of each label.
+    """Machine from documents (key, text) and labels (key, toxic), on about ``sample_rows`` toxic rows and twice as many others at most.
 
     Rows with a null key, text or label, and texts of more than ``TRAIN_CHARS``
     characters, aren't used.  The rows are chosen by the hash of the key.
     """
     known = labels.where(f"`{key}` is not null and toxic is not null").select(F.col(key).alias("key"), (F.col("toxic") > 0).cast("int").alias("toxic")).distinct()
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    upto = {t: int(min(1.0, sample_rows / n) * (1 << HASH_BITS)) for t, n in sizes.items()}
+    upto = {t: int(min(1.0, (2 - t) * sample_rows / n) * (1 << HASH_BITS)) for t, n in sizes.items()}
     limit = F.when(F.col("toxic") == 1, upto.get(1, 0)).otherwise(upto.get(0, 0))
     chosen = known.where(hash_of(F.col("key")) < limit).limit(4 * sample_rows)
     rows = docs.select(F.col(key).alias("key"), "text").where(f"length(text) <= {TRAIN_CHARS}")
