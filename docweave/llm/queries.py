@@ -13,6 +13,7 @@ from .decontaminate import contamination
 from .mixing import mix
 from .pivots import near_vectors
 from .simhash import hexed, near_duplicates
+from .suffixes import remove_repeats
 from .tokens import histogram_of
 from .urls import judge
 
@@ -52,6 +53,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[number(k).alias(f"n_{k}") for k in base], F.sha2(of_base, 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"), least=400)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     left = langid.remainder(F.col("doc_id"), 3)
