@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import buffers, materialise
 from .components import Forest, connected_components
+from .words import mixed
 
 #: Fingerprints in a block of a tile; a pair of blocks is one group of a task.
 BLOCK = 65_536
@@ -33,9 +34,14 @@ def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
     A-Z count as a-z.  Words are runs without ASCII white space.  Fewer words than
     ``shingle`` make one shingle, no words make 0.
     """
+    return int(fingerprints(text, shingle, 1, seed)[0])
+
+
+def fingerprints(text: bytes, shingle: int, width: int, seed: int = 42) -> np.ndarray:
+    """``width`` words of 64 bits; the first takes the hashes as they are, others spread them anew."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(width, np.uint64)
     n = len(words)
     if n <= shingle:
         hashes = [xxhash.xxh64_intdigest(b" ".join(words), seed)]
@@ -45,31 +51,34 @@ def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
         starts = np.concatenate([[0], ends[: n - shingle]]).tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(flat[i:j], seed) for i, j in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
-    votes, total = np.zeros(64, np.int64), len(hashes)
+    votes, total = np.zeros((width, 64), np.int64), len(hashes)
     values = np.array(hashes, np.uint64)
     for at in range(0, total, 65_536):
         part = values[at : at + 65_536]
-        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > total, bitorder="little").view(np.uint64)[0])
+        for k in range(width):
+            bits = part if not k else mixed(part + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15))
+            votes[k] += np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(votes * 2 > total, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def simhash(docs: DataFrame, shingle: int = 5, text: str = "text", fp: str = "fp") -> DataFrame:
+def simhash(docs: DataFrame, shingle: int = 5, text: str = "text", fp: str = "fp", width: int = 1) -> DataFrame:
     """``docs`` without ``text``, with the fingerprint of it as a long (two's complement).
 
-    Null texts count as empty.  Rows are kept as they are, repeated ones too.
+    More than one word of ``width`` adds ``more``, an array of the others.  Null
+    texts count as empty.  Rows are kept as they are, repeated ones too.
     """
     keep = [c for c in docs.columns if c != text]
-    schema = docs.select(*keep, F.lit(0).cast("long").alias(fp)).schema
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, raw = buffers(batch.column(batch.num_columns - 1))
-            data = raw.tobytes() if len(raw) < (64 << 20) else memoryview(raw)
-            out = [fingerprint(bytes(data[i:j]), shingle) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            found = pa.array(np.array(out, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*keep, fp])
+            out = [fingerprints(raw[i:j].tobytes(), shingle, width) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            found = np.array(out, np.uint64).reshape(-1, width).view(np.int64)
+            cols = [pa.array(found[:, 0])] + ([pa.array(found[:, 1:].tolist(), pa.list_(pa.int64()))] if width > 1 else [])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=[*keep, fp, *["more"][: width - 1]])
 
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return docs.select(*keep, text).mapInArrow(run, f"{fields}{fp} long{', more array<long>' if width > 1 else ''}")
 
 
 def _parts(values: np.ndarray, parts: int) -> np.ndarray:
@@ -111,38 +120,52 @@ def within(left: np.ndarray, right: np.ndarray | None, radius: int) -> Iterator[
                     yield x[i], part[j]
 
 
-def hamming_forest(values: DataFrame, radius: int, fp: str = "fp", block: int = BLOCK) -> DataFrame:
-    """Links (a, b) that connect what is linked at ``radius`` bits or fewer; ``values`` has distinct fps.
+def hamming_forest(values: DataFrame, radius: int, total: int = 0, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that connect what is linked; ``values`` has (id, fp, more) or distinct (fp), its own id.
 
-    The links of a tile pair are returned as a spanning forest of it.
+    Rows are linked if their fps differ in ``radius`` bits or fewer and, with
+    ``more``, all words together in ``total`` bits or fewer.  The links of a tile
+    pair are returned as a spanning forest of it.
     """
+    fp, wide = "fp", "more" in values.columns
+    if not wide:
+        values = values.select(F.col("fp").alias("id"), "fp")
+    also = ["more"] if wide else []
     tile = F.bit_count(F.col(fp)).cast("int")
     sizes = values.groupBy(tile.alias("t")).count().collect()  # 65 rows at most
     blocks = {r["t"]: -(-r["count"] // block) for r in sizes}
     if not blocks:
         return values.sparkSession.createDataFrame([], "a long, b long")
     have = F.create_map(*[F.lit(x) for t, n in blocks.items() for x in (t, n)])
-    mine = F.pmod(F.xxhash64(F.col(fp), F.lit(7)), have[tile]).cast("int")
-    rows = values.select(F.col(fp).alias("fp"), tile.alias("t"), mine.alias("n"))
+    mine = F.pmod(F.xxhash64("id", F.lit(7)), have[tile]).cast("int")
+    rows = values.select("id", "fp", *also, tile.alias("t"), mine.alias("n"))
     others = F.filter(F.sequence(F.col("t") - radius, F.col("t") + radius), lambda t: have[t].isNotNull())
     pairs = F.flatten(F.transform(others, lambda t: F.transform(F.sequence(F.lit(0), have[t] - 1), lambda n: F.struct(t.alias("t"), n.alias("n")))))
     me = F.struct("t", "n")
-    dealt = rows.select("fp", me.alias("me"), F.explode(pairs).alias("it"))
-    dealt = dealt.select("fp", F.least("me", "it").alias("lo"), F.greatest("me", "it").alias("hi"), (F.col("me") > F.col("it")).alias("second"))
+    dealt = rows.select("id", "fp", *also, me.alias("me"), F.explode(pairs).alias("it"))
+    dealt = dealt.select("id", "fp", *also, F.least("me", "it").alias("lo"), F.greatest("me", "it").alias("hi"), (F.col("me") > F.col("it")).alias("second"))
 
     def compare(table: pa.Table) -> pa.Table:
         fps = table.column("fp").to_numpy().view(np.uint64)
         second = table.column("second").to_numpy(zero_copy_only=False)
         forest = Forest(len(fps))
         x, y = np.flatnonzero(~second), np.flatnonzero(second)
+        rest = np.array(table.column("more").to_pylist(), np.int64).view(np.uint64) if wide else None
+
+        def link(i: np.ndarray, j: np.ndarray) -> None:
+            if wide:
+                near = np.bitwise_count(fps[i] ^ fps[j]) + np.bitwise_count(rest[i] ^ rest[j]).sum(1) <= total
+                i, j = i[near], j[near]
+            forest.link(i, j)
+
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         if lo == hi:
             for i, j in within(fps, None, radius):
-                forest.link(i, j)
+                link(i, j)
         elif len(x) and len(y):
             for i, j in within(fps[x], fps[y], radius):
-                forest.link(x[i], y[j])
-        a, b = forest.edges(fps.view(np.int64))
+                link(x[i], y[j])
+        a, b = forest.edges(table.column("id").to_numpy())
         return pa.table({"a": a, "b": b})
 
     return dealt.groupBy("lo", "hi").applyInArrow(compare, "a long, b long")
@@ -170,8 +193,26 @@ def components_of(rows: DataFrame, radius: int) -> DataFrame:
     return rows.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
+def similar_bits(similarity: float, bits: int) -> float:
+    """Expected number of differing bits of two texts with this Jaccard similarity of shingles."""
+    return bits * float(np.arccos(2 * similarity / (1 + similarity))) / np.pi
+
+
+def near_texts(rows: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """(id, component) for distinct ``rows`` (id long, fp, more): near-duplicates by fingerprints of several words.
+
+    Two texts are linked if all words together differ in at most as many bits as
+    texts of that similarity do, and five more, one standard deviation; the first
+    word is compared by itself first and must not differ by more than 1.75 times
+    its expected bits, which narrows the search.  Rows without links aren't returned.
+    """
+    width = 1 + (rows.select(F.max(F.size("more"))).first()[0] or 0)
+    radius, total = round(1.75 * similar_bits(similarity, 64)), round(similar_bits(similarity, 64 * width) + 5)
+    return connected_components(hamming_forest(rows.select("id", "fp", "more"), radius, total)).withColumnRenamed("node", "id")
+
+
 def hexed(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-__all__ = ["components_of", "fingerprint", "hamming_forest", "hexed", "near_duplicates", "simhash", "within"]
+__all__ = ["components_of", "fingerprint", "hamming_forest", "hexed", "near_duplicates", "near_texts", "simhash", "within"]
