@@ -26,7 +26,7 @@ from .words import mixed, powers
 
 K = 48
 #: Bytes that one task compares, about; an anchor with more is split.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 1 << 20
 _NONE = hashlib.sha256(b"").hexdigest()
 
 
@@ -56,8 +56,9 @@ def _least_of(a: np.ndarray, window: int) -> np.ndarray:
 
 
 def runs(at: np.ndarray, raw: np.ndarray, least: int, k: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: row, first window in it, windows, place and hash of the anchor, hash of the run."""
-    nothing = tuple(np.zeros(0, np.int64) for _ in range(6))
+    """Runs of windows with one anchor: row, first window in it, windows, place and hash of the anchor, hash of the run,
+    and of the anchor with half of the rest of a window on its left and right, 0 where a run has less."""
+    nothing = tuple(np.zeros(0, np.int64) for _ in range(8))
     if len(raw) < least:
         return nothing
     h = Hashes(raw)
@@ -77,10 +78,13 @@ def runs(at: np.ndarray, raw: np.ndarray, least: int, k: int) -> tuple[np.ndarra
     start = np.flatnonzero(new)
     count = np.diff(np.concatenate([start, [len(row)]]))
     lo, pos, row = first[start], mine[start], row[start]
-    return row, lo - at[row], count, pos - lo, grams[pos].view(np.int64), h.of(lo, lo + count - 1 + least).view(np.int64)
+    end, half = lo + count - 1 + least, (least - k) // 2
+    left = np.where(pos - half >= lo, h.of(np.maximum(pos - half, 0), pos + k), np.uint64(0))
+    right = np.where(pos + k + half <= end, h.of(pos, np.minimum(pos + k + half, len(raw))), np.uint64(0))
+    return row, lo - at[row], count, pos - lo, *(v.view(np.int64) for v in (grams[pos], h.of(lo, end), left, right))
 
 
-_RUN = "lo int, n int, x int, h long, c long"
+_RUN = "lo int, n int, x int, h long, c long, left long, right long"
 #: What tells different runs of one anchor apart.
 _SAME = ["h", "x", "n", "c"]
 
@@ -91,14 +95,14 @@ def _text_key() -> Column:
 
 def _scan(docs: DataFrame, least: int, k: int) -> DataFrame:
     """(doc_id, key, n_bytes, runs) for every row; key is the hash of the whole text."""
-    kind = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("x", pa.int32()), ("h", pa.int64()), ("c", pa.int64())]))
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("x", pa.int32()), ("h", pa.int64()), ("c", pa.int64()), ("left", pa.int64()), ("right", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, at, raw in chunks(batch.column(2)):
-                row, lo, n, x, h, c = runs(at, raw, least, k)
+                row, lo, n, x, h, c, left, right = runs(at, raw, least, k)
                 cuts = pa.array(np.searchsorted(row, np.arange(end - first + 1)).astype(np.int32))
-                parts = [pa.array(v.astype(np.int32)) for v in (lo, n, x)] + [pa.array(h), pa.array(c)]
+                parts = [pa.array(v.astype(np.int32)) for v in (lo, n, x)] + [pa.array(v) for v in (h, c, left, right)]
                 found = pa.ListArray.from_arrays(cuts, pa.StructArray.from_arrays(parts, fields=list(kind.value_type)))
                 yield pa.RecordBatch.from_arrays([batch.column(j).slice(first, end - first) for j in (0, 1)] + [pa.array(np.diff(at)), found], names=["doc_id", "key", "n_bytes", "runs"])
 
@@ -141,6 +145,21 @@ def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     return rows.mapInArrow(cut, ", ".join(f"{c} {kinds[c]}" for c in more) + ", bytes binary")
 
 
+def _shared(kinds: DataFrame, least: int) -> DataFrame:
+    """Different runs of one anchor that may have a window in common, with the bytes of all such runs of the anchor.
+
+    A window reaches at least half of what the anchor leaves of it to the left or to
+    the right, so two runs must have that much beside the anchor in common.
+    """
+    several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    rows = materialise(kinds.join(several, "h").drop("kinds"))
+    for side in ("left", "right"):
+        often = rows.where(f"{side} <> 0").groupBy("h", side).agg(F.count("*").alias("times")).where("times > 1")
+        rows = rows.join(often.withColumnRenamed("times", f"{side}_times"), ["h", side], "left")
+    rows = materialise(rows.where("left_times is not null or right_times is not null").select(*_SAME, "first.*"))
+    return rows.join(rows.groupBy("h").agg(F.sum(F.col("n") + least - 1).alias("bytes_all")), "h")
+
+
 def _compare(parts: DataFrame, least: int, total: int, key: str) -> DataFrame:
     """(h, x, n, c, spans): windows of each run that also start elsewhere in ``parts`` (h, x, n, c, off, bytes)."""
     buckets = max(1, -(-total // BUCKET_BYTES))
@@ -223,11 +242,11 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = K) -> tuple[DataF
     texts = scanned.groupBy("key").agg(F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"), F.first("runs").alias("runs"))
     texts = materialise(texts)
     marks = texts.select("key", "copies", F.explode("runs").alias("r")).select("key", "copies", "r.*")
-    kinds = materialise(marks.groupBy(*_SAME).agg(F.sum("copies").alias("m"), F.min(F.struct("key", "lo")).alias("first")))
-    sums = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + least - 1).alias("bytes_all")).where("kinds > 1")
-    several = materialise(kinds.join(sums, "h").select(*_SAME, "first.*", "bytes_all"))
-    parts = materialise(_texts_of(several.select("key", "lo", *_SAME, "bytes_all"), docs, least).withColumn("off", F.lit(0)))
-    total = several.agg(F.sum(F.when(F.col("bytes_all") <= BUCKET_BYTES, F.col("n") + least - 1))).first()[0] or 0
+    first = [F.min(F.struct("key", "lo")).alias("first"), F.min("left").alias("left"), F.min("right").alias("right")]
+    kinds = materialise(marks.groupBy(*_SAME).agg(F.sum("copies").alias("m"), *first))
+    wanted = materialise(_shared(kinds, least))
+    parts = materialise(_texts_of(wanted.select("key", "lo", *_SAME, "bytes_all"), docs, least).withColumn("off", F.lit(0)))
+    total = wanted.agg(F.sum(F.when(F.col("bytes_all") <= BUCKET_BYTES, F.col("n") + least - 1))).first()[0] or 0
     every = F.array(F.struct(F.lit(0).alias("i"), F.col("n").alias("j")))
     found = [kinds.where("m > 1").select(*_SAME, every.alias("spans")), _compare(parts.where(F.col("bytes_all") <= BUCKET_BYTES), least, total, "h")]
     large = parts.where(F.col("bytes_all") > BUCKET_BYTES).drop("bytes_all")
