@@ -12,7 +12,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
-from .mapping import load_mappings
+from .mapping import load_mappings, load_resource_paths
 from .model import GraphModel
 from .plans.compiler import auth_plugin, compile_all
 from .sinks import IndexStore
@@ -37,7 +37,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--step", choices=("import", "transform", "all"), default="all")
     p.add_argument("--import-to", help="folder for tables copied from a database")
     p.add_argument("--transactions", help="Parquet log of transactions; nothing is built if all indices are newer")
-    p.add_argument("--resources", help="JSON: access path by project")
+    p.add_argument("--resources", help="YAML: users and rights, for access paths by project")
     p.add_argument("--format", default="parquet")
     p.add_argument("--force", action="store_true")
     p.add_argument("--bypass-multiplicity", action="store_true")
@@ -56,10 +56,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     now = datetime.now(UTC)
     if args.transactions and not must_build(store.stamps(d.name for d in docs), transaction_time(spark.read.parquet(args.transactions)), args.force):
         return 0
-    overrides = None
-    if args.resources:
-        with open(args.resources, encoding="utf-8") as f:
-            overrides = json.load(f)
+    overrides = load_resource_paths(args.resources)
     for d, (doc_type, df) in zip(docs, compile_all(source, docs, (auth_plugin(overrides),), args.bypass_multiplicity).items(), strict=True):
         store.write(df, d.name, doc_type, now)
     return 0

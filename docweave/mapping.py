@@ -254,3 +254,29 @@ def load_mappings(path: str) -> list[Document]:
 
     with open(path, encoding="utf-8") as f:
         return parse_mappings(yaml.safe_load(f))
+
+
+def resource_paths(access: Mapping[str, Any] | None) -> dict[str, str]:
+    """Access paths by project, out of a file of users and their rights.
+
+    Projects of users give theirs by ``auth_id``; a ``user_project_to_resource``
+    table under ``authz`` (or ``rbac``) overrules them.
+    """
+    out: dict[str, str] = {}
+    for user in ((access or {}).get("users") or {}).values():
+        projects = (user or {}).get("projects") or []
+        for p in projects if isinstance(projects, list) else [projects]:
+            if p.get("resource") and p.get("auth_id"):
+                out[p["auth_id"]] = p["resource"]
+    rights = (access or {}).get("authz") or (access or {}).get("rbac") or {}
+    return out | dict(rights.get("user_project_to_resource") or {})
+
+
+def load_resource_paths(path: str | None) -> dict[str, str]:
+    """From a YAML file; none without one."""
+    if not path:
+        return {}
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        return resource_paths(yaml.safe_load(f))

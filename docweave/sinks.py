@@ -129,10 +129,12 @@ class IndexStore:
 
 
 def as_json(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Rows as JSON text, with their key beside it if one is named."""
-    cols = [c for c in df.columns if c != key]
-    doc = F.to_json(F.struct(*cols)).alias("document")
-    return df.select(F.col(key).cast("string").alias("key"), doc) if key else df.select(doc)
+    """Rows as JSON text; with a key that is named, it stands beside the text and in it, also as node_id."""
+    if not key:
+        return df.select(F.to_json(F.struct(*df.columns)).alias("document"))
+    cols = [c for c in df.columns if c not in (key, "node_id")]
+    doc = F.to_json(F.struct(*cols, key, F.col(key).alias("node_id"))).alias("document")
+    return df.select(F.col(key).cast("string").alias("key"), doc)
 
 
 def array_config(df: DataFrame, index: str, built: datetime | None = None) -> DataFrame:

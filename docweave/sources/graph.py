@@ -145,3 +145,9 @@ class FrameSource:
             raise ModelError(f"no table for {link.edge}")
         df = self.edges[link.edge].select("child", "parent").where("child is not null and parent is not null")
         return df if link.edge in self.unique else df.distinct()
+
+
+def edges_with_data(source: GraphSource) -> list[str]:
+    """Link tables that hold a pair at all, each looked at until its first row."""
+    found = {link.edge: (node.label, link) for node in source.model.nodes.values() for link in node.links}
+    return sorted(name for name, (child, link) in found.items() if not source.edge(child, link).isEmpty())

@@ -5,13 +5,13 @@ from datetime import UTC, datetime, timedelta
 import pytest
 from docweave.functions import expressions as E
 from docweave.functions import types as TY
-from docweave.mapping import Combined, Condition, MappingError, load_mappings, parse_filter, parse_mapping, parse_mappings, parse_path
+from docweave.mapping import Combined, Condition, MappingError, load_mappings, load_resource_paths, parse_filter, parse_mapping, parse_mappings, parse_path, resource_paths
 from docweave.model import GraphModel, ModelError, Property
 from docweave.operators.index_join import order
 from docweave.operators.sliding import sliding_window
 from docweave.plans.compiler import auth_plugin, compile_all, compile_document, trace
 from docweave.sinks import IndexStore, array_config, as_json
-from docweave.sources.graph import DumpSource, FrameSource, ParquetSource
+from docweave.sources.graph import DumpSource, FrameSource, ParquetSource, edges_with_data
 from docweave.streaming.gating import must_build, read_stamp, stamp, transaction_time, watch
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -292,7 +292,8 @@ def test_store(spark, tmp_path):
         store.point("case", "case_9")
     with pytest.raises(FileNotFoundError):
         store.read("nothing")
-    assert as_json(df, "_case_id").first() == ("c1", '{"ids":[1],"s":"x"}')
+    assert as_json(df, "_case_id").first() == ("c1", '{"ids":[1],"s":"x","_case_id":"c1","node_id":"c1"}')
+    assert as_json(df).first() == ('{"_case_id":"c1","ids":[1],"s":"x"}',)
     assert array_config(df, "case", when).first() == ("case", ["ids"], "20240102T030405Z")
     assert trace(df, "step", None) is df and trace(df, "step", str(tmp_path)).count() == 1
 
@@ -312,6 +313,34 @@ def test_gating(spark, tmp_path):
     assert seen == [1]
 
 
+def test_resource_paths_and_links(source, tmp_path):
+    access = {"users": {"a": {"projects": [{"auth_id": "p", "resource": "/x"}, {"auth_id": "q"}]}, "b": {"projects": {"auth_id": "q", "resource": "/q"}}, "c": None}, "authz": {"user_project_to_resource": {"p": "/y"}}}
+    assert resource_paths(access) == {"p": "/y", "q": "/q"} and resource_paths(None) == load_resource_paths(None) == {}
+    (tmp_path / "u.yaml").write_text("rbac:\n  user_project_to_resource:\n    r: /z\n")
+    assert load_resource_paths(str(tmp_path / "u.yaml")) == {"r": "/z"}
+    none = FrameSource(source.model, source.nodes, source.edges | {"edge_birthofcase": source.edges["edge_birthofcase"].limit(0)})
+    assert set(edges_with_data(none)) == set(EDGES) - {"edge_birthofcase"}
+
+
+def test_command_line(spark, tmp_path):
+    import json
+
+    from docweave.cli import main
+
+    (tmp_path / "d.json").write_text(json.dumps(SCHEMAS))
+    (tmp_path / "m.yaml").write_text("mappings:\n- name: cases\n  doc_type: case\n  type: aggregator\n  root: case\n  props:\n  - name: sex\n")
+    (tmp_path / "g" / "node_case").mkdir(parents=True)
+    (tmp_path / "g" / "node_case" / "part-m-00000").write_text('"2020","{}","{}","{""sex"": ""F""}","c1"\n')
+    args = ["--mapping", str(tmp_path / "m.yaml"), "--dictionary", str(tmp_path / "d.json"), "--source", f"dump:{tmp_path / 'g'}", "--out", str(tmp_path / "out")]
+    assert main(args) == 0
+    store = IndexStore(spark, str(tmp_path / "out"))
+    assert [tuple(r) for r in store.read("cases").collect()] == [("c1", "F")]
+    log = spark.createDataFrame([("SUCCEEDED", "2020-01-01 00:00:00+00:00")], "state string, created_datetime string")
+    log.write.parquet(str(tmp_path / "log"))
+    assert main([*args, "--transactions", str(tmp_path / "log")]) == 0 and store.versions("cases") == [0]
+    assert main([*args, "--transactions", str(tmp_path / "log"), "--force"]) == 0 and store.versions("cases") == [0, 1]
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
