@@ -64,7 +64,10 @@ def reduce_branch(source: GraphSource, branch: Branch) -> DataFrame:
         out = out.join(reduce_branch(source, below).withColumnRenamed("near", "far"), "far", "left")
     exprs: list[Column] = []
     for p in branch.props:
-        if _only_counted(p, label) or p.src in ("id", id_column(label)):
+        if _only_counted(p, label):  # a pair always has both ids, so none of them is needed
+            exprs.append(F.count(F.lit(1)).alias(p.name))
+            continue
+        if p.src in ("id", id_column(label)):
             value, array = F.col("far"), False
         else:
             value, array = F.col(f"_src_{p.src}"), source.model.property(label, p.src).is_array
