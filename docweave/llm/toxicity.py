@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import CHUNK_BYTES, chunks
 from .mixing import HASH_BITS, hash_of
 
 LENGTH, GAPS, DECAY = 4, 3, 0.8
@@ -32,6 +32,8 @@ SAMPLE_ROWS = 1_500
 TRAIN_CHARS = 20_000
 LANDMARKS = 512
 SYMBOLS = 40
+#: Windows whose subsequences are held at a time in training.
+STEP = 20_000
 
 #: Positions of a subsequence after its first character, and the weight of the gaps.
 OFFSETS = tuple((o, DECAY ** (o[-1] - LENGTH + 1)) for o in combinations(range(1, LENGTH + GAPS), LENGTH - 1))
@@ -130,6 +132,16 @@ def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return encode(at, np.frombuffer(b"".join(data), np.uint8))
 
 
+def _parts_of(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """First number and texts of runs of about a chunk's size."""
+    start, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size > CHUNK_BYTES // 2 or k == len(texts) - 1:
+            yield start, texts[start : k + 1]
+            start, size = k + 1, 0
+
+
 def _windows_of(s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows that start at a word of every row (as rows of symbols, gaps after the end), and their rows."""
     starts = np.flatnonzero((s[:-1] == 0) & (s[1:] != 0))
@@ -167,15 +179,18 @@ def _kernels(codes_: np.ndarray, weights: np.ndarray, marks: np.ndarray) -> np.n
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1_000.0, steps: int = 60) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by Newton steps; y is 1 or -1."""
-    z = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
+    z = np.column_stack([x, np.ones(len(x), x.dtype)])
     w = np.zeros(z.shape[1])
     ridge = np.eye(z.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(steps):
-        on = y * (z @ w) < 1
-        c = weight[on] * penalty
-        h = ridge + (z[on] * c[:, None]).T @ z[on]
-        new = np.linalg.solve(h, z[on].T @ (c * y[on]))
+        on = np.flatnonzero(y * (z @ w) < 1)
+        h, g = ridge.copy(), np.zeros(len(w))
+        for part in np.array_split(on, 1 + len(on) // 2_000):
+            some, c = z[part].astype(np.float64), weight[part] * penalty
+            h += (some * c[:, None]).T @ some
+            g += some.T @ (c * y[part])
+        new = np.linalg.solve(h, g)
         if np.allclose(new, w, rtol=1e-6, atol=1e-9):
             break
         w = new
@@ -216,24 +231,33 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
     if not held[y].any() or not held[~y].any():
         held[:] = False
     fit = np.flatnonzero(~held)
-    s, at = _rows([texts[i] for i in fit])
-    w, row = _windows_of(s, at)
+    found = [(w, row.astype(np.int32) + first) for first, part in _parts_of([texts[i] for i in fit]) for w, row in [_windows_of(*_rows(part))]]
+    w, row = (np.concatenate(x) for x in zip(*found, strict=True))
+    del found
     yes = y[fit][row]
-    w, back = np.unique(w, axis=0, return_inverse=True)
-    back = back.ravel()
-    near, weights = _features(w)
-    dense = near[:, : WINDOW - LENGTH + 1]  # subsequences without gaps come first
-    in_yes = np.zeros(SYMBOLS**LENGTH)
-    in_no = np.zeros(SYMBOLS**LENGTH)
-    for into, label in ((in_yes, True), (in_no, False)):
-        some = np.flatnonzero(yes == label)
-        pairs = np.unique(np.stack([np.repeat(row[some], dense.shape[1]), dense[back[some]].ravel()], 1), axis=0)
-        np.add.at(into, pairs[:, 1], 1)
+    counts = {label: np.zeros(SYMBOLS**LENGTH, np.float32) for label in (True, False)}
+    for part in np.array_split(np.arange(len(fit)), max(1, len(w) // STEP)):  # whole texts, so that each counts once
+        rows = np.arange(np.searchsorted(row, part[0]), np.searchsorted(row, part[-1], "right")) if len(part) else part
+        dense = _features(w[rows])[0][:, : WINDOW - LENGTH + 1]  # subsequences without gaps come first
+        pairs = np.unique(row[rows].astype(np.int64).repeat(dense.shape[1]) * SYMBOLS**LENGTH + dense.ravel())
+        label = y[fit][pairs // SYMBOLS**LENGTH]
+        for k, into in counts.items():
+            np.add.at(into, pairs[label == k] % SYMBOLS**LENGTH, 1)
+    in_yes, in_no = counts[True], counts[False]
+    w, back = np.unique(w.view(f"V{WINDOW}").ravel(), return_inverse=True)
+    w, back = w.view(np.uint8).reshape(-1, WINDOW), back.ravel().astype(np.int32)
     n_yes, n_no = max(1, y[fit].sum()), max(1, (~y[fit]).sum())
     odds = np.log((in_yes + 0.5) / (n_yes + 1)) - np.log((in_no + 0.5) / (n_no + 1))
     odds[in_yes < 3] = 0
     odds[:: SYMBOLS**2] = 0
-    value = odds[dense].sum(1)
+
+    def valued(table: np.ndarray, features: int | None, weights: np.ndarray | float) -> np.ndarray:
+        """Sum of the table over the features of all windows."""
+        parts = np.array_split(w, max(1, len(w) // STEP))
+        return np.concatenate([(table[_features(x)[0][:, :features]] * weights).sum(1) for x in parts]).astype(np.float64)
+
+    weights = _features(w[:0])[1]
+    value = valued(odds, WINDOW - LENGTH + 1, 1.0)
     clean = np.zeros(len(w), bool)
     clean[back[~yes]] = True
     machine = None
@@ -250,29 +274,28 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         hard = no[np.argsort(-value[no], kind="stable")[:3_000]]
         rest = rng.choice(no, min(len(no), 5_000), replace=False)
         bad = np.unique(np.concatenate([hard, rest]))
-        extra, _ = _features(_loosened(w[good], rng))
-        x = np.concatenate([near[good], extra, near[bad]])
+        near_good, near_bad = _features(w[good])[0], _features(w[bad])[0]
+        x = np.concatenate([near_good, _features(_loosened(w[good], rng))[0], near_bad])
         label = np.concatenate([np.ones(3 * len(good)), -np.ones(len(bad))])
         many = np.concatenate([often, np.repeat(0.25 * often, 2), np.ones(len(bad))]).astype(np.float64)
         many[label > 0] *= len(bad) / many[label > 0].sum()
         order = np.argsort(-often, kind="stable")
-        marks = np.concatenate([near[good[order[: LANDMARKS * 3 // 4]]], near[rng.choice(bad, min(len(bad), LANDMARKS // 4), replace=False)]])
+        marks = np.concatenate([near_good[order[: LANDMARKS * 3 // 4]], near_bad[rng.choice(len(bad), min(len(bad), LANDMARKS // 4), replace=False)]])
         k_mm = _kernels(marks, weights, marks).astype(np.float64)
         vals, vecs = np.linalg.eigh(k_mm)
         use = vals > 1e-6 * vals[-1]
         root = vecs[:, use] / np.sqrt(vals[use])
-        k = _kernels(x, weights, marks)
         scale = float(np.sqrt(np.mean(weights**2) * len(weights)))
-        v, bias = _svm((k @ root) / scale, label, many / len(many))
+        v, bias = _svm(_kernels(x, weights, marks) @ (root / scale).astype(np.float32), label, many / len(many))
         alpha = root @ v / scale
         table = np.zeros(SYMBOLS**LENGTH, np.float32)
         for a, m in zip(alpha, marks, strict=True):
             np.add.at(table, m, np.float32(a) * weights)
         table[:: SYMBOLS**2] = 0
         machine = Machine(table, 1.0, 0.0)
-        value = (table[near] @ weights).astype(np.float64) + bias
+        value = valued(table, None, weights) + bias
     use = np.flatnonzero(held) if held.any() else fit
-    best = machine.best(*_rows([texts[i] for i in use]))
+    best = np.concatenate([machine.best(*_rows(part)) for _, part in _parts_of([texts[i] for i in use])])
     slope, middle = _calibrated(best, y[use])
     return Machine(machine.table, slope, middle)
 
