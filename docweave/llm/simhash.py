@@ -1,7 +1,7 @@
 """SimHash near-deduplication by tiled exact comparison.
 
 Fingerprints come from one pass over the texts.  Distinct fingerprints are dealt
-to tiles by their number of one bits; two tiles whose counts differ by more than
+to tiles by their number of one bits; two tiles whose counts all differ by more than
 the radius can't hold a link and are never compared.  The other tile pairs are
 compared exactly with exclusive-or and bit counts, in sub-tiles that are skipped
 by the same rule on parts of the fingerprint.  A tile pair returns a spanning
@@ -98,7 +98,7 @@ def _subtiles(values: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarr
 def within(left: np.ndarray, right: np.ndarray | None, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of values at ``radius`` differing bits or fewer; right None: pairs inside left."""
     other = left if right is None else right
-    parts = 1 + int(np.searchsorted([1_000, 6_000, 60_000], max(len(left), len(other))))
+    parts = 1 + int(np.searchsorted([1_000, 6_000, 60_000], max(len(left), len(other)))) if radius <= 8 else 1
     a = _subtiles(left, parts)
     b = a if right is None else _subtiles(other, parts)
     keys = np.stack([k for k, _ in b])
@@ -131,7 +131,10 @@ def hamming_forest(values: DataFrame, radius: int, total: int = 0, block: int =
     if not wide:
         values = values.select(F.col("fp").alias("id"), "fp")
     also = ["more"] if wide else []
-    tile = F.bit_count(F.col(fp)).cast("int")
+    # tiles of neighbouring counts, so that a wide radius doesn't send rows to every count
+    width = max(1, radius // 2)
+    reach = (radius - 1) // width + 1 if radius else 0
+    tile = F.floor(F.bit_count(F.col(fp)) / width).cast("int")
     sizes = values.groupBy(tile.alias("t")).count().collect()  # 65 rows at most
     blocks = {r["t"]: -(-r["count"] // block) for r in sizes}
     if not blocks:
@@ -139,7 +142,7 @@ def hamming_forest(values: DataFrame, radius: int, total: int = 0, block: int =
     have = F.create_map(*[F.lit(x) for t, n in blocks.items() for x in (t, n)])
     mine = F.pmod(F.xxhash64("id", F.lit(7)), have[tile]).cast("int")
     rows = values.select("id", "fp", *also, tile.alias("t"), mine.alias("n"))
-    others = F.filter(F.sequence(F.col("t") - radius, F.col("t") + radius), lambda t: have[t].isNotNull())
+    others = F.filter(F.sequence(F.col("t") - reach, F.col("t") + reach), lambda t: have[t].isNotNull())
     pairs = F.flatten(F.transform(others, lambda t: F.transform(F.sequence(F.lit(0), have[t] - 1), lambda n: F.struct(t.alias("t"), n.alias("n")))))
     me = F.struct("t", "n")
     dealt = rows.select("id", "fp", *also, me.alias("me"), F.explode(pairs).alias("it"))
