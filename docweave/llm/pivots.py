@@ -26,6 +26,8 @@ NEAREST, SHARED = 8, 2
 BLOCK = 4_096
 #: Pivots at most; they are sent to all tasks.
 MOST_PIVOTS = 1_024
+#: Different sizes of vectors at most; each is indexed by itself.
+MOST_SIZES = 100
 
 
 def n_pivots(n: int) -> int:
@@ -71,7 +73,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, nearest: int = NEAREST
     rows = rows.select("vec_id", "ok", "label", "embedding", F.xxhash64("label", "embedding").alias("k1"), F.xxhash64("embedding", F.lit(1)).alias("k2"))
     same = rows.where("ok").groupBy("k1", "k2").agg(F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count("*").alias("n"), F.min("vec_id").alias("least"))
     reps = materialise(same.withColumn("id", F.monotonically_increasing_id()).withColumn("dim", F.size("embedding")))
-    kinds = reps.groupBy("dim").agg(F.max("id")).select("dim").limit(1_000).collect()
+    kinds = reps.select("dim").distinct().limit(MOST_SIZES + 1).collect()
+    if len(kinds) > MOST_SIZES:
+        raise ValueError(f"vectors of more than {MOST_SIZES} sizes")
     found = [links_of(reps.where(F.col("dim") == r["dim"]), least, nearest, shared, block) for r in kinds]
     if not found:
         found = [vectors.sparkSession.createDataFrame([], "a long, b long, n long")]
