@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a table may be broadcast; beyond it every operator joins by shuffle.
 BROADCAST_ROWS = 100_000
+#: Bytes of files up to which it may be.
+BROADCAST_BYTES = 8 << 20
+#: Bits of a map of hashes that is sent to all tasks: 16 MB at most.
+MAP_BITS = 1 << 27
 #: Bytes of text that one vectorised step holds at a time.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -57,9 +61,30 @@ def forget() -> None:
 atexit.register(forget)
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (materialised before) with a broadcast hint if it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (materialised before) with a broadcast hint if it is that small in rows and in bytes."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if known <= size and df.limit(rows + 1).count() <= rows else df
+
+
+def hash_map(df: DataFrame, column: str) -> np.ndarray:
+    """One bit for each value of a column of hashes, at most MAP_BITS of them.
+
+    What isn't in the map isn't among the values; the share of others that are
+    grows with their number.  The driver gets 64 bits a row, so 2 M rows at most.
+    """
+    n = df.count()
+    bits = min(MAP_BITS, 1 << max(16, (256 * n).bit_length()))
+    slots = df.select(F.col(column).bitwiseAND(F.lit(bits - 1)).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("b")).toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def in_map(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = (values & np.uint64(len(known) * 64 - 1)).astype(np.int64)
+    return (known[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
 def running(df: DataFrame, order: list[Column], sums: dict[str, Column], rank: str | None = None) -> DataFrame:

@@ -15,11 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise
+from .common import chunks, hash_map, in_map, materialise
 from .words import Words, winnow
 
-#: Bits of the map of benchmark fingerprints that is sent to all tasks: 16 MB at most.
-MAP_BITS = 1 << 27
 _HITS = "m int, fp long, pos int, gram string, before array<string>, after array<string>"
 
 
@@ -48,7 +46,7 @@ def _scan(rows: DataFrame, window: int, k: int, short: list[int], item: bool, se
                 out: list[tuple] = []
                 for m, size, pos, fp in _marks(w, window, k, short if not item else sorted({int(n) for n in counts if 0 < n < window})):
                     if known is not None:
-                        hit = _in_map(known, fp, m)
+                        hit = in_map(known, fp ^ np.uint64(m))
                         pos, fp = pos[hit], fp[hit]
                     row = np.searchsorted(w.at, pos, "right") - 1
                     if item:  # a short item is one window; a long one has no shorter ones
@@ -78,26 +76,6 @@ def _scan(rows: DataFrame, window: int, k: int, short: list[int], item: bool, se
     return rows.mapInArrow(run, f"id {kind}, {_HITS}")
 
 
-def _slot(fp: np.ndarray, m: int, bits: int) -> np.ndarray:
-    return ((fp ^ np.uint64(m)) & np.uint64(bits - 1)).astype(np.int64)
-
-
-def _in_map(known: np.ndarray, fp: np.ndarray, m: int) -> np.ndarray:
-    at = _slot(fp, m, len(known) * 64)
-    return (known[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
-
-
-def _map_of(marks: DataFrame) -> np.ndarray:
-    """One bit for each fingerprint, at most MAP_BITS of them: what isn't there can't join."""
-    n = marks.count()
-    bits = min(MAP_BITS, 1 << max(16, (256 * n).bit_length()))
-    slot = F.col("fp").bitwiseXOR(F.col("m").cast("long")).bitwiseAND(F.lit(bits - 1))
-    words = marks.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("b")).toPandas()
-    out = np.zeros(bits // 64, np.uint64)
-    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
 def _equal(side: str) -> Column:
     """Number of leading words that both lists share."""
     a, b = F.col(f"d.{side}"), F.col(f"b.{side}")
@@ -120,7 +98,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 8, k: int = 5
     short_of = lambda df: [r[0] for r in df.where(f"m > 0 and m < {window}").select("m").distinct().collect()]  # noqa: E731  under ``window`` rows
     spark = docs.sparkSession
     bench = materialise(_scan(items.select(F.col("item_id").alias("id"), F.col("text").cast("string").alias("text")), window, k, [], True, None).where("m > 0"))
-    seen = spark.sparkContext.broadcast(_map_of(bench))
+    seen = spark.sparkContext.broadcast(hash_map(bench.select(F.col("fp").bitwiseXOR(F.col("m").cast("long")).alias("mark")), "mark"))
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("r"), F.col("doc_id")).alias("id"), F.col("text").cast("string").alias("text"))
     found = materialise(_scan(rows, window, k, sorted(short_of(bench)), False, seen))
 

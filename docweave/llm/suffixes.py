@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .common import bounded, buffers, chunks, materialise
+from .common import bounded, buffers, chunks, hash_map, in_map, materialise
 from .words import mixed, powers
 
 K = 48
@@ -94,20 +94,33 @@ def _text_key() -> Column:
 
 
 def _scan(docs: DataFrame, least: int, k: int) -> DataFrame:
-    """(doc_id, key, n_bytes, runs) for every row; key is the hash of the whole text."""
-    kind = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("x", pa.int32()), ("h", pa.int64()), ("c", pa.int64()), ("left", pa.int64()), ("right", pa.int64())]))
+    """(key, runs) for every row; key is the hash of the whole text."""
+    kind = pa.list_(pa.struct([(f.split()[0], pa.int64() if f.endswith("long") else pa.int32()) for f in _RUN.split(", ")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, at, raw in chunks(batch.column(2)):
-                row, lo, n, x, h, c, left, right = runs(at, raw, least, k)
+            for first, end, at, raw in chunks(batch.column(1)):
+                row, lo, n, x, *hashes = runs(at, raw, least, k)
                 cuts = pa.array(np.searchsorted(row, np.arange(end - first + 1)).astype(np.int32))
-                parts = [pa.array(v.astype(np.int32)) for v in (lo, n, x)] + [pa.array(v) for v in (h, c, left, right)]
+                parts = [pa.array(v.astype(np.int32)) for v in (lo, n, x)] + [pa.array(v) for v in hashes]
                 found = pa.ListArray.from_arrays(cuts, pa.StructArray.from_arrays(parts, fields=list(kind.value_type)))
-                yield pa.RecordBatch.from_arrays([batch.column(j).slice(first, end - first) for j in (0, 1)] + [pa.array(np.diff(at)), found], names=["doc_id", "key", "n_bytes", "runs"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), found], names=["key", "runs"])
 
-    rows = docs.select("doc_id", _text_key().alias("key"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key binary, n_bytes long, runs array<struct<{_RUN.replace(' ', ':').replace(',:', ',')}>>")
+    rows = docs.select(_text_key().alias("key"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"key binary, runs array<struct<{', '.join(f.replace(' ', ':') for f in _RUN.split(', '))}>>")
+
+
+def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) of rows whose key may be among ``keys`` (materialised), so that few others are shuffled."""
+    known = docs.sparkSession.sparkContext.broadcast(hash_map(keys.select(F.xxhash64("key").alias("mark")), "mark"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = in_map(known.value, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
+            yield batch.filter(pa.array(hit)).select(["key", "text"])
+
+    rows = docs.select(_text_key().alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("mark", F.xxhash64("key"))
+    return rows.mapInArrow(keep, "key binary, text string")
 
 
 def _spans_of(flags: np.ndarray) -> list[dict]:
@@ -124,7 +137,7 @@ def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     """``runs_`` (key, lo, n, more) with the bytes of each run, taken from the texts with that key."""
     more = [c for c in runs_.columns if c not in ("key", "lo")]
     wanted = materialise(runs_.groupBy("key").agg(F.collect_list(F.struct("lo", *more)).alias("runs")))
-    rows = docs.select(_text_key().alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(bounded(wanted), "key").select("key", "text", "runs")
+    rows = _texts(docs, wanted).join(bounded(wanted), "key").select("key", "text", "runs")
     kinds = {f.name: f.dataType.simpleString() for f in runs_.schema}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,9 +251,8 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = K) -> tuple[DataF
     Texts that occur more than once are left out of ``spans`` if they are of
     ``least`` bytes or more, since all of them goes.
     """
-    scanned = materialise(_scan(docs, least, k))
-    texts = scanned.groupBy("key").agg(F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"), F.first("runs").alias("runs"))
-    texts = materialise(texts)
+    rows = materialise(docs.select("doc_id", _text_key().alias("key"), F.coalesce(F.octet_length(F.col("text")), F.lit(0)).cast("long").alias("n_bytes")))
+    texts = materialise(_scan(docs, least, k).groupBy("key").agg(F.count("*").alias("copies"), F.first("runs").alias("runs")))
     marks = texts.select("key", "copies", F.explode("runs").alias("r")).select("key", "copies", "r.*")
     first = [F.min(F.struct("key", "lo")).alias("first"), F.min("left").alias("left"), F.min("right").alias("right")]
     kinds = materialise(marks.groupBy(*_SAME).agg(F.sum("copies").alias("m"), *first))
@@ -260,7 +272,7 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = K) -> tuple[DataF
     hits = materialise(hits)
     windows = marks.where("copies = 1").join(hits, _SAME).select("key", F.transform("spans", lambda s: F.struct((F.col("lo") + s["i"]).alias("i"), (F.col("lo") + s["j"] - 1 + least).alias("j"))).alias("spans"))
     spans = windows.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    return scanned.select("doc_id", "key", "n_bytes").join(texts.select("key", "copies"), "key"), materialise(spans)
+    return rows.join(texts.select("key", "copies"), "key"), materialise(spans)
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -282,7 +294,7 @@ def remove_repeats(docs: DataFrame, least: int = 400, k: int = K) -> DataFrame:
     their own.  An empty table gives an empty table.  ``least`` must exceed ``k``.
     """
     rows, spans = repeated_spans(docs, least, k)
-    texts = docs.select(_text_key().alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(bounded(spans), "key").select("key", "text", "spans")
+    texts = _texts(docs, spans).join(bounded(spans), "key").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
