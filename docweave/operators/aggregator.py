@@ -20,7 +20,7 @@ from ..mapping import Aggregate, Document, Flatten, MappingError, Nested, Parent
 from ..model import Hop, id_column
 from ..sources.graph import GraphSource
 from .sliding import sliding_window
-from .walk import chain, node, pairs
+from .walk import chain, node, pairs, reach
 
 KEY = "_key"
 
@@ -55,11 +55,8 @@ def _only_counted(p: Prop, label: str) -> bool:
 def reduce_branch(source: GraphSource, branch: Branch) -> DataFrame:
     """(near, one column for each property in and below the branch)."""
     label = branch.hop.end
-    out = pairs(source, branch.hop)
-    read = list(dict.fromkeys(p.src for p in branch.props if not _only_counted(p, label) and p.src not in ("id", id_column(label))))
-    if read:
-        own = node(source, label, read, "far").select("far", *[F.col(s).alias(f"_src_{s}") for s in read])
-        out = out.join(own, "far", "left")
+    read = [p.src for p in branch.props if not _only_counted(p, label)]
+    out = reach(source, (branch.hop,), read) if read else pairs(source, branch.hop)
     for below in branch.below.values():
         out = out.join(reduce_branch(source, below).withColumnRenamed("near", "far"), "far", "left")
     exprs: list[Column] = []
@@ -67,10 +64,7 @@ def reduce_branch(source: GraphSource, branch: Branch) -> DataFrame:
         if _only_counted(p, label):  # a pair always has both ids, so none of them is needed
             exprs.append(F.count(F.lit(1)).alias(p.name))
             continue
-        if p.src in ("id", id_column(label)):
-            value, array = F.col("far"), False
-        else:
-            value, array = F.col(f"_src_{p.src}"), source.model.property(label, p.src).is_array
+        value, array = F.col(f"_src_{p.src}"), source.model.property(label, p.src).is_array
         value = E.recoded(value, p.values) if not array else value
         exprs.append(E.reduce_values(p.fn, value, array).alias(p.name))
     exprs += [E.merge_partials(p.fn, F.col(p.name)).alias(p.name) for b in branch.below.values() for p in b.names()]
@@ -104,6 +98,11 @@ def _projected(source: GraphSource, label: str, props: tuple[Prop, ...], key: st
     return df.select(key, *[E.taken(p, F.col(key if p.src in own else p.src)) for p in props])
 
 
+def _renamed(props: tuple[Prop, ...]) -> list[Column]:
+    """Properties out of what ``reach`` gives."""
+    return [E.taken(p, F.col(f"_src_{p.src}")) for p in dict.fromkeys(props)]
+
+
 def flatten_branch(source: GraphSource, root: str, spec: Flatten, bypass: bool = False) -> DataFrame:
     """(near, properties of a child): the first by a sort order, reduced ones, or those of the only child.
 
@@ -111,15 +110,15 @@ def flatten_branch(source: GraphSource, root: str, spec: Flatten, bypass: bool =
     sort keys come first in ascending and last in descending order.
     """
     hops = source.model.path(root, spec.path)
-    label, edge = hops[-1].end, chain(source, hops)
+    label = hops[-1].end
     reduced = [p for p in spec.props if p.fn]
+    df = reach(source, hops, [p.src for p in spec.props] + ([spec.sort] if spec.sort else []))
+    sort = [F.col(f"_src_{spec.sort}").alias("_sort")] if spec.sort else []
+    df = df.select("near", "far", *sort, *_renamed(spec.props))
     if spec.sort:
-        more = Prop("_sort", spec.sort)
-        df = edge.join(_projected(source, label, (*spec.props, more), "far"), "far")
         row = F.struct("_sort", "far", *[p.name for p in spec.props])
         pick = F.max(row) if spec.descending else F.min(row)
         return df.groupBy("near").agg(pick.alias("top")).select("near", *[F.col(f"top.{p.name}").alias(p.name) for p in spec.props])
-    df = edge.join(_projected(source, label, spec.props, "far"), "far")
     if reduced and len(reduced) == len(spec.props):
         return df.groupBy("near").agg(*[E.reduce_values(p.fn, F.col(p.name), source.model.property(label, p.src).is_array).alias(p.name) for p in spec.props])
     single = all(h.up or h.link.one_child or h.link.multiplicity == "one_to_many" for h in hops)
@@ -132,17 +131,16 @@ def nested_branch(source: GraphSource, parent: str, spec: Nested) -> DataFrame:
     """(near, one array of child documents under the block's name); children are filtered before."""
     hops = source.model.path(parent, spec.path)
     label = hops[-1].end
-    edge = chain(source, hops)
     wanted = {p.name for p in spec.props}
-    more = tuple(Prop(c.prop, c.prop) for c in E.filtered_props(spec.filter) if c.prop not in wanted)
-    df = _projected(source, label, (*spec.props, *more), "far")
+    props = (*spec.props, *(Prop(c.prop, c.prop) for c in E.filtered_props(spec.filter) if c.prop not in wanted))
+    df = reach(source, hops, [p.src for p in props]).select("near", "far", *_renamed(props))
     inner = _blocks(spec.nested)
     for block in inner:
         df = df.join(nested_branch(source, label, block).withColumnRenamed("near", "far"), "far", "left")
     if spec.filter is not None:
         df = df.where(E.predicate(spec.filter, F.col))
     names = [p.name for p in spec.props] + [b.name for b in inner]
-    return edge.join(df, "far").groupBy("near").agg(F.sort_array(F.collect_list(F.struct(*names))).alias(spec.name))
+    return df.groupBy("near").agg(F.sort_array(F.collect_list(F.struct(*names))).alias(spec.name))
 
 
 def _blocks(blocks: tuple[Nested, ...]) -> list[Nested]:

@@ -31,3 +31,25 @@ def chain(source: GraphSource, hops: Iterable[Hop]) -> DataFrame:
 def node(source: GraphSource, label: str, props: Iterable[str], key: str) -> DataFrame:
     """A node's properties with its id under another name."""
     return source.node(label, props).withColumnRenamed(id_column(label), key)
+
+
+def reach(source: GraphSource, hops: tuple[Hop, ...], props: Iterable[str]) -> DataFrame:
+    """(near, far, _src_<property> for each): the nodes at the end of a path with raw properties.
+
+    A source that keeps the link to a parent in the child's own row (``child_rows``)
+    gives both at once; otherwise the link table is joined with the node's.
+    """
+    *before, last = hops
+    own = ("id", id_column(last.end))
+    wanted = [p for p in dict.fromkeys(props) if p not in own]
+    if not last.up and wanted and hasattr(source, "child_rows"):
+        df = source.child_rows(last.end, last.link, wanted)
+        df = df.select(F.col("parent").alias("near"), F.col("child").alias("far"), *[F.col(p).alias(f"_src_{p}") for p in wanted])
+    else:
+        df = pairs(source, last)
+        if wanted:
+            df = df.join(node(source, last.end, wanted, "far").select("far", *[F.col(p).alias(f"_src_{p}") for p in wanted]), "far")
+    if before:
+        way = chain(source, before)
+        df = way.join(df.withColumnRenamed("near", "_way"), way["far"] == F.col("_way")).drop(way["far"]).drop("_way")
+    return df.withColumns({f"_src_{p}": F.col("far") for p in own})

@@ -63,7 +63,7 @@ def model() -> GraphModel:
 
 
 class RelationalSource:
-    """Node tables are tables, edges their foreign keys.  A table without a key is identified by a hash of all its columns."""
+    """Node tables are tables, edges their foreign keys.  A table without a key is identified by 128 bits of hash of all its columns."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir, self.model = spark, sf_dir.rstrip("/"), model()
@@ -73,20 +73,28 @@ class RelationalSource:
 
     def _key(self, label: str) -> Column:
         keys = NODES[label][2]
-        # never null, so that counting it reads no column
-        return F.col(keys[0]) if len(keys) == 1 else F.sha2(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]), 256)
+        if len(keys) == 1:
+            return F.col(keys[0])
+        parts = [x for k in keys for x in (F.col(k), F.col(k).isNull())]  # hashes skip nulls, so these are marked
+        return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(n), *parts)), 16, "0") for n in range(2)])
+
+    def _props(self, label: str, df: DataFrame, props: Iterable[str]) -> list[Column]:
+        alias = _ALIAS.get(label, {})
+        wanted = [p for p in dict.fromkeys(props) if p not in ("id", id_column(label))]
+        return [(F.col(alias.get(p, p)) if alias.get(p, p) in df.columns else F.lit(None).cast("string")).alias(p) for p in wanted]
 
     def node(self, label: str, props: Iterable[str]) -> DataFrame:
         if label not in NODES:
             raise ModelError(f"no table for {label}")
-        table, _, _, _ = NODES[label]
-        alias = _ALIAS.get(label, {})
-        wanted = [p for p in dict.fromkeys(props) if p not in ("id", id_column(label))]
-        df = self.table(table)
-        cols = [F.col(alias.get(p, p)).alias(p) if alias.get(p, p) in df.columns else F.lit(None).cast("string").alias(p) for p in wanted]
-        return df.select(self._key(label).alias(id_column(label)), *cols)
+        df = self.table(NODES[label][0])
+        return df.select(self._key(label).alias(id_column(label)), *self._props(label, df, props))
 
     def edge(self, child: str, link: Link) -> DataFrame:
+        return self.child_rows(child, link, ())
+
+    def child_rows(self, child: str, link: Link, props: Iterable[str]) -> DataFrame:
+        """(child, parent, properties of the child): a foreign key stands in the child's row, so nothing is joined."""
         table, _, _, links = NODES[child]
-        foreign = F.col(links[link.name][2])
-        return self.table(table).select(self._key(child).alias("child"), foreign.alias("parent")).where("parent is not null")
+        df = self.table(table)
+        rows = df.select(self._key(child).alias("child"), F.col(links[link.name][2]).alias("parent"), *self._props(child, df, props))
+        return rows.where("parent is not null")
