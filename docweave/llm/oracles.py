@@ -63,5 +63,24 @@ FROM docs d LEFT JOIN spread s USING (r) LEFT JOIN found f USING (r)
 """
 
 
+#: All pairs of one label, and everything that links reach.
+OP3 = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+good AS (
+  SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM vectors
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reach(a, b) AS (SELECT r, r FROM vectors UNION SELECT x.a, l.b FROM reach x JOIN links l ON x.b = l.a),
+least AS (SELECT x.a, min(v.vec_id) AS component_id FROM reach x JOIN vectors v ON x.b = v.r GROUP BY x.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, l.component_id, coalesce(v.vec_id = l.component_id, false) AS kept
+FROM vectors v JOIN least l ON l.a = v.r LEFT JOIN counts c ON c.a = v.r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op4_decontamination": OP4}
+    return {"op1_mixing": OP1, "op3_embeddings": OP3, "op4_decontamination": OP4}

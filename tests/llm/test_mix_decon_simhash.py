@@ -29,9 +29,9 @@ def same(got: pd.DataFrame, want: pd.DataFrame):
     pd.testing.assert_frame_equal(key(got), key(want), check_dtype=False, rtol=1e-12)
 
 
-@pytest.mark.parametrize("name", ["op1_mixing", "op4_decontamination"])
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_oracles(spark, sf_dir, name):
-    con = tables(sf_dir, "documents", "benchmark")
+    con = tables(sf_dir, "documents", "benchmark", "embeddings")
     same(queries.queries()[name](spark, sf_dir).toPandas(), con.sql(oracles.oracle_sql()[name]).df())
 
 
