@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 #: How build times are written in manifests.
-STAMP = "%Y%m%dT%H%M%SZ"
+STAMP = "%Y%m%dT%H%M%SZ"  # fixed value
 
 
 def latest_transaction(log: DataFrame, state: str = "SUCCEEDED") -> DataFrame:
