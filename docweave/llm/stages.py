@@ -59,9 +59,9 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, widt
     named = known.join(near_texts(known, similarity), "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = materialise(named.select("fp", "more", "component", "least"))
     first = named.groupBy("component").agg(F.min("least").alias("first"))
-    of = named.join(first, "component").select("fp", "more", "first")
+    of = materialise(named.join(first, "component").select("fp", "more", "component", "first"))
     # the group's rows with its smallest key; among several of them the least hash stays
-    each = materialise(rows.join(of, ["fp", "more"]).join(named.select("fp", "more", "component"), ["fp", "more"]))
+    each = materialise(rows.join(of, ["fp", "more"]))
     mine = each.where(id_.eqNullSafe(F.col("first")))
     stay = materialise(mine.groupBy("component").agg(F.min(F.struct("_k1", "_k2")).alias("k")).select("k.*"))
     gone = materialise(each.select("_k1", "_k2").distinct().join(stay, ["_k1", "_k2"], "left_anti"))
