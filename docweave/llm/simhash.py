@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, materialise
+from .common import bounded, buffers, materialise
 from .components import Forest, connected_components
 from .words import mixed
 
@@ -26,6 +26,8 @@ from .words import mixed
 BLOCK = 65_536
 #: Comparisons that one numpy step makes at most.
 STEP = 1 << 21
+#: Shingles and texts in a block of candidates, about; a pair of blocks is one group of a task.
+SET_BLOCK, ROW_BLOCK = 1 << 20, 2_048
 
 
 def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
@@ -37,11 +39,11 @@ def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
     return int(fingerprints(text, shingle, 1, seed)[0])
 
 
-def fingerprints(text: bytes, shingle: int, width: int, seed: int = 42) -> np.ndarray:
-    """``width`` words of 64 bits; the first takes the hashes as they are, others spread them anew."""
+def shingles(text: bytes, shingle: int, seed: int = 42) -> np.ndarray:
+    """Hashes of all word shingles in order, repeats included; none without words."""
     words = text.lower().split()
     if not words:
-        return np.zeros(width, np.uint64)
+        return np.zeros(0, np.uint64)
     n = len(words)
     if n <= shingle:
         hashes = [xxhash.xxh64_intdigest(b" ".join(words), seed)]
@@ -51,8 +53,17 @@ def fingerprints(text: bytes, shingle: int, width: int, seed: int = 42) -> np.nd
         starts = np.concatenate([[0], ends[: n - shingle]]).tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(flat[i:j], seed) for i, j in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
-    votes, total = np.zeros((width, 64), np.int64), len(hashes)
-    values = np.array(hashes, np.uint64)
+    return np.array(hashes, np.uint64)
+
+
+def fingerprints(text: bytes, shingle: int, width: int, seed: int = 42) -> np.ndarray:
+    """``width`` words of 64 bits; the first takes the hashes as they are, others spread them anew."""
+    return voted(shingles(text, shingle, seed), width)
+
+
+def voted(values: np.ndarray, width: int) -> np.ndarray:
+    """``width`` words of majority bits over hashes; zeros without any."""
+    votes, total = np.zeros((width, 64), np.int64), len(values)
     for at in range(0, total, 65_536):
         part = values[at : at + 65_536]
         for k in range(width):
@@ -61,11 +72,10 @@ def fingerprints(text: bytes, shingle: int, width: int, seed: int = 42) -> np.nd
     return np.packbits(votes * 2 > total, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def simhash(docs: DataFrame, shingle: int = 5, text: str = "text", fp: str = "fp", width: int = 1) -> DataFrame:
+def simhash(docs: DataFrame, shingle: int = 5, text: str = "text", fp: str = "fp") -> DataFrame:
     """``docs`` without ``text``, with the fingerprint of it as a long (two's complement).
 
-    More than one word of ``width`` adds ``more``, an array of the others.  Null
-    texts count as empty.  Rows are kept as they are, repeated ones too.
+    Null texts count as empty.  Rows are kept as they are, repeated ones too.
     """
     keep = [c for c in docs.columns if c != text]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
@@ -73,12 +83,36 @@ def simhash(docs: DataFrame, shingle: int = 5, text: str = "text", fp: str = "fp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, raw = buffers(batch.column(batch.num_columns - 1))
-            out = [fingerprints(raw[i:j].tobytes(), shingle, width) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            found = np.array(out, np.uint64).reshape(-1, width).view(np.int64)
-            cols = [pa.array(found[:, 0])] + ([pa.array(found[:, 1:].tolist(), pa.list_(pa.int64()))] if width > 1 else [])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=[*keep, fp, *["more"][: width - 1]])
+            out = [fingerprints(raw[i:j].tobytes(), shingle, 1) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            found = np.array(out, np.uint64).reshape(-1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names=[*keep, fp])
+
+    return docs.select(*keep, text).mapInArrow(run, f"{fields}{fp} long")
+
+
+def sketches(docs: DataFrame, shingle: int = 5, width: int = 4) -> DataFrame:
+    """``docs`` without ``text``, with fp and more (the words of a fingerprint), same (a hash of the set) and n of its shingles.
+
+    Repeated shingles count once.  Null texts count as empty.
+    """
+    keep = [c for c in docs.columns if c != "text"]
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, raw = buffers(batch.column(batch.num_columns - 1))
+            words, same, n = [], [], []
+            for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                values = np.unique(shingles(raw[i:j].tobytes(), shingle))
+                words.append(voted(values, width))
+                same.append(xxhash.xxh64_intdigest(values.tobytes()))
+                n.append(len(values))
+            found = np.array(words, np.uint64).reshape(-1, width).view(np.int64)
+            more = pa.array(found[:, 1:].tolist(), pa.list_(pa.int64()))
+            cols = [pa.array(found[:, 0]), more, pa.array(np.array(same, np.uint64).view(np.int64)), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=[*keep, "fp", "more", "same", "n"])
 
-    return docs.select(*keep, text).mapInArrow(run, f"{fields}{fp} long{', more array<long>' if width > 1 else ''}")
+    return docs.select(*keep, "text").mapInArrow(run, f"{fields}fp long, more array<long>, same long, n long")
 
 
 def _parts(values: np.ndarray, parts: int) -> np.ndarray:
@@ -201,21 +235,84 @@ def similar_bits(similarity: float, bits: int) -> float:
     return bits * float(np.arccos(2 * similarity / (1 + similarity))) / np.pi
 
 
-def near_texts(rows: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """(id, component) for distinct ``rows`` (id long, fp, more): near-duplicates by fingerprints of several words.
+def candidate_bits(similarity: float, bits: int) -> int:
+    """Most differing bits of a candidate: what texts of this similarity differ in, and four standard deviations.
+
+    Sets of four and five shingles differ in 3/16 of the bits at 0.8, more than larger ones.
+    """
+    share = max(similar_bits(similarity, 1), 3 / 16)
+    return int(bits * share + 4 * np.sqrt(bits * share * (1 - share)))
+
+
+def jaccard_forest(sets: list[np.ndarray], second: np.ndarray, similarity: float, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the sets whose Jaccard similarity is at least this; those of different sides if any is ``second``.
 
-    Two texts are linked if all words together differ in at most as many bits as
-    texts of that similarity do, and five more, one standard deviation; the first
-    word is compared by itself first and must not differ by more than 1.75 times
-    its expected bits, which narrows the search.  Rows without links aren't returned.
+    Sets that are connected already aren't compared again.
+    """
+    n = np.array([len(x) for x in sets])
+    at = np.concatenate([[0], np.cumsum(n)])
+    kinds, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(kinds), bool)
+    forest = Forest(len(sets))
+    both = second.any()
+    right = np.flatnonzero(second)
+    for i in np.flatnonzero(~second).tolist():
+        js = right if both else np.arange(i + 1, len(sets))
+        js = js[(forest.label[js] != forest.label[i]) & (np.minimum(n[js], n[i]) >= similarity * np.maximum(n[js], n[i]) - 1e-9) & (n[js] > 0)]
+        if not len(js):
+            continue
+        mark[codes[at[i] : at[i + 1]]] = True
+        ends = np.cumsum(n[js])
+        for part in np.split(js, np.searchsorted(ends, np.arange(STEP, ends[-1], STEP))):
+            if len(part):
+                starts = np.cumsum(n[part]) - n[part]
+                hits = mark[codes[np.arange(n[part].sum()) + np.repeat(at[part] - starts, n[part])]]
+                shared = np.add.reduceat(hits, starts, dtype=np.int64)
+                part = part[shared >= similarity * (n[part] + n[i] - shared) - 1e-9]
+                forest.link(np.full(len(part), i), part)
+        mark[codes[at[i] : at[i + 1]]] = False
+    return forest.edges(ids)
+
+
+def near_texts(rows: DataFrame, docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component): texts connected by links of at least this Jaccard similarity of their sets of shingles.
+
+    ``rows`` (id long, fp, more, n, _k1, _k2) are the distinct texts' sketches, ``docs``
+    (_k1, _k2, text) has their texts.  Fingerprints only find candidates; all pairs
+    of texts that candidates connect are compared by their shingles, in pairs of
+    blocks if they are many.  Rows without links aren't returned.
     """
     width = 1 + (rows.select(F.max(F.size("more"))).first()[0] or 0)
-    radius, total = round(1.75 * similar_bits(similarity, 64)), round(similar_bits(similarity, 64 * width) + 5)
-    return connected_components(hamming_forest(rows.select("id", "fp", "more"), radius, total)).withColumnRenamed("node", "id")
+    maybe = hamming_forest(rows.select("id", "fp", "more"), candidate_bits(similarity, 64), candidate_bits(similarity, 64 * width))
+    maybe = materialise(rows.select("id", "n", "_k1", "_k2").join(connected_components(maybe).withColumnRenamed("node", "id"), "id"))
+    blocks = F.ceil(F.greatest(F.sum("n") / SET_BLOCK, F.count("*") / ROW_BLOCK)).cast("int")
+    maybe = maybe.join(materialise(maybe.groupBy("component").agg(blocks.alias("blocks"))), "component")
+    maybe = materialise(maybe.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), "blocks").cast("int")).drop("n"))
+    found = docs.join(bounded(maybe), ["_k1", "_k2"]).select("id", "component", "block", "blocks", "text").dropDuplicates(["id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, raw = buffers(batch.column(4))
+            sets = [np.unique(shingles(raw[i:j].tobytes(), shingle)).tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())], names=["id", "component", "block", "blocks", "shingles"])
+
+    sets = materialise(found.mapInArrow(run, "id long, component long, block int, blocks int, shingles binary"))
+    it = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = sets.select("id", "component", "block", "shingles", it.alias("it"))
+    dealt = dealt.select("id", "component", "shingles", F.least("block", "it").alias("lo"), F.greatest("block", "it").alias("hi"), (F.col("block") > F.col("it")).alias("second"))
+
+    def verify(table: pa.Table) -> pa.Table:
+        second = table.column("second").to_numpy(zero_copy_only=False)
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if table.column("lo")[0].as_py() == table.column("hi")[0].as_py() or 0 < second.sum() < len(second):
+            a, b = jaccard_forest([np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()], second, similarity, table.column("id").to_numpy())
+        return pa.table({"a": a, "b": b})
+
+    return connected_components(dealt.groupBy("component", "lo", "hi").applyInArrow(verify, "a long, b long")).withColumnRenamed("node", "id")
 
 
 def hexed(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-__all__ = ["components_of", "fingerprint", "hamming_forest", "hexed", "near_duplicates", "near_texts", "simhash", "within"]
+__all__ = ["components_of", "fingerprint", "hamming_forest", "hexed", "near_duplicates", "near_texts", "simhash", "sketches", "within"]

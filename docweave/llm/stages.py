@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from . import mixing, secrets, toxicity
 from .common import bounded, chunks, materialise
 from .decontaminate import contamination
-from .simhash import near_texts, simhash
+from .simhash import near_texts, sketches
 
 
 def _hashes(*of: Column) -> list[Column]:
@@ -50,18 +50,20 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> Data
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, width: int = 4) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest doc_id, one of equal rows.
 
+    Near-duplicates are connected by pairs whose sets of shingles have at least this Jaccard similarity.
     Texts without words are equal to each other.
     """
     id_, text = F.col("doc_id"), F.col("text")
-    rows = materialise(simhash(docs.select("doc_id", *_hashes(id_, text), "text"), shingle, width=width))
-    known = rows.groupBy("fp", "more").agg(F.min("doc_id").alias("least"))
-    known = materialise(known.withColumn("id", F.monotonically_increasing_id()))
-    named = known.join(near_texts(known, similarity), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    named = materialise(named.select("fp", "more", "component", "least"))
+    rows = materialise(sketches(docs.select("doc_id", *_hashes(id_, text), "text"), shingle, width))
+    known = rows.groupBy("fp", "more", "same", "n").agg(F.min("doc_id").alias("least"), F.min(F.struct("_k1", "_k2")).alias("one"))
+    known = materialise(known.select("fp", "more", "same", "n", "least", "one.*", F.monotonically_increasing_id().alias("id")))
+    near = near_texts(known, docs.select(*_hashes(id_, text), "text"), shingle, similarity)
+    named = known.join(near, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = materialise(named.select("fp", "more", "same", "component", "least"))
     first = named.groupBy("component").agg(F.min("least").alias("first"))
-    of = materialise(named.join(first, "component").select("fp", "more", "component", "first"))
+    of = materialise(named.join(first, "component").select("fp", "more", "same", "component", "first"))
     # the group's rows with its smallest key; among several of them the least hash stays
-    each = materialise(rows.join(of, ["fp", "more"]))
+    each = materialise(rows.join(of, ["fp", "more", "same"]))
     mine = each.where(id_.eqNullSafe(F.col("first")))
     stay = materialise(mine.groupBy("component").agg(F.min(F.struct("_k1", "_k2")).alias("k")).select("k.*"))
     gone = materialise(each.select("_k1", "_k2").distinct().join(stay, ["_k1", "_k2"], "left_anti"))

@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
-from docweave.llm import stages, toxicity
+from docweave.llm import simhash, stages, toxicity
 from docweave.llm.simhash import fingerprints, similar_bits
 from test_mix_decon_simhash import brute_contamination
 from test_secrets import brute as brute_secrets
@@ -53,6 +53,47 @@ def test_one_of_each_edges(spark):
     assert stages.one_of_each(df.limit(0)).count() == 0
 
 
+def jaccard_groups(texts, similarity=0.8):
+    words = [(t or "").lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if (shared >= similarity * (len(sets[i]) + len(sets[j]) - shared)) and group[i] != group[j]:
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    return group
+
+
+def test_one_of_each_is_jaccard(spark):
+    rng = random.Random(11)
+    vocab = [f"w{k}" for k in range(500)]
+    texts = []
+    for k in range(60):
+        base = rng.choices(vocab, k=rng.choice([9, 12, 40, 200, 600]))
+        texts.append(" ".join(base))
+        for _ in range(3):
+            w = list(base)
+            for _ in range(rng.choice([1, len(w) // 60, len(w) // 45, len(w) // 30, len(w) // 20])):
+                w[rng.randrange(len(w))] = "new" + str(rng.random())
+            texts.append(" ".join(w))
+        line = " ".join(rng.choices(vocab, k=12)) + " "
+        texts += [line * 30 + " ".join(rng.choices(vocab, k=60)) for _ in range(2)] if k < 10 else []
+    groups = jaccard_groups(texts)
+    want = sorted({g for g in groups})
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in enumerate(texts)], DOC)
+    assert sorted(r.doc_id for r in stages.one_of_each(df).collect()) == want
+
+
+def test_jaccard_in_blocks(spark, monkeypatch):
+    base = [f"w{k}" for k in range(100)]
+    texts = [" ".join([*base[:k], "x" + str(k), *base[k:]]) for k in range(40)] + [" ".join(base[k:] + base[:k]) for k in range(0, 100, 25)]
+    monkeypatch.setattr(simhash, "ROW_BLOCK", 5)
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in enumerate(texts)], DOC)
+    assert sorted(r.doc_id for r in stages.one_of_each(df).collect()) == sorted(set(jaccard_groups(texts)))
+
+
 def test_other_stages(spark, sf_dir):
     docs, items = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
     rows = docs.collect()
