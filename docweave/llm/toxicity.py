@@ -24,7 +24,7 @@ from .common import CHUNK_BYTES, chunks
 from .mixing import HASH_BITS, hash_of
 
 LENGTH, GAPS, DECAY = 4, 3, 0.8
-#: Characters of a window, the unit that is scored; a sentence is cut into windows at its words.
+#: Characters of a window, the unit that is scored; a sentence is cut into windows at its words, and inside runs longer than a window at every letter.
 WINDOW = 10
 #: Toxic rows that the machine is trained on, about, at most, and twice as many others; chosen by hash.
 SAMPLE_ROWS = 1_500
@@ -113,14 +113,17 @@ class Machine:
         return total
 
     def best(self, s: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The highest decision of the windows that start at a word or at the start of each row."""
+        """The highest decision of the windows that start at a word, inside a long run, or at the start of each row."""
         if len(at) == 1:
             return np.zeros(0)
         value = self.windows(s)
-        lead = s == 0
-        lead[:-1] &= s[1:] != 0
+        lead = np.zeros(len(s), bool)
+        lead[_starts(s)] = True
         lead[at[:-1]] = True
-        return np.maximum.reduceat(np.where(lead, value, -np.inf), at[:-1])
+        out = np.maximum.reduceat(np.where(lead, value, -np.inf), at[:-1])
+        words, ends, row = _spelled(s, at)
+        np.maximum.at(out, row, self.best(words, ends))
+        return out
 
     def score(self, best: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (best - self.middle), -30, 30)))
@@ -142,11 +145,38 @@ def _parts_of(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
             start, size = k + 1, 0
 
 
+def _starts(s: np.ndarray) -> np.ndarray:
+    """Where windows start: before every run, and at each letter of a run that is longer than a window until one reaches its end."""
+    gaps = np.flatnonzero(s == 0)
+    size = np.diff(gaps)
+    many = np.where(size > WINDOW, size - WINDOW + 2, size > 1).astype(np.int64)
+    return np.arange(many.sum()) + np.repeat(gaps[:-1] - (np.cumsum(many) - many), many)
+
+
+def _spelled(s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words that are spelled with a gap after every letter, without these gaps: symbols and offsets as of encode, and their rows."""
+    gaps = np.flatnonzero(s == 0)
+    one = np.concatenate([[False], np.diff(gaps) == 2, [False]])
+    edge = np.flatnonzero(one[1:] != one[:-1]).reshape(-1, 2)
+    edge = edge[edge[:, 1] - edge[:, 0] >= LENGTH]
+    n = edge[:, 1] - edge[:, 0]
+    ends = np.concatenate([[0], np.cumsum(n + 1 + WINDOW)])
+    out = np.zeros(ends[-1], np.uint8)
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    out[np.repeat(ends[:-1] + 1, n) + k] = s[gaps[np.repeat(edge[:, 0], n) + k] + 1]
+    return out, ends, np.searchsorted(at, gaps[edge[:, 0]], "right") - 1
+
+
 def _windows_of(s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows that start at a word of every row (as rows of symbols, gaps after the end), and their rows."""
-    starts = np.flatnonzero((s[:-1] == 0) & (s[1:] != 0))
+    """Windows of every row that start at a word or inside a long run (as rows of symbols, gaps after the end), those of spelled words too, and their rows."""
+    starts = _starts(s)
     row = np.searchsorted(at, starts, "right") - 1
-    return s[starts[:, None] + np.arange(WINDOW)], row
+    words, ends, of = _spelled(s, at)
+    more = _starts(words)
+    row = np.concatenate([row, of[np.searchsorted(ends, more, "right") - 1]])
+    w = np.concatenate([s[starts[:, None] + np.arange(WINDOW)], words[more[:, None] + np.arange(WINDOW)]])
+    order = np.argsort(row, kind="stable")
+    return w[order], row[order]
 
 
 def _features(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,16 +228,23 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1_00
 
 
 def _loosened(w: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The same windows with gaps, and with a chance character, put into their words, cut to size."""
-    out = np.zeros((2 * len(w), w.shape[1]), w.dtype)
+    """The same windows with gaps, and with a chance character, put into their words, and joined behind one, cut to size."""
+    out = np.zeros((3 * len(w), w.shape[1]), w.dtype)
     for k in range(len(out)):
-        row = w[k // 2]
+        row = w[k // 3]
+        first = int(row[0] == 0)  # inside a long run there is no gap before
         end = 1 + int(np.argmax(row[1:] == 0)) if (row[1:] == 0).any() else len(row)
-        if k % 2:
-            word = [x for c in row[1:end] for x in (c, 0)]
+        if k % 3 == 2:
+            out[k] = row
+            out[k, 0] = int(rng.integers(1, 27))
+            if end < len(row):
+                out[k, end:] = rng.integers(1, 27, len(row) - end)
+            continue
+        if k % 3:
+            word = [x for c in row[first:end] for x in (c, 0)]
         else:
             at = int(rng.integers(2, max(3, end)))
-            word = [*row[1:at], int(rng.integers(1, 27)), *row[at:end]]
+            word = [*row[first:at], int(rng.integers(1, 27)), *row[at:end]]
         word = [0, *word][:WINDOW]
         out[k, : len(word)] = word
     return out
@@ -276,8 +313,8 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         bad = np.unique(np.concatenate([hard, rest]))
         near_good, near_bad = _features(w[good])[0], _features(w[bad])[0]
         x = np.concatenate([near_good, _features(_loosened(w[good], rng))[0], near_bad])
-        label = np.concatenate([np.ones(3 * len(good)), -np.ones(len(bad))])
-        many = np.concatenate([often, np.repeat(0.25 * often, 2), np.ones(len(bad))]).astype(np.float64)
+        label = np.concatenate([np.ones(4 * len(good)), -np.ones(len(bad))])
+        many = np.concatenate([often, np.repeat(0.25 * often, 3), np.ones(len(bad))]).astype(np.float64)
         many[label > 0] *= len(bad) / many[label > 0].sum()
         order = np.argsort(-often, kind="stable")
         marks = np.concatenate([near_good[order[: LANDMARKS * 3 // 4]], near_bad[rng.choice(len(bad), min(len(bad), LANDMARKS // 4), replace=False)]])

@@ -153,6 +153,20 @@ def test_toxicity_learns_and_tolerates():
     assert odd.min() > plain.max()
 
 
+def test_toxicity_inside_long_runs():
+    machine = toxicity.train(*sentences(600, 1))
+    insults, around = ["grumpfjack", "zwixnut", "hoggle"], ["tirensomabalo", "madivekbaloren"]
+    score = lambda texts: machine.score(machine.best(*toxicity._rows(texts)))
+    embedded = score([f"ba {a}{x}{b} so" for x in insults for a in around for b in ("", "di", "lotibaso")])
+    plain = score([f"ba {a}{b} so" for a in around for b in ("", "di", "lotibaso")])
+    assert (embedded >= 0.7).mean() > 0.8 and plain.max() < 0.7
+    gapped = score([f"{a} {'.'.join(x)} {b}" for x in insults for a in ("ba", "lo") for b in ("ren", "so")])
+    assert (gapped >= 0.7).mean() > 0.9
+    s, _ = toxicity._rows(["x abcdefghijkl yz"])
+    starts = toxicity._starts(s)
+    assert starts.tolist() == [0, 2, 3, 4, 5, 6, 15]
+
+
 def test_toxicity_edges(spark):
     texts, labels = sentences(200, 3)
     docs = [(i, t, None, None, 0, "x") for i, t in enumerate(texts)] + [(None, "hoggle", None, None, 0, "x"), (1000, None, None, None, 0, "x"), (1001, "", None, None, 0, "x"), (1002, "ba " * 60_000 + "hoggle", None, None, 0, "x")]
