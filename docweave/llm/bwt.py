@@ -23,8 +23,13 @@ def sorted_by(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     if bits + room > 63:
         order = np.argsort(key, kind="stable")
         return order, key[order]
-    both = np.sort(key.astype(np.int64) << room | np.arange(len(key)))
-    return both & ((1 << room) - 1), both >> room
+    both = key.astype(np.int64)
+    both <<= room
+    both |= np.arange(len(key))
+    both.sort()
+    order = (both & ((1 << room) - 1)).astype(np.int32)
+    both >>= room
+    return order, both
 
 
 def suffix_order(symbols: np.ndarray, least: int) -> np.ndarray:
@@ -35,8 +40,8 @@ def suffix_order(symbols: np.ndarray, least: int) -> np.ndarray:
     for d in range(_PACK):
         key = key << _BITS | padded[d : d + n]
     order, key = sorted_by(key, _BITS * _PACK)
-    rank = np.empty(n, np.int64)
-    tied = np.arange(n)
+    rank = np.empty(n, np.int32)
+    tied = np.arange(n, dtype=np.int32)
     at, size, room = order, _PACK, (n + 1).bit_length()
     while True:
         # the rank of a group of equals is the place of its first
@@ -52,7 +57,10 @@ def suffix_order(symbols: np.ndarray, least: int) -> np.ndarray:
         at = order[tied]
         beyond = at + size
         after = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
-        by, key = sorted_by(rank[at] << room | after, 2 * room)
+        key = rank[at].astype(np.int64)
+        key <<= room
+        key |= after
+        by, key = sorted_by(key, 2 * room)
         at = at[by]
         order[tied] = at
         size *= 2
@@ -65,11 +73,11 @@ def undecided(last: np.ndarray, least: int) -> np.ndarray:
     """
     n = len(last)
     by_symbol, _ = sorted_by(last, _BITS)
-    to = np.empty(n, np.int64)
-    to[by_symbol] = np.arange(n)  # place of the suffix that starts one symbol earlier
+    to = np.empty(n, np.int32)
+    to[by_symbol] = np.arange(n, dtype=np.int32)  # place of the suffix that starts one symbol earlier
     open_ = np.ones(n + 1, bool)
     open_[0] = open_[n] = False
-    lo, hi = np.zeros(1, np.int64), np.full(1, n - 1, np.int64)
+    lo, hi = np.zeros(1, np.int32), np.full(1, n - 1, np.int32)
     for _ in range(least):
         one = lo == hi
         single = lo[one]

@@ -133,3 +133,18 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         end = min(n, max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1))
         yield row, end, at[row : end + 1] - at[row], raw[at[row] : at[end]]
         row = end
+
+
+def pieces(column: pa.Array, overlap: int, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, int, bool, np.ndarray, np.ndarray]]:
+    """As ``chunks``, but a text longer than ``size`` comes in parts, each of which shares ``overlap`` bytes with the next.
+
+    Yields first row, end row, place of the part in its text, whether it is the last
+    of it, offsets from 0 and bytes.
+    """
+    for first, end, at, raw in chunks(column, size):
+        if end - first > 1 or len(raw) <= size + overlap:
+            yield first, end, 0, True, at, raw
+            continue
+        for lo in range(0, len(raw) - overlap, size):
+            part = raw[lo : lo + size + overlap]
+            yield first, end, lo, lo + size + overlap >= len(raw), np.array([0, len(part)]), part

@@ -3,11 +3,12 @@
 Windows of ``least`` bytes are dealt by content first: the k-gram with the least
 hash in a window (the last of equal ones) is its anchor, so equal windows have
 equal anchors at equal places.  Neighbouring windows with one anchor form a run;
-equal runs are counted as one.  Only anchors with several different runs need a
-comparison, by threshold-bounded interval expansion on a Burrows-Wheeler transform
-of their runs (``bwt``).  An anchor with too many runs for one task is split by
-the place of the anchor in the window, together with more of the text around it,
-which keeps equal windows together.
+equal runs, by a digest of 128 bits, are one class.  The classes of an anchor that
+may share a window are compared by threshold-bounded interval expansion on a
+Burrows-Wheeler transform of their bytes (``bwt``), in which a class that occurs
+again takes part twice.  Anchors are packed into transforms of bounded size.  An
+anchor with too many runs for one is split by the place of the anchor in the window,
+together with more of the text around it, which keeps equal windows together.
 """
 
 from __future__ import annotations
@@ -21,12 +22,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .common import bounded, buffers, chunks, hash_map, in_map, materialise
+from .common import bounded, buffers, hash_map, in_map, materialise, pieces
 from .words import mixed, powers
 
 K = 48
-#: Bytes that one task compares, about; an anchor with more is split.
+#: Bytes that one transform holds at most; an anchor with more is split.
 BUCKET_BYTES = 1 << 20
+#: Tasks of the comparison at most; each goes through its anchors one transform at a time.
+MOST_TASKS = 50_000
+#: Low bits of an anchor's hash that give way to its place in the piece of text.
+_ROOM = 24
 _NONE = hashlib.sha256(b"").hexdigest()
 
 
@@ -56,17 +61,20 @@ def _least_of(a: np.ndarray, window: int) -> np.ndarray:
 
 
 def runs(at: np.ndarray, raw: np.ndarray, least: int, k: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: row, first window in it, windows, place and hash of the anchor, hash of the run,
-    and of the anchor with half of the rest of a window on its left and right, 0 where a run has less."""
-    nothing = tuple(np.zeros(0, np.int64) for _ in range(8))
+    """Runs of windows with one anchor: row, first window in it, windows, place and hash of the anchor, digest of the run
+    (two numbers), and hash of the anchor with half of the rest of a window on its left and right, 0 where a run has less.
+
+    Anchors are chosen by the upper 40 bits of their hash, the last of equal ones, whatever else is in ``raw``.
+    """
+    nothing = tuple(np.zeros(0, np.int64) for _ in range(9))
     if len(raw) < least:
         return nothing
     h = Hashes(raw)
     n = len(raw) - k + 1
     grams = h.of(np.arange(n), np.arange(n) + k)
-    room = np.uint64(len(raw).bit_length())
-    packed = (grams >> room << room) | (np.uint64((1 << int(room)) - 1) - np.arange(n, dtype=np.uint64))
-    anchor = (np.uint64((1 << int(room)) - 1) - (_least_of(packed, least - k + 1) & np.uint64((1 << int(room)) - 1))).astype(np.int64)
+    room, low = np.uint64(_ROOM), np.uint64((1 << _ROOM) - 1)
+    packed = (grams >> room << room) | (low - np.arange(n, dtype=np.uint64))
+    anchor = (low - (_least_of(packed, least - k + 1) & low)).astype(np.int64)
     size = np.diff(at)
     many = np.maximum(0, size - least + 1)
     row = np.repeat(np.arange(len(size)), many)
@@ -81,12 +89,15 @@ def runs(at: np.ndarray, raw: np.ndarray, least: int, k: int) -> tuple[np.ndarra
     end, half = lo + count - 1 + least, (least - k) // 2
     left = np.where(pos - half >= lo, h.of(np.maximum(pos - half, 0), pos + k), np.uint64(0))
     right = np.where(pos + k + half <= end, h.of(pos, np.minimum(pos + k + half, len(raw))), np.uint64(0))
-    return row, lo - at[row], count, pos - lo, *(v.view(np.int64) for v in (grams[pos], h.of(lo, end), left, right))
+    data = raw.tobytes()
+    digests = b"".join([hashlib.blake2b(data[i:j], digest_size=16).digest() for i, j in zip(lo.tolist(), end.tolist(), strict=True)])
+    c, d = np.frombuffer(digests, np.int64).reshape(-1, 2).T
+    return row, lo - at[row], count, pos - lo, grams[pos].view(np.int64), c, d, left.view(np.int64), right.view(np.int64)
 
 
-_RUN = "lo int, n int, x int, h long, c long, left long, right long"
+_RUN = "lo int, n int, x int, h long, c long, d long, left long, right long"
 #: What tells different runs of one anchor apart.
-_SAME = ["h", "x", "n", "c"]
+_SAME = ["h", "x", "n", "c", "d"]
 
 
 def _text_key() -> Column:
@@ -99,10 +110,16 @@ def _scan(docs: DataFrame, least: int, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, at, raw in chunks(batch.column(1)):
-                row, lo, n, x, *hashes = runs(at, raw, least, k)
+            held = []
+            for first, end, place, last, at, raw in pieces(batch.column(1), least - 1):
+                row, lo, *more = runs(at, raw, least, k)
+                held.append((row, lo + place, *more))
+                if not last:
+                    continue
+                row, *cols = (np.concatenate(c) for c in zip(*held, strict=True))
+                held = []
                 cuts = pa.array(np.searchsorted(row, np.arange(end - first + 1)).astype(np.int32))
-                parts = [pa.array(v.astype(np.int32)) for v in (lo, n, x)] + [pa.array(v) for v in hashes]
+                parts = [pa.array(v.astype(np.int32)) for v in cols[:3]] + [pa.array(v) for v in cols[3:]]
                 found = pa.ListArray.from_arrays(cuts, pa.StructArray.from_arrays(parts, fields=list(kind.value_type)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), found], names=["key", "runs"])
 
@@ -111,12 +128,17 @@ def _scan(docs: DataFrame, least: int, k: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, text) of rows whose key may be among ``keys`` (materialised), so that few others are shuffled."""
+    """(key, text) of rows whose key may be among ``keys`` (materialised), once a task, so that few others are shuffled."""
     known = docs.sparkSession.sparkContext.broadcast(hash_map(keys.select(F.xxhash64("key").alias("mark")), "mark"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             hit = in_map(known.value, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
+            for i in np.flatnonzero(hit).tolist():
+                key = batch.column(0)[i].as_py()
+                hit[i] = key not in seen
+                seen.add(key)
             yield batch.filter(pa.array(hit)).select(["key", "text"])
 
     rows = docs.select(_text_key().alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("mark", F.xxhash64("key"))
@@ -136,6 +158,7 @@ _SPANS_ARROW = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32())]))
 def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     """``runs_`` (key, lo, n, more) with the bytes of each run, taken from the texts with that key."""
     more = [c for c in runs_.columns if c not in ("key", "lo")]
+    arrow = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
     wanted = materialise(runs_.groupBy("key").agg(F.collect_list(F.struct("lo", *more)).alias("runs")))
     rows = _texts(docs, wanted).join(bounded(wanted), "key").select("key", "text", "runs")
     kinds = {f.name: f.dataType.simpleString() for f in runs_.schema}
@@ -152,43 +175,73 @@ def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
                 for r in batch.column(2)[row].as_py():
                     lo = int(at[row]) + r.pop("lo")
                     out.append(r | {"bytes": raw[lo : lo + r["n"] - 1 + least].tobytes()})
-            types = [(c, pa.int64() if kinds[c] == "bigint" else pa.int32()) for c in more] + [("bytes", pa.binary())]
+            types = [(c, arrow[kinds[c]]) for c in more] + [("bytes", pa.binary())]
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(types))
 
     return rows.mapInArrow(cut, ", ".join(f"{c} {kinds[c]}" for c in more) + ", bytes binary")
 
 
 def _shared(kinds: DataFrame, least: int) -> DataFrame:
-    """Different runs of one anchor that may have a window in common, with the bytes of all such runs of the anchor.
+    """Classes of one anchor that may have a window in common with others or that occur again, with the bytes of all such classes of the anchor.
 
     A window reaches at least half of what the anchor leaves of it to the left or to
-    the right, so two runs must have that much beside the anchor in common.
+    the right, so two runs must have that much beside the anchor in common.  Counts are
+    written before they are joined, so that adaptive execution can split a hot anchor.
     """
-    several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    rows = materialise(kinds.join(several, "h").drop("kinds"))
+    several = materialise(kinds.groupBy("h").agg(F.sum("m").alias("runs")).where("runs > 1"))
+    rows = materialise(kinds.join(several, "h").select(*_SAME, (F.col("m") > 1).alias("twice"), "first.*", "left", "right"))
+    near = F.col("twice")
     for side in ("left", "right"):
         often = rows.where(f"{side} <> 0").groupBy("h", side).agg(F.count("*").alias("times")).where("times > 1")
-        rows = rows.join(often.withColumnRenamed("times", f"{side}_times"), ["h", side], "left")
-    rows = materialise(rows.where("left_times is not null or right_times is not null").select(*_SAME, "first.*"))
-    return rows.join(rows.groupBy("h").agg(F.sum(F.col("n") + least - 1).alias("bytes_all")), "h")
+        rows = rows.join(materialise(often.withColumnRenamed("times", f"{side}_times")), ["h", side], "left")
+        near = near | F.col(f"{side}_times").isNotNull()
+    rows = materialise(rows.where(near).select(*_SAME, "twice", "key", "lo"))
+    size = (F.col("n") + least) * F.when(F.col("twice"), 2).otherwise(1)  # with a separator
+    return rows.join(materialise(rows.groupBy("h").agg(F.sum(size).alias("bytes_all"))), "h")
+
 
+def _packed(parts: DataFrame, least: int, total: int, group: str) -> DataFrame:
+    """(h, x, n, c, d, spans): windows of each run that also start elsewhere in ``parts`` (h, x, n, c, d, twice, off, bytes).
 
-def _compare(parts: DataFrame, least: int, total: int, key: str) -> DataFrame:
-    """(h, x, n, c, spans): windows of each run that also start elsewhere in ``parts`` (h, x, n, c, off, bytes)."""
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    kind = pa.schema([("h", pa.int64()), ("x", pa.int32()), ("n", pa.int32()), ("c", pa.int64()), ("spans", _SPANS_ARROW)])
+    Runs of one ``group``, BUCKET_BYTES of them at most, go into one transform, with
+    as many other groups as there is room for.  Repeated rows count once.
+    """
+    kind = pa.schema([("h", pa.int64()), ("x", pa.int32()), ("n", pa.int32()), ("c", pa.int64()), ("d", pa.int64()), ("spans", _SPANS_ARROW)])
+    names = [*_SAME, "off", "twice", "bytes"]
 
-    def run(table: pa.Table) -> pa.Table:
-        names = [*_SAME, "off", "bytes"]
-        once = dict.fromkeys(zip(*(table.column(c).to_pylist() for c in names), strict=True))
-        rows = []
-        for (h, x, n, c, off, _), flags in zip(once, repeated([r[-1] for r in once], least), strict=True):
+    def compare(rows: list[tuple]) -> pa.RecordBatch:
+        texts = [r[-1] for r in rows]
+        out = []
+        for (*same, off, _, _), flags in zip(rows, repeated(texts + [r[-1] for r in rows if r[-2]], least), strict=False):
             if flags.any():
-                rows.append({"h": h, "x": x, "n": n, "c": c, "spans": [{"i": s["i"] + off, "j": s["j"] + off} for s in _spans_of(flags)]})
-        return pa.Table.from_pylist(rows, schema=kind)
+                out.append((*same, [{"i": s["i"] + off, "j": s["j"] + off} for s in _spans_of(flags)]))
+        cols = zip(*out, strict=True) if out else [[]] * len(kind)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind, strict=True)], schema=kind)
 
-    dealt = parts.select(*_SAME, "off", "bytes", F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"))
-    return dealt.groupBy("bucket").applyInArrow(run, f"h long, x int, n int, c long, spans {_SPANS}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full: list[tuple] = []  # whole groups
+        open_: list[tuple] = []
+        sizes, last, before = [0, 0], None, None
+        for batch in batches:
+            for now, *row in zip(*(batch.column(c).to_pylist() for c in ("group", *names)), strict=True):
+                if now != last:
+                    full += open_
+                    open_, sizes, last = [], [sum(sizes), 0], now
+                if row[:-1] == before:
+                    continue
+                before = row[:-1]
+                size = (len(row[-1]) + 1) * (2 if row[-2] else 1)
+                if full and sum(sizes) + size > BUCKET_BYTES:
+                    yield compare(full)
+                    full, sizes[0] = [], 0
+                open_.append(tuple(row))
+                sizes[1] += size
+        if full or open_:
+            yield compare(full + open_)
+
+    dealt = parts.select(F.col(group).alias("group"), *names)
+    dealt = dealt.repartition(min(MOST_TASKS, 1 + total // (2 * BUCKET_BYTES)), "group").sortWithinPartitions("group", *_SAME, "off")
+    return dealt.mapInArrow(run, f"h long, x int, n int, c long, d long, spans {_SPANS}")
 
 
 def _split(parts: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
@@ -199,7 +252,7 @@ def _split(parts: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
     ``least`` - x1 after its start, so equal windows agree in these.  Equal parts
     are counted as one; of those that occur again every window is repeated.
     """
-    kinds = "h long, x int, n int, c long, x0 int, x1 int, off int, near long, whole long, bytes binary"
+    kinds = "h long, x int, n int, c long, d long, twice boolean, x0 int, x1 int, off int, near binary, whole binary, bytes binary"
 
     def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,22 +268,28 @@ def _split(parts: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
                     if x0 <= x1 and a <= b:
                         part = r["bytes"][high - b : high - a + least]
                         common = part[b - x0 : b + least - x1]
-                        digest = lambda s: int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True)
+                        digest = lambda s: hashlib.blake2b(s, digest_size=16).digest()
                         out.append({**r, "x0": x0, "x1": x1, "off": r["off"] + high - b, "near": digest(common), "whole": digest(b"%d %d " % (a, b) + part), "bytes": part})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    schema = pa.schema([("h", pa.int64()), ("x", pa.int32()), ("n", pa.int32()), ("c", pa.int64()), ("x0", pa.int32()), ("x1", pa.int32()), ("off", pa.int32()), ("near", pa.int64()), ("whole", pa.int64()), ("bytes", pa.binary())])
-    now = parts.withColumns({"x0": F.lit(0), "x1": F.lit(least - k), "near": F.lit(0).cast("long"), "whole": F.lit(0).cast("long")}).select([f.name for f in schema])
+    schema = pa.schema(
+        [("h", pa.int64()), ("x", pa.int32()), ("n", pa.int32()), ("c", pa.int64()), ("d", pa.int64()), ("twice", pa.bool_()), ("x0", pa.int32()), ("x1", pa.int32())]
+        + [("off", pa.int32()), ("near", pa.binary()), ("whole", pa.binary()), ("bytes", pa.binary())]
+    )
+    none = F.lit(b"")
+    now = parts.withColumns({"x0": F.lit(0), "x1": F.lit(least - k), "near": none, "whole": none}).select([f.name for f in schema])
     node = ["h", "x0", "x1", "near"]
     done, rest = [], []
     while True:
         now = materialise(now.mapInArrow(halve, kinds))
-        each = now.groupBy(*node, "whole").agg(F.count("*").alias("m"), F.min(F.struct("x", "n", "c", "off")).alias("first"), F.max(F.length("bytes")).alias("size"))
+        each = now.groupBy(*node, "whole").agg(
+            F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("m"), F.min(F.struct(*_SAME[1:], "off")).alias("first"), F.max(F.length("bytes") + 1).alias("size")
+        )
         each = materialise(each)
-        found = now.join(each.where("m > 1").select(*node, "whole"), [*node, "whole"], "left_semi")
+        found = now.join(materialise(each.where("m > 1").select(*node, "whole")), [*node, "whole"], "left_semi")
         windows = F.length("bytes") - least + 1
         done.append(found.select(*_SAME, F.array(F.struct(F.col("off").alias("i"), (F.col("off") + windows).cast("int").alias("j"))).alias("spans")))
-        sums = each.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum("size").alias("bytes_all")).where("kinds > 1 and x0 < x1")
+        sums = each.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum(F.col("size") * F.when(F.col("m") > 1, 2).otherwise(1)).alias("bytes_all")).where("kinds > 1 and x0 < x1")
         sums = materialise(sums)
         one = each.select(*node, "whole", "first.*").join(sums, node).select(*node, *_SAME[1:], "off", "bytes_all")
         left = now.join(one, [*node, *_SAME[1:], "off"]).select([f.name for f in schema] + ["bytes_all"])
@@ -257,15 +316,15 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = K) -> tuple[DataF
     first = [F.min(F.struct("key", "lo")).alias("first"), F.min("left").alias("left"), F.min("right").alias("right")]
     kinds = materialise(marks.groupBy(*_SAME).agg(F.sum("copies").alias("m"), *first))
     wanted = materialise(_shared(kinds, least))
-    parts = materialise(_texts_of(wanted.select("key", "lo", *_SAME, "bytes_all"), docs, least).withColumn("off", F.lit(0)))
-    total = wanted.agg(F.sum(F.when(F.col("bytes_all") <= BUCKET_BYTES, F.col("n") + least - 1))).first()[0] or 0
-    every = F.array(F.struct(F.lit(0).alias("i"), F.col("n").alias("j")))
-    found = [kinds.where("m > 1").select(*_SAME, every.alias("spans")), _compare(parts.where(F.col("bytes_all") <= BUCKET_BYTES), least, total, "h")]
-    large = parts.where(F.col("bytes_all") > BUCKET_BYTES).drop("bytes_all")
+    parts = materialise(_texts_of(wanted, docs, least).withColumn("off", F.lit(0)))
+    fits = F.col("bytes_all") <= BUCKET_BYTES
+    total = wanted.agg(F.sum(F.when(fits, F.col("n") + least))).first()[0] or 0
+    found = [_packed(parts.where(fits), least, total, "h")]
+    large = parts.where(~fits).drop("bytes_all")
     if not large.isEmpty():
         sure, rest = _split(large.dropDuplicates(_SAME), least, k)
         size = rest.agg(F.sum(F.length("bytes"))).first()[0] or 0
-        found += [sure, _compare(rest.withColumn("node", F.xxhash64("h", "x0", "x1", "near")).drop("x0", "x1"), least, size, "node")]
+        found += [sure, _packed(rest.withColumn("node", F.xxhash64("h", "x0", "x1", "near")).drop("x0", "x1"), least, size, "node")]
     hits = found[0]
     for f in found[1:]:
         hits = hits.unionByName(f)
