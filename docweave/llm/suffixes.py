@@ -3,10 +3,10 @@
 Windows of ``least`` bytes are dealt by content first: the k-gram with the least
 hash in a window (the last of equal ones) is its anchor, so equal windows have
 equal anchors at equal places.  Neighbouring windows with one anchor form a run;
-equal runs, by a digest of 128 bits, are one class.  The classes of an anchor that
-may share a window are compared by threshold-bounded interval expansion on a
-Burrows-Wheeler transform of their bytes (``bwt``), in which a class that occurs
-again takes part twice.  Anchors are packed into transforms of bounded size.  An
+equal runs, by a digest of 128 bits, are one class with a count.  Different classes of
+an anchor that may share a window are compared by threshold-bounded interval expansion
+on a Burrows-Wheeler transform of their bytes (``bwt``); of a class that occurs again every
+window is repeated.  Anchors are packed into transforms of bounded size.  An
 anchor with too many runs for one is split by the place of the anchor in the window,
 together with more of the text around it, which keeps equal windows together.
 """
@@ -158,7 +158,7 @@ _SPANS_ARROW = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32())]))
 def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     """``runs_`` (key, lo, n, more) with the bytes of each run, taken from the texts with that key."""
     more = [c for c in runs_.columns if c not in ("key", "lo")]
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    arrow = {"bigint": pa.int64(), "int": pa.int32()}
     wanted = materialise(runs_.groupBy("key").agg(F.collect_list(F.struct("lo", *more)).alias("runs")))
     rows = _texts(docs, wanted).join(bounded(wanted), "key").select("key", "text", "runs")
     kinds = {f.name: f.dataType.simpleString() for f in runs_.schema}
@@ -182,37 +182,36 @@ def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
 
 
 def _shared(kinds: DataFrame, least: int) -> DataFrame:
-    """Classes of one anchor that may have a window in common with others or that occur again, with the bytes of all such classes of the anchor.
+    """Classes of one anchor that may have a window in common with others, with the bytes of all such classes of the anchor.
 
     A window reaches at least half of what the anchor leaves of it to the left or to
     the right, so two runs must have that much beside the anchor in common.  Counts are
     written before they are joined, so that adaptive execution can split a hot anchor.
     """
-    several = materialise(kinds.groupBy("h").agg(F.sum("m").alias("runs")).where("runs > 1"))
-    rows = materialise(kinds.join(several, "h").select(*_SAME, (F.col("m") > 1).alias("twice"), "first.*", "left", "right"))
-    near = F.col("twice")
+    several = materialise(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    rows = materialise(kinds.join(several, "h").select(*_SAME, "first.*", "left", "right"))
+    near = F.lit(False)
     for side in ("left", "right"):
         often = rows.where(f"{side} <> 0").groupBy("h", side).agg(F.count("*").alias("times")).where("times > 1")
         rows = rows.join(materialise(often.withColumnRenamed("times", f"{side}_times")), ["h", side], "left")
         near = near | F.col(f"{side}_times").isNotNull()
-    rows = materialise(rows.where(near).select(*_SAME, "twice", "key", "lo"))
-    size = (F.col("n") + least) * F.when(F.col("twice"), 2).otherwise(1)  # with a separator
+    rows = materialise(rows.where(near).select(*_SAME, "key", "lo"))
+    size = F.col("n") + least  # with a separator
     return rows.join(materialise(rows.groupBy("h").agg(F.sum(size).alias("bytes_all"))), "h")
 
 
 def _packed(parts: DataFrame, least: int, total: int, group: str) -> DataFrame:
-    """(h, x, n, c, d, spans): windows of each run that also start elsewhere in ``parts`` (h, x, n, c, d, twice, off, bytes).
+    """(h, x, n, c, d, spans): windows of each run that also start elsewhere in ``parts`` (h, x, n, c, d, off, bytes).
 
     Runs of one ``group``, BUCKET_BYTES of them at most, go into one transform, with
     as many other groups as there is room for.  Repeated rows count once.
     """
     kind = pa.schema([("h", pa.int64()), ("x", pa.int32()), ("n", pa.int32()), ("c", pa.int64()), ("d", pa.int64()), ("spans", _SPANS_ARROW)])
-    names = [*_SAME, "off", "twice", "bytes"]
+    names = [*_SAME, "off", "bytes"]
 
     def compare(rows: list[tuple]) -> pa.RecordBatch:
-        texts = [r[-1] for r in rows]
         out = []
-        for (*same, off, _, _), flags in zip(rows, repeated(texts + [r[-1] for r in rows if r[-2]], least), strict=False):
+        for (*same, off, _), flags in zip(rows, repeated([r[-1] for r in rows], least), strict=True):
             if flags.any():
                 out.append((*same, [{"i": s["i"] + off, "j": s["j"] + off} for s in _spans_of(flags)]))
         cols = zip(*out, strict=True) if out else [[]] * len(kind)
@@ -230,7 +229,7 @@ def _packed(parts: DataFrame, least: int, total: int, group: str) -> DataFrame:
                 if row[:-1] == before:
                     continue
                 before = row[:-1]
-                size = (len(row[-1]) + 1) * (2 if row[-2] else 1)
+                size = len(row[-1]) + 1
                 if full and sum(sizes) + size > BUCKET_BYTES:
                     yield compare(full)
                     full, sizes[0] = [], 0
@@ -252,7 +251,7 @@ def _split(parts: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
     ``least`` - x1 after its start, so equal windows agree in these.  Equal parts
     are counted as one; of those that occur again every window is repeated.
     """
-    kinds = "h long, x int, n int, c long, d long, twice boolean, x0 int, x1 int, off int, near binary, whole binary, bytes binary"
+    kinds = "h long, x int, n int, c long, d long, x0 int, x1 int, off int, near binary, whole binary, bytes binary"
 
     def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,7 +272,7 @@ def _split(parts: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     schema = pa.schema(
-        [("h", pa.int64()), ("x", pa.int32()), ("n", pa.int32()), ("c", pa.int64()), ("d", pa.int64()), ("twice", pa.bool_()), ("x0", pa.int32()), ("x1", pa.int32())]
+        [("h", pa.int64()), ("x", pa.int32()), ("n", pa.int32()), ("c", pa.int64()), ("d", pa.int64()), ("x0", pa.int32()), ("x1", pa.int32())]
         + [("off", pa.int32()), ("near", pa.binary()), ("whole", pa.binary()), ("bytes", pa.binary())]
     )
     none = F.lit(b"")
@@ -282,14 +281,12 @@ def _split(parts: DataFrame, least: int, k: int) -> tuple[DataFrame, DataFrame]:
     done, rest = [], []
     while True:
         now = materialise(now.mapInArrow(halve, kinds))
-        each = now.groupBy(*node, "whole").agg(
-            F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("m"), F.min(F.struct(*_SAME[1:], "off")).alias("first"), F.max(F.length("bytes") + 1).alias("size")
-        )
+        each = now.groupBy(*node, "whole").agg(F.count("*").alias("m"), F.min(F.struct(*_SAME[1:], "off")).alias("first"), F.max(F.length("bytes") + 1).alias("size"))
         each = materialise(each)
         found = now.join(materialise(each.where("m > 1").select(*node, "whole")), [*node, "whole"], "left_semi")
         windows = F.length("bytes") - least + 1
         done.append(found.select(*_SAME, F.array(F.struct(F.col("off").alias("i"), (F.col("off") + windows).cast("int").alias("j"))).alias("spans")))
-        sums = each.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum(F.col("size") * F.when(F.col("m") > 1, 2).otherwise(1)).alias("bytes_all")).where("kinds > 1 and x0 < x1")
+        sums = each.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum("size").alias("bytes_all")).where("kinds > 1 and x0 < x1")
         sums = materialise(sums)
         one = each.select(*node, "whole", "first.*").join(sums, node).select(*node, *_SAME[1:], "off", "bytes_all")
         left = now.join(one, [*node, *_SAME[1:], "off"]).select([f.name for f in schema] + ["bytes_all"])
@@ -319,7 +316,8 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = K) -> tuple[DataF
     parts = materialise(_texts_of(wanted, docs, least).withColumn("off", F.lit(0)))
     fits = F.col("bytes_all") <= BUCKET_BYTES
     total = wanted.agg(F.sum(F.when(fits, F.col("n") + least))).first()[0] or 0
-    found = [_packed(parts.where(fits), least, total, "h")]
+    every = F.array(F.struct(F.lit(0).alias("i"), F.col("n").alias("j")))
+    found = [kinds.where("m > 1").select(*_SAME, every.alias("spans")), _packed(parts.where(fits), least, total, "h")]
     large = parts.where(~fits).drop("bytes_all")
     if not large.isEmpty():
         sure, rest = _split(large.dropDuplicates(_SAME), least, k)
