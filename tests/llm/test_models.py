@@ -3,11 +3,13 @@
 import math
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from docweave.llm import langid, queries, tokens, toxicity, urls
 from docweave.llm.pivots import near_vectors
 
@@ -272,3 +274,50 @@ def test_threshold(spark, allow, block, want):
     rows = [("allow", float(x)) for x in allow] + [("block", float(x)) for x in block]
     edge = urls._threshold(spark.createDataFrame(rows, "verdict string, ratio double"))
     assert want[0] <= edge <= want[1]
+
+
+def test_url_verdicts_are_brute_force(spark, sf_dir):
+    some = [(i, u) for i, u in enumerate([None, "", "no scheme", "http://q.com/?bad=1", "http://q.com/?bad=1", "http://q.com/#é\U0001f600", "https://net/a?b", "https://a.org/fr/1"])]
+    df = spark.createDataFrame(some, "page_id long, url string").unionByName(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"))
+    got, order = urls.judge(df).collect(), urls.ORDER
+    times, said = Counter(r.url or "" for r in got), {}
+    for r in got:
+        _, _, rule = brute_url(r.url)
+        said[r.url or ""] = rule[1] if rule else None
+    held = {u: struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(u.encode(), 42)))[0] % 5 == 0 for u in times}
+    grams = {u: [t[i : i + order + 1] for t in ["\u0002" * order + u + "\u0003"] for i in range(len(u) + 1)] for u in times}
+    known = [(said[u], g, times[u]) for u in times if said[u] and not held[u] for g in grams[u]]
+    ratios = brute_ratios(known, {g for u in times for g in grams[u]}, order)
+    mean = {u: sum(ratios[g] for g in grams[u]) / len(grams[u]) for u in times}
+    scored = [(said[u], mean[u], times[u]) for u in times if said[u] and held[u]]
+    edge = urls._threshold(spark.createDataFrame(scored, "verdict string, ratio double, n long"))
+    unruled = [r for r in got if r.rule is None]
+    assert len(unruled) > 20 and len({r.verdict for r in unruled}) == 2
+    for r in unruled:
+        assert abs(r.ratio - mean[r.url or ""]) < 1e-9
+        assert abs(r.ratio - edge) < 1e-9 or r.verdict == ("allow" if r.ratio >= edge else "block")
+
+
+def test_rare_url_grams_and_many_rules(spark, sf_dir, monkeypatch):
+    df = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    rows = lambda: sorted((r.page_id, r.url, r.rule, r.verdict, round(r.ratio or 0, 9)) for r in urls.judge(df).collect())
+    want = rows()
+    monkeypatch.setattr(urls, "BROADCAST_ROWS", 50)
+    monkeypatch.setattr(urls, "EXPRESSION_RULES", 0)
+    assert rows() == want
+
+
+def test_url_plan_is_linear(spark, sf_dir, monkeypatch):
+    exchanges = []
+
+    def written(df, f=urls.materialise):
+        exchanges.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return f(df)
+
+    monkeypatch.setattr(urls, "materialise", written)
+    for order in (2, 4):
+        exchanges.clear()
+        urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), order=order)
+        if order == 2:
+            two = sum(exchanges)
+    assert sum(exchanges) <= 40 and max(exchanges) <= 5 and sum(exchanges) - two <= 12
