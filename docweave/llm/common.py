@@ -148,3 +148,23 @@ def pieces(column: pa.Array, overlap: int, size: int = CHUNK_BYTES) -> Iterator[
         for lo in range(0, len(raw) - overlap, size):
             part = raw[lo : lo + size + overlap]
             yield first, end, lo, lo + size + overlap >= len(raw), np.array([0, len(part)]), part
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of neighbouring rows with equal ``keys`` (integers), each as a table, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], 1)
+        cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            now = tuple(values[i])
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(i, j - i))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)

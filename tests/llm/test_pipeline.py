@@ -94,6 +94,22 @@ def test_jaccard_in_blocks(spark, monkeypatch):
     assert sorted(r.doc_id for r in stages.one_of_each(df).collect()) == sorted(set(jaccard_groups(texts)))
 
 
+def test_jaccard_across_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(100)]
+    texts = []
+    for k in range(60):  # one change each: 0.8 and more; more changes: candidates that are less
+        words = list(base)
+        for _ in range(1 + k % 3):
+            words[rng.randrange(100)] = f"x{k}"
+        texts.append(" ".join(words))
+    monkeypatch.setattr(simhash, "ROW_BLOCK", 6)
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in enumerate(texts)], DOC)
+    groups = jaccard_groups(texts)
+    assert 5 < len(set(groups)) < 50
+    assert sorted(r.doc_id for r in stages.one_of_each(df).collect()) == sorted(set(groups))
+
+
 def test_other_stages(spark, sf_dir):
     docs, items = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
     rows = docs.collect()
