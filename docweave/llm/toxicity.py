@@ -32,6 +32,10 @@ SAMPLE_ROWS = 1_500
 TRAIN_CHARS = 20_000
 LANDMARKS = 512
 SYMBOLS = 40
+#: Occurrences in one text that count in training, and how much more frequent in toxic texts a window of others must be to be blamed.
+OFTEN, RATHER = 3, 4.0
+#: Windows of a toxic text that are blamed at most in each round.
+BLAMED = 8
 #: Windows whose subsequences are held at a time in training.
 STEP = 20_000
 
@@ -92,17 +96,23 @@ def codes(s: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
     return out
 
 
+#: A window counts in part as a hit from a decision (one of EDGES, by calibration) up to UNSURE more; hits and words that every text has from the outset.
+EDGES, UNSURE, PRIOR_HITS, PRIOR_WORDS = (0.0, 0.2, 0.4, 0.6), 0.3, 0.02, 10
+
+
 @dataclass(frozen=True)
 class Machine:
-    """Weights of subsequences, the bias, and the calibration of a text's best window."""
+    """Weights of subsequences, the bias, and the calibration: from when on a window is a hit, what a text's evidence weighs, and where the middle is."""
 
     table: np.ndarray
-    slope: float
-    middle: float
+    bias: float
+    edge: float = 0.0
+    weights: tuple[float, float] = (0.0, 0.0)
+    middle: float = 0.0
 
     def windows(self, s: np.ndarray) -> np.ndarray:
         """Decision of the window that starts at each position, over the subsequences that stay inside it."""
-        n, total = len(s), np.zeros(len(s))
+        n, total = len(s), np.full(len(s), self.bias)
         for last in sorted({o[-1] for o, _ in OFFSETS}):
             each = np.zeros(n, np.float32)
             for o, weight in OFFSETS:
@@ -112,21 +122,34 @@ class Machine:
             total += sums[np.minimum(np.arange(n) + WINDOW - last, n)] - sums[:n]
         return total
 
+    def hit(self, value: np.ndarray) -> np.ndarray:
+        return np.clip((value - self.edge) / UNSURE, 0, 1)
+
     def best(self, s: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The highest decision of the windows that start at a word, inside a long run, or at the start of each row."""
-        if len(at) == 1:
-            return np.zeros(0)
+        """The evidence of each row: the highest decision of its windows, and the log of the share of words that are hits.
+
+        Windows start at a word, inside a long run, or at the start of the row.
+        """
+        rows = len(at) - 1
+        if not rows:
+            return np.zeros((0, 2))
         value = self.windows(s)
         lead = np.zeros(len(s), bool)
         lead[_starts(s)] = True
         lead[at[:-1]] = True
-        out = np.maximum.reduceat(np.where(lead, value, -np.inf), at[:-1])
-        words, ends, row = _spelled(s, at)
-        np.maximum.at(out, row, self.best(words, ends))
-        return out
+        top = np.maximum.reduceat(np.where(lead, value, -np.inf), at[:-1])
+        words = np.maximum(1, np.diff(at) - WINDOW - np.add.reduceat(s > 0, at[:-1], dtype=np.int64))  # gaps
+        hits = np.add.reduceat(np.where(lead, self.hit(value), 0), at[:-1])
+        spelled, ends, row = _spelled(s, at)
+        if len(row):
+            value = self.windows(spelled)
+            found = np.maximum.reduceat(value, ends[:-1])
+            np.maximum.at(top, row, found)
+            np.add.at(hits, row, self.hit(found))
+        return np.column_stack([np.clip(top, -3, 3), np.log((hits + PRIOR_HITS) / (words + PRIOR_WORDS))])
 
     def score(self, best: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (best - self.middle), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(best @ np.array(self.weights) - self.middle, -30, 30)))
 
 
 def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -253,14 +276,15 @@ def _loosened(w: np.ndarray, rng: np.random.Generator) -> np.ndarray:
 def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) -> Machine:
     """Machine for labelled texts.
 
-    A label holds for some window of a toxic text and for every window of others.
+    A label holds for some window of a toxic text and for most windows of others.
     The first guess at the windows to blame is by how often their subsequences
     occur in texts of either label; each round trains the machine and picks again.
-    A quarter of the texts calibrates the score only.
+    A window that occurs in other texts too is to blame only if it is far more frequent
+    in toxic ones.  A quarter of the texts calibrates the score only.
     """
     y = np.array(toxic) > 0
     if not y.any() or y.all():
-        return Machine(np.zeros(SYMBOLS**LENGTH, np.float32), 1.0, -20.0 if y.any() else 20.0)
+        return Machine(np.zeros(SYMBOLS**LENGTH, np.float32), 0.0, middle=-20.0 if y.any() else 20.0)
     rng = np.random.default_rng(seed)
     held = np.zeros(len(y), bool)
     for own in (np.flatnonzero(y), np.flatnonzero(~y)):
@@ -276,15 +300,16 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
     for part in np.array_split(np.arange(len(fit)), max(1, len(w) // STEP)):  # whole texts, so that each counts once
         rows = np.arange(np.searchsorted(row, part[0]), np.searchsorted(row, part[-1], "right")) if len(part) else part
         dense = _features(w[rows])[0][:, : WINDOW - LENGTH + 1]  # subsequences without gaps come first
-        pairs = np.unique(row[rows].astype(np.int64).repeat(dense.shape[1]) * SYMBOLS**LENGTH + dense.ravel())
+        pairs, times = np.unique(row[rows].astype(np.int64).repeat(dense.shape[1]) * SYMBOLS**LENGTH + dense.ravel(), return_counts=True)
         label = y[fit][pairs // SYMBOLS**LENGTH]
         for k, into in counts.items():
-            np.add.at(into, pairs[label == k] % SYMBOLS**LENGTH, 1)
+            np.add.at(into, pairs[label == k] % SYMBOLS**LENGTH, np.minimum(times[label == k], OFTEN))
     in_yes, in_no = counts[True], counts[False]
     w, back = np.unique(w.view(f"V{WINDOW}").ravel(), return_inverse=True)
     w, back = w.view(np.uint8).reshape(-1, WINDOW), back.ravel().astype(np.int32)
     n_yes, n_no = max(1, y[fit].sum()), max(1, (~y[fit]).sum())
-    odds = np.log((in_yes + 0.5) / (n_yes + 1)) - np.log((in_no + 0.5) / (n_no + 1))
+    # the log of the ratio less two standard deviations, so that rare ones don't win by chance
+    odds = np.log((in_yes + 0.5) / (n_yes + 1)) - np.log((in_no + 0.5) / (n_no + 1)) - 2 * np.sqrt(1 / (in_yes + 0.5) + 1 / (in_no + 0.5))
     odds[in_yes < 3] = 0
     odds[:: SYMBOLS**2] = 0
 
@@ -295,15 +320,19 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
 
     weights = _features(w[:0])[1]
     value = valued(odds, WINDOW - LENGTH + 1, 1.0)
-    clean = np.zeros(len(w), bool)
-    clean[back[~yes]] = True
+    # occurrences of each window in texts of either label, a text's up to OFTEN
+    pairs, times = np.unique(row.astype(np.int64) * len(w) + back, return_counts=True)
+    kind, label = pairs % len(w), y[fit][pairs // len(w)]
+    seen = {k: np.bincount(kind[label == k], np.minimum(times[label == k], OFTEN), len(w)) for k in (True, False)}
+    clean = seen[False] > 0
+    spared = clean & (seen[True] / n_yes < RATHER * seen[False] / n_no)
     machine = None
     for _ in range(rounds):
-        score = np.where(clean, -np.inf, value)[back]  # what a clean text has isn't to blame
+        score = np.where(spared, -np.inf, value)[back]
         blame = []
         for r in np.unique(row[yes]):
             own = np.arange(np.searchsorted(row, r), np.searchsorted(row, r, "right"))
-            pick = own[np.argsort(-score[own], kind="stable")[:4]]
+            pick = own[np.argsort(-score[own], kind="stable")[:BLAMED]]
             blame += [p for p in pick[np.isfinite(score[pick])].tolist() if p == pick[0] or score[p] > 0.4 * score[pick[0]]]
         good = np.unique(back[blame])
         often = np.bincount(back[blame], minlength=len(w))[good]
@@ -329,33 +358,48 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         for a, m in zip(alpha, marks, strict=True):
             np.add.at(table, m, np.float32(a) * weights)
         table[:: SYMBOLS**2] = 0
-        machine = Machine(table, 1.0, 0.0)
+        machine = Machine(table, bias)
         value = valued(table, None, weights) + bias
     use = np.flatnonzero(held) if held.any() else fit
-    best = np.concatenate([machine.best(*_rows(part)) for _, part in _parts_of([texts[i] for i in use])])
-    slope, middle = _calibrated(best, y[use])
-    return Machine(machine.table, slope, middle)
+    parts = [_rows(part) for _, part in _parts_of([texts[i] for i in use])]
+    found = []
+    for edge in EDGES:
+        tried = Machine(machine.table, machine.bias, edge)
+        x = np.concatenate([tried.best(*part) for part in parts])
+        tried = Machine(machine.table, machine.bias, edge, *_calibrated(x, y[use]))
+        p = np.clip(tried.score(x), 1e-6, 1 - 1e-6)
+        found.append((-np.where(y[use], np.log(p), np.log(1 - p)).sum(), edge, tried))
+    return min(found, key=lambda f: f[:2])[2]
+
 
+def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """Weights of the evidence, none of them negative, and the middle of a sigmoid, by Newton steps on smoothed labels.
 
-def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and middle of a sigmoid, by Newton steps on smoothed labels."""
+    A label weighs in all as the root of its number, so that a rare one isn't lost among errors of the other.
+    """
     n1, n0 = y.sum(), (~y).sum()
+    use = np.ones(x.shape[1], bool)
     if not n1 or not n0:
-        return 1.0, 0.0
+        return tuple(np.ones(x.shape[1]).tolist()), 0.0
     t = np.where(y, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    spread = x.std() or 1.0
-    z = np.column_stack([(x - x.mean()) / spread, np.ones(len(x))])
-    w = np.zeros(2)
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        g = z.T @ (p - t) + 1e-3 * w
-        h = (z * (p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+    much = np.where(y, np.sqrt(n0 / n1), 1.0)
+    spread = np.where(x.std(0) > 0, x.std(0), 1.0)
+    while True:
+        z = np.column_stack([(x - x.mean(0)) / spread * use, np.ones(len(x))])
+        w = np.zeros(z.shape[1])
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            g = z.T @ (much * (p - t)) + 1e-3 * w
+            h = (z * (much * p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(len(w))
+            step = np.linalg.solve(h, g)
+            w -= np.clip(step, -5, 5)
+            if np.abs(step).max() < 1e-8:
+                break
+        if (w[:-1] >= 0).all():
             break
-    slope = max(float(w[0]), 1e-3) / spread
-    return slope, float(x.mean()) - float(w[1]) / slope
+        use &= w[:-1] >= 0
+    weights = w[:-1] * use / spread
+    return tuple(weights.tolist()), float(weights @ x.mean(0) - w[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id") -> Machine:
@@ -368,9 +412,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, key:
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     upto = {t: int(min(1.0, (2 - t) * sample_rows / n) * (1 << HASH_BITS)) for t, n in sizes.items()}
     limit = F.when(F.col("toxic") == 1, upto.get(1, 0)).otherwise(upto.get(0, 0))
-    chosen = known.where(hash_of(F.col("key")) < limit).limit(4 * sample_rows)
-    rows = docs.select(F.col(key).alias("key"), "text").where(f"length(text) <= {TRAIN_CHARS}")
-    rows = rows.join(F.broadcast(chosen), "key").select("key", "text", "toxic").limit(8 * sample_rows).collect()
+    hashed = hash_of(F.col("key"))
+    chosen = known.where(hashed < limit).orderBy(hashed, "key", "toxic").limit(4 * sample_rows)
+    rows = docs.select(F.col(key).alias("key"), "text").where(f"length(text) <= {TRAIN_CHARS}").join(F.broadcast(chosen), "key")
+    # repeated rows are one; of a key's several texts those with the least hashes are used
+    rows = rows.groupBy("key", "toxic", F.xxhash64("text").alias("mark")).agg(F.first("text").alias("text"))
+    rows = rows.orderBy(F.xxhash64("key", "mark"), "toxic").limit(4 * sample_rows).collect()
     rows.sort(key=lambda r: (r["key"], r["text"], r["toxic"]))
     return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 
