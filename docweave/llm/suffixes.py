@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .common import bounded, buffers, hash_map, in_map, materialise, pieces
+from .common import buffers, hash_map, in_map, materialise, pieces
 from .words import mixed, powers
 
 K = 48
@@ -160,7 +160,7 @@ def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     more = [c for c in runs_.columns if c not in ("key", "lo")]
     arrow = {"bigint": pa.int64(), "int": pa.int32()}
     wanted = materialise(runs_.groupBy("key").agg(F.collect_list(F.struct("lo", *more)).alias("runs")))
-    rows = _texts(docs, wanted).join(bounded(wanted), "key").select("key", "text", "runs")
+    rows = _texts(docs, wanted).join(wanted, "key").select("key", "text", "runs")
     kinds = {f.name: f.dataType.simpleString() for f in runs_.schema}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +329,7 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = K) -> tuple[DataF
     hits = materialise(hits)
     windows = marks.where("copies = 1").join(hits, _SAME).select("key", F.transform("spans", lambda s: F.struct((F.col("lo") + s["i"]).alias("i"), (F.col("lo") + s["j"] - 1 + least).alias("j"))).alias("spans"))
     spans = windows.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    return rows.join(texts.select("key", "copies"), "key"), materialise(spans)
+    return materialise(rows.join(texts.select("key", "copies"), "key")), materialise(spans)
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -351,7 +351,7 @@ def remove_repeats(docs: DataFrame, least: int = 400, k: int = K) -> DataFrame:
     their own.  An empty table gives an empty table.  ``least`` must exceed ``k``.
     """
     rows, spans = repeated_spans(docs, least, k)
-    texts = _texts(docs, spans).join(bounded(spans), "key").select("key", "text", "spans")
+    texts = _texts(docs, spans).join(spans, "key").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,7 +369,8 @@ def remove_repeats(docs: DataFrame, least: int = 400, k: int = K) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), pa.array(digest, pa.string())], names=["key", "n_removed", "n_spans", "kept_sha256"])
 
     kept = materialise(texts.mapInArrow(cut, "key binary, n_removed long, n_spans long, kept_sha256 string"))
-    out = rows.join(kept, "key", "left")
+    # only texts without copies have spans, so no key is hot here
+    out = rows.where("copies = 1").join(kept, "key", "left").unionByName(rows.where("copies > 1"), allowMissingColumns=True)
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= least)
     return out.select(
         "doc_id",
