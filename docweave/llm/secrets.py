@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,10 +16,9 @@ from .common import buffers
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: matches with fewer than ``least`` characters (of ``group``) are dropped.
+    """A kind of secret: matches with fewer than ``least`` characters are dropped.
 
-    ``cue`` is how a match begins; without one it is the pattern up to the first
-    character of the run at its end.
+    With ``group``, which must be the run at the pattern's end, its characters are counted.
     """
 
     kind: str
@@ -28,17 +26,16 @@ class Rule:
     least: int = 0
     group: int = 0
     any_case: bool = False
-    cue: str = ""
 
 
 BASE = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2, True),
     Rule("access", r"AKIA[A-Z0-9]+", 20),
-    Rule("hex", r"[0-9a-f]+", 24, cue=r"[0-9a-f]{24}"),
+    Rule("hex", r"[0-9a-f]+", 24),
 )
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", cue="-----BEGIN "),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, cue=r"eyJ[A-Za-z0-9_-]"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),
     Rule("code_host", r"gh[opsru]_[A-Za-z0-9]+", 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 15),
     Rule("maps", r"AIza[A-Za-z0-9_-]+", 39),
@@ -46,17 +43,9 @@ MORE = (
 RULES = BASE + MORE
 
 
-def _cue(rule: Rule) -> str:
-    if rule.cue:
-        return rule.cue
-    if rule.pattern.endswith("]+)"):
-        return rule.pattern[:-2] + ")"
-    return rule.pattern.removesuffix("+") if rule.pattern.endswith("]+") else rule.pattern
-
-
 @lru_cache(maxsize=4)
 def automaton(rules: tuple[Rule, ...] = RULES) -> Automaton:
-    return Automaton([(r.pattern, r.any_case, _cue(r)) for r in rules])
+    return Automaton([(r.pattern, r.any_case, r.least) for r in rules])
 
 
 class Scanner:
@@ -66,13 +55,10 @@ class Scanner:
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, end, rule number) in code points, by start and rule."""
         found = []
-        for start, end, k in self.auto.spans(data):
+        for start, end, k, first in self.auto.spans(data):
             rule = self.rules[k]
-            size = end - start
-            if rule.group:
-                inside = re.fullmatch(rule.pattern, data[start:end].decode(), re.ASCII | (re.I if rule.any_case else 0))
-                size = len(inside[rule.group])
-            if size >= rule.least:
+            # the run at the end of a pattern is where it first matches
+            if end - (first if rule.group else start) >= rule.least:
                 found.append((start, end, k))
         if found and not data.isascii():
             chars = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])

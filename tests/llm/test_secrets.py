@@ -66,3 +66,30 @@ def test_edges(spark):
     assert {(r.text, r.n_chars) for r in red if r.doc_id == 3} == {("é [assign]' ok", 14)}
     assert {r.text for r in red if r.doc_id == 1} == {None, ""}
     assert {(r.text, r.n_chars) for r in red if r.doc_id == 2} == {("[hex]", 5)}
+
+
+def test_random_texts_of_all_rules(scanner):
+    rng = random.Random(2)
+    full = [(re.compile(r.pattern, re.ASCII | (re.I if r.any_case else 0)), r) for r in S.RULES]
+    parts = ["eyJ", ".", "a1", "eyJab.", "-----", "BEGIN ", "-----BEGIN ", "PRIVATE KEY-----", "A B ", "ghp_", "gho", "_", "a1" * 20, "xoxb-", "12-ab", "AIza", "x_-1" * 9, "AKIA", "Z9" * 9, "0123456789abcdef" * 2, "token", "=", " ", "é", "SECRET: "]
+    for _ in range(20_000):
+        t = "".join(rng.choices(parts, k=rng.randint(0, 12)))
+        want = []
+        for k, (p, r) in enumerate(full):
+            want += [(m.start(), m.end(), k) for m in p.finditer(t) if len(m[r.group]) >= r.least]
+        assert sorted(want) == scanner.spans(t.encode()), t
+
+
+def test_small_rules():
+    from docweave.llm.automaton import Automaton
+
+    patterns = ["x[ab]*", "(ab|ba?c)d{2,3}", "[ab]+", "q[ab]?r", "aab*"]
+    auto = Automaton([(p, False, 0) for p in patterns])
+    rng = random.Random(3)
+    for _ in range(5_000):
+        t = "".join(rng.choices("abcdxqr", k=rng.randint(0, 12)))
+        want = sorted((m.start(), m.end(), k) for k, p in enumerate(patterns) for m in re.finditer(p, t))
+        assert [s[:3] for s in auto.spans(t.encode())] == want, t
+    for bad in ("[ab]*x", "a(bc)*", "q[a-z]?r", "(a|"):
+        with pytest.raises((ValueError, IndexError)):
+            Automaton([(bad, False, 0)])
