@@ -15,9 +15,9 @@ from pyspark.sql import SparkSession
 from .mapping import load_mappings, load_resource_paths
 from .model import GraphModel
 from .plans.compiler import auth_plugin, compile_all
-from .sinks import IndexStore
+from .sinks import IndexStore, RestClient, SearchStore, array_config
 from .sources.graph import DumpSource, GraphSource, JdbcSource, ParquetSource
-from .streaming.gating import must_build, transaction_time
+from .streaming.gating import must_build, transaction_time, watch
 
 
 def source_of(spark: SparkSession, spec: str, model: GraphModel) -> GraphSource:
@@ -28,20 +28,36 @@ def source_of(spark: SparkSession, spec: str, model: GraphModel) -> GraphSource:
     return {"dump": DumpSource, "parquet": ParquetSource}[kind](spark, path, model)
 
 
+def store_of(spark: SparkSession, out: str, fmt: str) -> IndexStore | SearchStore:
+    """A folder, or a search engine by its address (``http://host:port``) with the connector ``fmt``."""
+    if not out.startswith(("http://", "https://")):
+        return IndexStore(spark, out, fmt)
+    _, _, host = out.partition("://")
+    name, _, port = host.rstrip("/").partition(":")
+    options = {"es.nodes": name, "es.port": port or "9200", "es.nodes.wan.only": "true"}
+    return SearchStore(RestClient(out), *([fmt] if fmt != "parquet" else []), options=options)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--mapping", required=True)
     p.add_argument("--dictionary", required=True, help="JSON schemas of the graph's node types by label")
     p.add_argument("--source", required=True)
-    p.add_argument("--out", required=True)
+    p.add_argument("--out", required=True, help="folder of indices, or the address of a search engine")
     p.add_argument("--step", choices=("import", "transform", "all"), default="all")
     p.add_argument("--import-to", help="folder for tables copied from a database")
     p.add_argument("--transactions", help="Parquet log of transactions; nothing is built if all indices are newer")
     p.add_argument("--resources", help="YAML: users and rights, for access paths by project")
     p.add_argument("--format", default="parquet")
+    p.add_argument("--config", help="index that tells which fields are arrays; written with each build")
+    p.add_argument("--keep", type=int, default=1, help="old versions of an index that stay after a build")
+    p.add_argument("--watch", help="checkpoint folder: build for each new transaction that is in --transactions, instead of once")
+    p.add_argument("--every", help="with --watch: go on for ever, looking again after this time")
     p.add_argument("--force", action="store_true")
     p.add_argument("--bypass-multiplicity", action="store_true")
     args = p.parse_args(argv)
+    if args.watch and not args.transactions:
+        p.error("--watch needs --transactions")
     spark = SparkSession.builder.appName("docweave").getOrCreate()
     with open(args.dictionary, encoding="utf-8") as f:
         model = GraphModel.from_dictionary(json.load(f))
@@ -52,13 +68,28 @@ def main(argv: Sequence[str] | None = None) -> int:
         source = ParquetSource(spark, args.import_to, model)
     if args.step == "import":
         return 0
-    store = IndexStore(spark, args.out, args.format)
-    now = datetime.now(UTC)
-    if args.transactions and not must_build(store.stamps(d.name for d in docs), transaction_time(spark.read.parquet(args.transactions)), args.force):
-        return 0
+    store = store_of(spark, args.out, args.format)
     overrides = load_resource_paths(args.resources)
-    for d, (doc_type, df) in zip(docs, compile_all(source, docs, (auth_plugin(overrides),), args.bypass_multiplicity).items(), strict=True):
-        store.write(df, d.name, doc_type, now)
+
+    def build(*_: object) -> None:
+        now, kept, arrays = datetime.now(UTC), [], None
+        found = compile_all(source, docs, (auth_plugin(overrides),), args.bypass_multiplicity, kept)
+        for d, (doc_type, df) in zip(docs, found.items(), strict=True):
+            store.write(df, d.name, doc_type, now)
+            row = array_config(df, d.name, now)
+            arrays = row if arrays is None else arrays.unionByName(row)
+        if args.config and arrays is not None:
+            store.write(arrays, args.config, "array_config", now)
+        for name in [d.name for d in docs] + ([args.config] if args.config else []):
+            store.clean(name, args.keep)
+        for df in kept:
+            df.unpersist()
+
+    if args.watch:
+        log = spark.readStream.schema(spark.read.parquet(args.transactions).schema).parquet(args.transactions)
+        watch(log, build, args.watch, every=args.every).awaitTermination()
+    elif not args.transactions or must_build(store.stamps(d.name for d in docs), transaction_time(spark.read.parquet(args.transactions)), args.force):
+        build()
     return 0
 
 

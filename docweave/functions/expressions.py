@@ -5,7 +5,8 @@ All of them are built-in functions, so plans stay inside generated code.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import warnings
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column
@@ -14,8 +15,13 @@ from pyspark.sql import functions as F
 from ..mapping import Combined, Condition, MappingError, Prop
 
 
+def united(c: Column) -> Column:
+    """Union of sorted arrays.  Equal arrays become one before the shuffle, so a buffer holds different ones only."""
+    return F.sort_array(F.array_distinct(F.flatten(F.collect_set(c))))
+
+
 def _set(c: Column, array: bool) -> Column:
-    return F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))) if array else F.sort_array(F.collect_set(c))
+    return united(c) if array else F.sort_array(F.collect_set(c))
 
 
 def _list(c: Column, array: bool) -> Column:
@@ -85,6 +91,14 @@ def predicate(node: Condition | Combined, column: Callable[[str], Column]) -> Co
     return compare[node.op]
 
 
+def kept(new: Sequence[str], known: Sequence[str], where: str) -> list[str]:
+    """Which of ``new`` are there already.  The earlier column stays, and a warning says so."""
+    clash = [c for c in new if c in known]
+    if clash:
+        warnings.warn(f"{where}: {', '.join(clash)} is there already; the earlier one stays", stacklevel=3)
+    return clash
+
+
 def filtered_props(node: Condition | Combined | None) -> list[Condition]:
     if node is None:
         return []

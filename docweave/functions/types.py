@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..model import Property, id_column
 
+# Names of field types, and text as a whole with its analysed form, are what an index takes (fixed values).
 #: Booleans are kept as text, as documents show them; numbers are doubles.
 SCALAR = {"number": T.DoubleType(), "integer": T.LongType(), "string": T.StringType(), "boolean": T.StringType()}
 #: From the widest on: what an index must take for a property of several types.

@@ -181,7 +181,7 @@ def compile_aggregator(source: GraphSource, doc: Document, bypass_multiplicity:
 
     def attach(branch: DataFrame) -> None:
         nonlocal df
-        clash = [c for c in branch.columns if c != "near" and c in df.columns]
+        clash = E.kept([c for c in branch.columns if c != "near"], df.columns, doc.name)
         df = df.join(branch.drop(*clash).withColumnRenamed("near", KEY), KEY, "left")
 
     for path in _root_parents(source, doc):

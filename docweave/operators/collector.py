@@ -64,7 +64,7 @@ class Lineage:
         for p in parts[1:]:
             df = df.unionByName(p, allowMissingColumns=True)
         sets = [c for c in df.columns if c not in ("near", "project_id")]
-        merge: list[Column] = [F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in sets]
+        merge: list[Column] = [E.united(F.col(c)).alias(c) for c in sets]
         df = df.groupBy("near", "project_id").agg(*merge) if merge else df.distinct()
         self._known[label] = self._with_own(label, df)
         return self._known[label]

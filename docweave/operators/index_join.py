@@ -64,7 +64,7 @@ def join_index(df: DataFrame, other: DataFrame, spec: IndexJoin) -> DataFrame:
         side = other.select(*keys, "*").groupBy(*names).agg(*exprs)
     else:
         side = other.select(*keys, *[E.recoded(F.col(_column(other, p.src, spec.index)), p.values).alias(p.name) for p in spec.props if p.name not in spec.keys])
-    side = side.drop(*[p.name for p in spec.props if p.name in df.columns])
+    side = side.drop(*E.kept([p.name for p in spec.props if p.name in side.columns], df.columns, f"join with {spec.index}"))
     on = [df[left[k]] == side[n] for k, n in zip(spec.keys, names, strict=True)]
     out = df.join(side, on, "left").drop(*names)
     done = [p for p in reduced if p.name in side.columns]

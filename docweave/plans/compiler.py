@@ -37,14 +37,19 @@ def compile_document(source: GraphSource, doc: Document, others: Mapping[str, Da
     return finish(source, doc, df)
 
 
-def compile_all(source: GraphSource, docs: list[Document], plugins: tuple[Plugin, ...] = (), bypass_multiplicity: bool = False) -> dict[str, DataFrame]:
-    """Plans by doc_type, in the order of ``docs``.  What another document joins is persisted."""
+def compile_all(source: GraphSource, docs: list[Document], plugins: tuple[Plugin, ...] = (), bypass_multiplicity: bool = False, kept: list[DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Plans by doc_type, in the order of ``docs``.
+
+    With ``kept``, what another document joins is persisted and added to it; the caller
+    unpersists these when all is written.  Without, it is computed again where it is joined.
+    """
     joined = {j.index for d in docs for j in d.joins}
     found: dict[str, DataFrame] = {}
     for d in order(docs):
         df = compile_document(source, d, found, bypass_multiplicity)
-        if {d.name, d.doc_type} & joined:
+        if kept is not None and {d.name, d.doc_type} & joined:
             df = df.persist()
+            kept.append(df)
         found[d.name] = found[d.doc_type] = df
     out = {}
     for d in docs:

@@ -160,6 +160,13 @@ MAPPED: dict[str, tuple[dict[str, Any], list[str], str]] = {
         "coalesce(list_sort(list(l_linenumber) FILTER (l_linenumber IS NOT NULL)), []) AS lines FROM customer "
         "LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY c_custkey",
     ),
+    "agg_set_project": (
+        _doc("project", "n_nationkey", aggregated_props=[_agg("states", "subjects.samples", "set", "o_orderstatus"), _agg("flags", "subjects." + _ALIQUOTS, "set", "l_returnflag")]),
+        ["n_nationkey", "states", "flags"],
+        "SELECT n_nationkey, coalesce(list_sort(list(DISTINCT o_orderstatus) FILTER (o_orderstatus IS NOT NULL)), []) AS states, "
+        "coalesce(list_sort(list(DISTINCT l_returnflag) FILTER (l_returnflag IS NOT NULL)), []) AS flags FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey "
+        "LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY n_nationkey",
+    ),
     "agg_multi_path": (
         _doc("subject", "c_custkey", aggregated_props=[_agg("samples", "samples", "count"), _agg("visits", "visits", "count"), _agg("value", "visits", "max", "value")]),
         ["c_custkey", "samples", "visits", "value"],
@@ -254,6 +261,16 @@ MAPPED: dict[str, tuple[dict[str, Any], list[str], str]] = {
         "SELECT project_id, l_orderkey, l_linenumber, [r_name] AS program, coalesce(list(v) FILTER (v IS NOT NULL), []) AS vendor FROM a JOIN p ON n = n_nationkey "
         "GROUP BY project_id, r_name, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate",
     ),
+    "collector_lineage": (
+        {"doc_type": "file", "type": "collector", "props": [_prop("event_id"), _prop("l_orderkey"), _prop("l_linenumber"), _prop("source_node")], "injecting_props": {"program": {"props": [_prop("program", "r_name")]}, "vendor": {"props": [_prop("vendor", "s_suppkey")]}}},
+        ["project_id", "source_node", "event_id", "l_orderkey", "l_linenumber", "program", "vendor"],
+        "WITH p AS (SELECT n_nationkey, r_name, r_name || '-' || n_name AS project_id FROM nation JOIN region ON n_regionkey = r_regionkey), "
+        "l AS (SELECT DISTINCT * FROM lineitem), a AS (SELECT l.*, c_nationkey AS n, NULL::BIGINT AS v FROM l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
+        "UNION ALL SELECT l.*, s_nationkey, s_suppkey FROM l JOIN supplier ON l_suppkey = s_suppkey) "
+        "SELECT project_id, 'aliquot' AS source_node, NULL::BIGINT AS event_id, l_orderkey, l_linenumber, [r_name] AS program, coalesce(list(v) FILTER (v IS NOT NULL), []) AS vendor FROM a JOIN p ON n = n_nationkey "
+        "GROUP BY project_id, r_name, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate "
+        "UNION ALL SELECT project_id, 'visit', event_id, NULL, NULL, [r_name], [] FROM events JOIN customer ON user_id = c_custkey JOIN p ON c_nationkey = n_nationkey",
+    ),
 }
 _ONLY = {"collector_single_parent": "source_node = 'visit'", "collector_diamond": "source_node = 'aliquot'"}
 #: Flattening many children without a choice, which the multiplicity check forbids.

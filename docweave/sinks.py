@@ -1,14 +1,20 @@
 """Writing documents: versioned indices with a pointer to the current one.
 
-An index ``alias`` is a folder with versions ``alias_0``, ``alias_1``, ... and a
-file CURRENT that names one.  A build writes the next version and moves the
-pointer when all of it is there, so readers never see half an index.
+In a store of files, an index ``alias`` is a folder with versions ``alias_0``,
+``alias_1``, ... and files CURRENT.0, CURRENT.1, ... of which the last names one of
+them.  A build claims the next version, writes it, and adds a pointer when all of it is
+there: nothing that is read is ever replaced, so readers see one index or the other.
+
+In a search engine, versions are indices and the pointer is an alias of it.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import urllib.error
+import urllib.request
+import uuid
+from collections.abc import Callable, Iterable
 from datetime import UTC, datetime
 from typing import Any
 
@@ -45,25 +51,30 @@ class _Files:
         finally:
             stream.close()
 
-    def write(self, text: str, *parts: str) -> None:
-        """By a file beside it and a rename."""
-        new = self.at(*parts[:-1], f".{parts[-1]}.new")
+    def write(self, text: str, *parts: str) -> bool:
+        """A new file, by a file beside it and a rename; False if it is there already."""
+        new = self.at(*parts[:-1], f".{parts[-1]}.{uuid.uuid4().hex}")
         stream = self.fs.create(new, True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        if self.exists(*parts):
-            self.fs.delete(self.at(*parts), False)
-        if not self.fs.rename(new, self.at(*parts)):
-            raise OSError(f"can't write {'/'.join(parts)}")
+        done = not self.exists(*parts) and self.fs.rename(new, self.at(*parts))
+        if not done:
+            self.fs.delete(new, False)
+        return bool(done)
+
+    def claim(self, *parts: str) -> bool:
+        """Create an empty file; False if somebody else has."""
+        self.fs.mkdirs(self.at(*parts[:-1]))
+        return bool(self.fs.createNewFile(self.at(*parts)))
 
     def delete(self, *parts: str) -> None:
         self.fs.delete(self.at(*parts), True)
 
 
 class IndexStore:
-    """Indices below a folder.  ``fmt`` is any writer of Spark's: parquet, json, or a search engine's connector."""
+    """Indices below a folder, in any of Spark's formats of files."""
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
         self.spark, self.fmt, self.options = spark, fmt, options or {}
@@ -73,8 +84,13 @@ class IndexStore:
         found = (n.rpartition("_") for n in self.files.names(alias))
         return sorted(int(v) for name, _, v in found if name == alias and v.isdigit())
 
+    def _pointers(self, alias: str) -> list[int]:
+        found = (n.partition(".") for n in self.files.names(alias))
+        return sorted(int(k) for name, _, k in found if name == "CURRENT" and k.isdigit())
+
     def current(self, alias: str) -> str | None:
-        return self.files.read(alias, "CURRENT").strip() if self.files.exists(alias, "CURRENT") else None
+        last = self._pointers(alias)[-1:]
+        return self.files.read(alias, f"CURRENT.{last[0]}").strip() if last else None
 
     def manifest(self, alias: str) -> dict[str, Any] | None:
         """Of the current version: its time stamp, field mapping, and array fields."""
@@ -84,6 +100,8 @@ class IndexStore:
     def write(self, df: DataFrame, alias: str, doc_type: str, built: datetime | None = None, partitions: int | None = None) -> str:
         """Write the next version and make it the current one; its name is returned."""
         version = max(self.versions(alias), default=-1) + 1
+        while not self.files.claim(alias, f".claim_{version}"):
+            version += 1
         name = f"{alias}_{version}"
         out = df.repartition(partitions) if partitions else df
         out.write.format(self.fmt).options(**self.options).save(f"{self.files.root}/{alias}/{name}")
@@ -95,7 +113,10 @@ class IndexStore:
         """Move the alias, also back to an older version."""
         if not self.files.exists(alias, name):
             raise FileNotFoundError(f"{alias} has no version {name}")
-        self.files.write(name, alias, "CURRENT")
+        while not self.files.write(name, alias, f"CURRENT.{max(self._pointers(alias), default=-1) + 1}"):
+            pass  # somebody else has moved it meanwhile
+        for k in self._pointers(alias)[:-2]:  # the one before may be being read
+            self.files.delete(alias, f"CURRENT.{k}")
 
     def read(self, alias: str) -> DataFrame:
         name = self.current(alias)
@@ -121,6 +142,7 @@ class IndexStore:
         for v in old:
             self.files.delete(alias, f"{alias}_{v}")
             self.files.delete(alias, f"{alias}_{v}.json")
+            self.files.delete(alias, f".claim_{v}")
         return [f"{alias}_{v}" for v in old]
 
     def stamps(self, aliases: Iterable[str]) -> list[str | None]:
@@ -128,6 +150,113 @@ class IndexStore:
         return [(m or {}).get("built") for m in map(self.manifest, aliases)]
 
 
+class RestClient:
+    """The few calls of a search engine's HTTP interface that versions and aliases need."""
+
+    def __init__(self, address: str) -> None:
+        self.address = address.rstrip("/")
+
+    def call(self, method: str, path: str, body: Any = None) -> Any:
+        """The answer, or None if there is no such thing."""
+        data = None if body is None else json.dumps(body).encode()
+        request = urllib.request.Request(f"{self.address}/{path}", data, {"Content-Type": "application/json"}, method=method)
+        try:
+            with urllib.request.urlopen(request) as answer:
+                return json.loads(answer.read() or b"null")
+        except urllib.error.HTTPError as e:
+            if e.code == 404:
+                return None
+            raise
+
+    def indices(self, alias: str) -> list[str]:
+        return sorted(self.call("GET", f"{alias}_*") or {})
+
+    def create(self, name: str, mapping: dict[str, Any]) -> None:
+        self.call("PUT", name, mapping)
+
+    def delete(self, name: str) -> None:
+        self.call("DELETE", name)
+
+    def holders(self, alias: str) -> list[str]:
+        """Indices that have the alias."""
+        return sorted(self.call("GET", f"_alias/{alias}") or {})
+
+    def point(self, alias: str, name: str, extra: Iterable[str] = ()) -> None:
+        """Take the alias from all that have it and give it to ``name``, with further aliases, in one call."""
+        gone = [{"remove": {"index": i, "alias": alias}} for i in self.holders(alias)]
+        self.call("POST", "_aliases", {"actions": [*gone, *({"add": {"index": name, "alias": a}} for a in (alias, *extra))]})
+
+    def aliases(self, name: str) -> list[str]:
+        return sorted(((self.call("GET", f"{name}/_alias") or {}).get(name) or {}).get("aliases", {}))
+
+    def copy(self, source: str, target: str) -> None:
+        self.call("POST", "_reindex?wait_for_completion=true", {"source": {"index": source}, "dest": {"index": target}})
+
+    def mapping(self, name: str) -> dict[str, Any]:
+        return ((self.call("GET", f"{name}/_mapping") or {}).get(name) or {})
+
+
+class SearchStore:
+    """Indices of a search engine: documents go through a Spark connector, versions and aliases through ``client``.
+
+    ``write`` gets a frame and a resource ``<index>/<doc_type>``; by default it is the connector
+    ``fmt`` with ``options``.  The time of a build is a second alias of its index.
+    """
+
+    def __init__(self, client: RestClient, fmt: str = "org.elasticsearch.spark.sql", options: dict[str, str] | None = None, write: Callable[[DataFrame, str], None] | None = None) -> None:
+        self.client, self.fmt, self.options = client, fmt, options or {}
+        self.save = write or self._save
+
+    def _save(self, df: DataFrame, resource: str) -> None:
+        df.write.format(self.fmt).options(**self.options).mode("append").save(resource)
+
+    def versions(self, alias: str) -> list[int]:
+        found = (n.rpartition("_") for n in self.client.indices(alias))
+        return sorted(int(v) for name, _, v in found if name == alias and v.isdigit())
+
+    def current(self, alias: str) -> str | None:
+        return next(iter(self.client.holders(alias)), None)
+
+    def write(self, df: DataFrame, alias: str, doc_type: str, built: datetime | None = None, partitions: int | None = None) -> str:
+        """Create the next version with its field mapping, fill it, and point the alias at it; its name is returned."""
+        name = f"{alias}_{max(self.versions(alias), default=-1) + 1}"
+        self.client.create(name, field_mapping(df.schema, doc_type))
+        self.save(df.repartition(partitions) if partitions else df, f"{name}/{doc_type}")
+        self.client.point(alias, name, [f"time_{stamp(built or datetime.now(UTC))}"])
+        return name
+
+    def point(self, alias: str, name: str) -> None:
+        if name not in self.client.indices(alias):
+            raise FileNotFoundError(f"{alias} has no version {name}")
+        self.client.point(alias, name)
+
+    def backup(self, alias: str) -> str | None:
+        """Copy the current version to the next free backup, ``backup_<n>_<version>``."""
+        name = self.current(alias)
+        if name is None:
+            return None
+        n = 0
+        while self.client.mapping(f"backup_{n}_{name}"):
+            n += 1
+        self.client.create(f"backup_{n}_{name}", self.client.mapping(name))
+        self.client.copy(name, f"backup_{n}_{name}")
+        return f"backup_{n}_{name}"
+
+    def clean(self, alias: str, keep: int = 1) -> list[str]:
+        """Delete all but the current and the ``keep`` versions before it."""
+        name = self.current(alias)
+        now = int(name.rpartition("_")[2]) if name else -1
+        old = [f"{alias}_{v}" for v in self.versions(alias) if v < now][: -keep or None]
+        for v in old:
+            self.client.delete(v)
+        return old
+
+    def stamps(self, aliases: Iterable[str]) -> list[str | None]:
+        """Build times of current versions, None where there is none."""
+        found = [self.current(a) for a in aliases]
+        return [next((a.removeprefix("time_") for a in self.client.aliases(n) if a.startswith("time_")), None) if n else None for n in found]
+
+
 def as_json(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows as JSON text; with a key that is named, it stands beside the text and in it, also as node_id."""
     if not key:

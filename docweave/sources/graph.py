@@ -8,6 +8,7 @@ columns are.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,27 +74,59 @@ class DumpSource:
         return _pairs(self._read(link.edge, _DUMP_EDGE))
 
 
+@dataclass(frozen=True)
+class Dialect:
+    """What differs between databases: the statement that lists tables, the number of a row's part of n, what a
+    query of constants is taken from, and how names are quoted."""
+
+    tables: str
+    part: str | None = None
+    one_row: str = ""
+    quote: str = '"'
+
+
+_INFORMATION = "select table_name from information_schema.tables where table_schema = "
+#: By the second part of the address; parts are numbers from -n to n.
+DIALECTS = {
+    "postgresql": Dialect(_INFORMATION + "'public'", "mod(hashtext({key}::text), {n})"),
+    "mysql": Dialect(_INFORMATION + "database()", "mod(crc32({key}), {n})", quote="`"),
+    "derby": Dialect("select lower(tablename) as table_name from sys.systables where tabletype = 'T'", "mod(length({key}), {n})", " from sysibm.sysdummy1"),
+}
+
+
 class JdbcSource:
     """Tables of a database, with columns node_id and _props, or src_id and dst_id.
 
-    ``partitions`` reads a table in that many parts by hash of its key, pushed
-    down as predicates.
+    ``partitions`` reads a table in that many parts by hash of its key, pushed down
+    as predicates; null keys are in the first.  The statements follow the address's
+    ``DIALECTS``, or ``dialect``.
     """
 
-    def __init__(self, spark: SparkSession, url: str, model: GraphModel, properties: Mapping[str, str] | None = None, partitions: int = 1) -> None:
+    def __init__(self, spark: SparkSession, url: str, model: GraphModel, properties: Mapping[str, str] | None = None, partitions: int = 1, dialect: Dialect | None = None) -> None:
         self.spark, self.url, self.model, self.properties, self.partitions = spark, url, model, dict(properties or {}), partitions
+        self.dialect = dialect or DIALECTS.get(url.split(":")[1], Dialect(_INFORMATION + "'public'"))
+
+    def _query(self, statement: str) -> DataFrame:
+        return self.spark.read.jdbc(self.url, f"({statement}) t", properties=self.properties)
 
     def _read(self, table: str, key: str) -> DataFrame:
-        if self.partitions < 2:
+        if self.partitions < 2 or not self.dialect.part:
             return self.spark.read.jdbc(self.url, table, properties=self.properties)
-        parts = [f"mod(abs(hashtext({key})), {self.partitions}) = {k}" for k in range(self.partitions)]
+        key = self.dialect.quote + key + self.dialect.quote
+        part = f"abs({self.dialect.part.format(key=key, n=self.partitions)})"
+        parts = [f"{part} = {k}" + (f" or {key} is null" if not k else "") for k in range(self.partitions)]
         return self.spark.read.jdbc(self.url, table, predicates=parts, properties=self.properties)
 
     def tables(self) -> list[str]:
         """Names of the tables to import."""
-        found = self.spark.read.jdbc(self.url, "(select table_name from information_schema.tables where table_schema = 'public') t", properties=self.properties)
+        found = self._query(self.dialect.tables).toDF("table_name")
         return [r[0] for r in found.where(~F.col("table_name").isin(*NOT_IMPORTED)).orderBy("table_name").collect()]
 
+    def with_rows(self, tables: Iterable[str]) -> list[str]:
+        """Those of ``tables`` that hold a row, asked in one statement."""
+        some = [f"select '{t}' as table_name{self.dialect.one_row} where exists (select 1 from {t})" for t in tables]
+        return sorted(r[0].strip() for r in self._query(" union all ".join(some)).toDF("table_name").collect()) if some else []
+
     def node(self, label: str, props: Iterable[str]) -> DataFrame:
         raw = self._read(node_table(label), "node_id").select("node_id", F.col("_props").cast("string").alias("props"))
         return _parsed(raw, self.model, label, props)
@@ -104,7 +137,8 @@ class JdbcSource:
     def export(self, path: str, tables: Iterable[str] | None = None) -> None:
         """Copy tables to Parquet folders that ``ParquetSource`` reads."""
         for t in tables or self.tables():
-            key = "src_id" if t.startswith("edge_") else "node_id"
+            edges = {link.edge for n in self.model.nodes.values() for link in n.links}
+            key = "src_id" if t in edges or t.startswith("edge_") else "node_id"
             self._read(t, key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{t}")
 
 
@@ -148,6 +182,8 @@ class FrameSource:
 
 
 def edges_with_data(source: GraphSource) -> list[str]:
-    """Link tables that hold a pair at all, each looked at until its first row."""
+    """Link tables that hold a pair at all: one statement in a database, else each looked at until its first row."""
     found = {link.edge: (node.label, link) for node in source.model.nodes.values() for link in node.links}
+    if isinstance(source, JdbcSource):
+        return source.with_rows(sorted(found))
     return sorted(name for name, (child, link) in found.items() if not source.edge(child, link).isEmpty())

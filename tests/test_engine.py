@@ -1,17 +1,20 @@
 """Units of the engine on hand-written rows: nulls, no children, many-to-many, diamonds, empty tables."""
 
+import http.server
+import json
+import threading
 from datetime import UTC, datetime, timedelta
 
 import pytest
 from docweave.functions import expressions as E
 from docweave.functions import types as TY
-from docweave.mapping import Combined, Condition, MappingError, load_mappings, load_resource_paths, parse_filter, parse_mapping, parse_mappings, parse_path, resource_paths
-from docweave.model import GraphModel, ModelError, Property
-from docweave.operators.index_join import order
+from docweave.mapping import Combined, Condition, IndexJoin, MappingError, Prop, load_mappings, load_resource_paths, parse_filter, parse_mapping, parse_mappings, parse_path, resource_paths
+from docweave.model import GraphModel, Link, ModelError, Node, Property
+from docweave.operators.index_join import join_index, order
 from docweave.operators.sliding import sliding_window
 from docweave.plans.compiler import auth_plugin, compile_all, compile_document, trace
-from docweave.sinks import IndexStore, array_config, as_json
-from docweave.sources.graph import DumpSource, FrameSource, ParquetSource, edges_with_data
+from docweave.sinks import IndexStore, RestClient, SearchStore, array_config, as_json
+from docweave.sources.graph import DumpSource, FrameSource, JdbcSource, ParquetSource, edges_with_data
 from docweave.streaming.gating import must_build, read_stamp, stamp, transaction_time, watch
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -339,6 +342,107 @@ def test_command_line(spark, tmp_path):
     log.write.parquet(str(tmp_path / "log"))
     assert main([*args, "--transactions", str(tmp_path / "log")]) == 0 and store.versions("cases") == [0]
     assert main([*args, "--transactions", str(tmp_path / "log"), "--force"]) == 0 and store.versions("cases") == [0, 1]
+    more = ["--config", "arrays", "--keep", "0", "--transactions", str(tmp_path / "log"), "--watch", str(tmp_path / "seen")]
+    assert main([*args, *more]) == 0 and store.versions("cases") == [2] and store.read("arrays").first()["index"] == "cases"
+    assert main([*args, *more]) == 0 and store.versions("cases") == [2]  # no new transaction
+
+
+class Engine(http.server.BaseHTTPRequestHandler):
+    """A search engine's indices and aliases, as far as a store needs them."""
+
+    indices: dict = {}
+
+    def do(self):
+        path = self.path.strip("/").partition("?")[0]
+        body = json.loads(self.rfile.read(int(self.headers.get("Content-Length") or 0)) or "null")
+        kinds, code, out = type(self).indices, 200, {}
+        name, _, rest = path.partition("/")
+        if path == "_aliases":
+            for (what, how), in (a.items() for a in body["actions"]):
+                getattr(kinds[how["index"]]["aliases"], "add" if what == "add" else "discard")(how["alias"])
+        elif path == "_reindex":
+            kinds[body["dest"]["index"]]["copied"] = body["source"]["index"]
+        elif name == "_alias":
+            out = {n: {} for n, k in kinds.items() if rest in k["aliases"]}
+            code = 200 if out else 404
+        elif path.endswith("*"):
+            out = {n: {} for n in kinds if n.startswith(path[:-1])}
+        elif self.command == "PUT":
+            kinds[name] = {"aliases": set(), **body}
+        elif name not in kinds:
+            code = 404
+        elif self.command == "DELETE":
+            del kinds[name]
+        elif rest == "_alias":
+            out = {name: {"aliases": {a: {} for a in kinds[name]["aliases"]}}}
+        else:
+            out = {name: {"mappings": kinds[name]["mappings"]}}
+        data = json.dumps(out).encode()
+        self.send_response(code)
+        self.send_header("Content-Length", str(len(data)))
+        self.end_headers()
+        self.wfile.write(data)
+
+    do_GET = do_PUT = do_POST = do_DELETE = do
+
+    def log_message(self, *_):
+        pass
+
+
+def test_search_store(spark, tmp_path):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Engine)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        store = SearchStore(RestClient(f"http://127.0.0.1:{server.server_port}"), write=lambda df, resource: df.write.parquet(f"{tmp_path}/{resource}"))
+        df = spark.createDataFrame([("c1", [1], "x")], "_case_id string, ids array<int>, s string")
+        when = datetime(2024, 1, 2, 3, 4, 5, tzinfo=UTC)
+        assert store.stamps(["case"]) == [None] and store.current("case") is None and store.versions("case") == []
+        assert store.write(df, "case", "case", when) == "case_0" and store.write(df, "case", "case", when) == "case_1"
+        assert store.current("case") == "case_1" and store.versions("case") == [0, 1] and store.stamps(["case", "none"]) == ["20240102T030405Z", None]
+        assert Engine.indices["case_1"]["mappings"]["properties"]["ids"] == {"type": "long"} and Engine.indices["case_0"]["aliases"] == {"time_20240102T030405Z"}
+        assert spark.read.parquet(f"{tmp_path}/case_1/case").count() == 1
+        assert store.backup("case") == "backup_0_case_1" and store.backup("case") == "backup_1_case_1" and store.backup("none") is None
+        assert Engine.indices["backup_0_case_1"]["copied"] == "case_1"
+        store.point("case", "case_0")
+        assert store.current("case") == "case_0" and store.clean("case", keep=0) == []
+        store.point("case", "case_1")
+        assert store.clean("case", keep=0) == ["case_0"] and store.versions("case") == [1]
+        with pytest.raises(FileNotFoundError):
+            store.point("case", "case_9")
+    finally:
+        server.shutdown()
+
+
+def test_database(spark, tmp_path):
+    url = "jdbc:derby:memory:graph;create=true"
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url)
+    run = connection.createStatement().execute
+    run('create table node_case ("node_id" varchar(20), "_props" varchar(200))')
+    run('create table edge_caseproject ("src_id" varchar(20), "dst_id" varchar(20))')
+    run('create table edge_none ("src_id" varchar(20), "dst_id" varchar(20))')
+    run("create table transaction_logs (x int)")
+    for k in ("c", "ca", "cas"):
+        run(f"""insert into node_case values ('{k}', '{{"sex": "F"}}')""")
+    run("insert into edge_caseproject values ('c', 'p'), ('c', 'p'), (null, 'p')")
+    link_to = lambda edge: Link("projects", "project", "cases", edge, "many_to_one")
+    nodes = [Node("case", "clinical", {"sex": Property(("string",))}, (link_to("edge_caseproject"),)), Node("project", "administrative", {}, ()), Node("x", "clinical", {}, (link_to("edge_none"),))]
+    for partitions in (1, 3):
+        source = JdbcSource(spark, url, GraphModel(nodes), partitions=partitions)
+        assert source.tables() == ["edge_caseproject", "edge_none", "node_case"]
+        assert edges_with_data(source) == ["edge_caseproject"]
+        assert sorted(tuple(r) for r in source.node("case", ["sex"]).collect()) == [("c", "F"), ("ca", "F"), ("cas", "F")]
+        assert [tuple(r) for r in source.edge("case", nodes[0].links[0]).collect()] == [("c", "p")]
+        source.export(str(tmp_path / f"copy{partitions}"))
+        copy = ParquetSource(spark, str(tmp_path / f"copy{partitions}"), source.model)
+        assert copy.node("case", ["sex"]).count() == 3 and copy.edge("case", nodes[0].links[0]).count() == 1
+    connection.close()
+
+
+def test_clashes_are_told(spark):
+    left, right = spark.createDataFrame([("a", 1)], "k string, v int"), spark.createDataFrame([("a", 2)], "k string, v int")
+    spec = IndexJoin("other", ("k",), (Prop("v", "v"),))
+    with pytest.warns(UserWarning, match="v is there already"):
+        assert [tuple(r) for r in join_index(left, right, spec).collect()] == [("a", 1)]
 
 
 def test_entry_points():
