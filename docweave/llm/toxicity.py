@@ -34,8 +34,8 @@ LANDMARKS = 512
 SYMBOLS = 40
 #: Occurrences in one text that count in training, and how much more frequent in toxic texts a window of others must be to be blamed.
 OFTEN, RATHER = 3, 4.0
-#: Windows of a toxic text that are blamed at most in each round.
-BLAMED = 8
+#: Windows of a toxic text that are blamed at most in each round, and their share of the highest value at least.
+BLAMED, BLAMED_SHARE = 12, 0.2
 #: Windows whose subsequences are held at a time in training.
 STEP = 20_000
 
@@ -96,17 +96,20 @@ def codes(s: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
     return out
 
 
-#: A window counts in part as a hit from a decision (one of EDGES, by calibration) up to UNSURE more; hits and words that every text has from the outset.
-EDGES, UNSURE, PRIOR_HITS, PRIOR_WORDS = (0.0, 0.2, 0.4, 0.6), 0.3, 0.02, 10
+#: A window counts in part as a hit from a decision of EDGE up to UNSURE more; hits and words that every text has from the outset.
+EDGE, UNSURE, PRIOR_HITS, PRIOR_WORDS = 0.4, 0.3, 0.02, 10
+
+
+def _hit(value: np.ndarray) -> np.ndarray:
+    return np.clip((value - EDGE) / UNSURE, 0, 1)
 
 
 @dataclass(frozen=True)
 class Machine:
-    """Weights of subsequences, the bias, and the calibration: from when on a window is a hit, what a text's evidence weighs, and where the middle is."""
+    """Weights of subsequences, the bias, and the calibration: what a text's evidence weighs, and where the middle is."""
 
     table: np.ndarray
     bias: float
-    edge: float = 0.0
     weights: tuple[float, float] = (0.0, 0.0)
     middle: float = 0.0
 
@@ -122,9 +125,6 @@ class Machine:
             total += sums[np.minimum(np.arange(n) + WINDOW - last, n)] - sums[:n]
         return total
 
-    def hit(self, value: np.ndarray) -> np.ndarray:
-        return np.clip((value - self.edge) / UNSURE, 0, 1)
-
     def best(self, s: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The evidence of each row: the highest decision of its windows, and the log of the share of words that are hits.
 
@@ -139,13 +139,13 @@ class Machine:
         lead[at[:-1]] = True
         top = np.maximum.reduceat(np.where(lead, value, -np.inf), at[:-1])
         words = np.maximum(1, np.diff(at) - WINDOW - np.add.reduceat(s > 0, at[:-1], dtype=np.int64))  # gaps
-        hits = np.add.reduceat(np.where(lead, self.hit(value), 0), at[:-1])
+        hits = np.add.reduceat(np.where(lead, _hit(value), 0), at[:-1])
         spelled, ends, row = _spelled(s, at)
         if len(row):
             value = self.windows(spelled)
             found = np.maximum.reduceat(value, ends[:-1])
             np.maximum.at(top, row, found)
-            np.add.at(hits, row, self.hit(found))
+            np.add.at(hits, row, _hit(found))
         return np.column_stack([np.clip(top, -3, 3), np.log((hits + PRIOR_HITS) / (words + PRIOR_WORDS))])
 
     def score(self, best: np.ndarray) -> np.ndarray:
@@ -333,7 +333,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         for r in np.unique(row[yes]):
             own = np.arange(np.searchsorted(row, r), np.searchsorted(row, r, "right"))
             pick = own[np.argsort(-score[own], kind="stable")[:BLAMED]]
-            blame += [p for p in pick[np.isfinite(score[pick])].tolist() if p == pick[0] or score[p] > 0.4 * score[pick[0]]]
+            blame += [p for p in pick[np.isfinite(score[pick])].tolist() if p == pick[0] or score[p] > BLAMED_SHARE * score[pick[0]]]
         good = np.unique(back[blame])
         often = np.bincount(back[blame], minlength=len(w))[good]
         no = np.flatnonzero(clean)
@@ -361,15 +361,8 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         machine = Machine(table, bias)
         value = valued(table, None, weights) + bias
     use = np.flatnonzero(held) if held.any() else fit
-    parts = [_rows(part) for _, part in _parts_of([texts[i] for i in use])]
-    found = []
-    for edge in EDGES:
-        tried = Machine(machine.table, machine.bias, edge)
-        x = np.concatenate([tried.best(*part) for part in parts])
-        tried = Machine(machine.table, machine.bias, edge, *_calibrated(x, y[use]))
-        p = np.clip(tried.score(x), 1e-6, 1 - 1e-6)
-        found.append((-np.where(y[use], np.log(p), np.log(1 - p)).sum(), edge, tried))
-    return min(found, key=lambda f: f[:2])[2]
+    best = np.concatenate([machine.best(*_rows(part)) for _, part in _parts_of([texts[i] for i in use])])
+    return Machine(machine.table, machine.bias, *_calibrated(best, y[use]))
 
 
 def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], float]:
