@@ -16,14 +16,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bounded, materialise
 from .mixing import HASH_BITS, hash_of
 
 #: N-grams in a profile.
 PROFILE = 400
 #: Labelled rows of each language that the profiles are fitted on, about; chosen by hash.
 SAMPLE_ROWS = 2_000
-#: Languages at most.
-MOST_LANGUAGES = 1_000
 UNKNOWN = "und"
 
 
@@ -83,15 +82,12 @@ def fit(labelled: DataFrame, most: int = PROFILE, sample_rows: int = SAMPLE_ROWS
     """Profiles from rows (key, text, lang); rows without a language, key or text are left out.
 
     Whole texts of about ``sample_rows`` rows of each language, chosen by the hash of the key.
+    Repeated rows count as often as they are there.  Without any rows there are no profiles.
     """
     rows = labelled.where(f"lang is not null and text is not null and `{key}` is not null").select(F.col(key).alias("key"), "text", "lang")
-    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if not sizes:
-        return Profiles((), (), most)
-    upto = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, sample_rows / r["count"]) * (1 << HASH_BITS)))])
-    rows = rows.where(hash_of(F.col("key")) < upto[F.col("lang")])
+    upto = (F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("count")) * float(1 << HASH_BITS)).cast("long")
+    sizes = materialise(rows.groupBy("lang").count().select("lang", upto.alias("upto")))
+    rows = rows.join(bounded(sizes), "lang").where(hash_of(F.col("key")) < F.col("upto"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +108,8 @@ def fit(labelled: DataFrame, most: int = PROFILE, sample_rows: int = SAMPLE_ROWS
 def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     """``docs`` without ``text`` and with lang_pred and score, from the whole text alone.
 
-    ``und`` and 0 for null texts and texts without a letter.
+    ``und`` and 0 for null texts and texts without a letter.  Columns of these two names are
+    replaced; repeated rows are rows of their own; an empty table gives an empty table.
     """
     keep = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     tables = profiles.lookup()

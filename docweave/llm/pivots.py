@@ -26,8 +26,8 @@ NEAREST, SHARED = 8, 2
 BLOCK = 4_096
 #: Pivots at most; they are sent to all tasks.
 MOST_PIVOTS = 1_024
-#: Different sizes of vectors at most; each is indexed by itself.
-MOST_SIZES = 100
+#: The most frequent sizes of vectors that are indexed by themselves; others share an index by powers of two.
+OWN_SIZES = 32
 
 
 def n_pivots(n: int) -> int:
@@ -72,11 +72,16 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, nearest: int = NEAREST
     rows = vectors.select("vec_id", "label", "embedding").withColumn("ok", F.coalesce(F.col("label").isNotNull() & some & ~bad, F.lit(False)))
     rows = rows.select("vec_id", "ok", "label", "embedding", F.xxhash64("label", "embedding").alias("k1"), F.xxhash64("embedding", F.lit(1)).alias("k2"))
     same = rows.where("ok").groupBy("k1", "k2").agg(F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count("*").alias("n"), F.min("vec_id").alias("least"))
+    part = vectors.schema["embedding"].dataType.elementType
     reps = materialise(same.withColumn("id", F.monotonically_increasing_id()).withColumn("dim", F.size("embedding")))
-    kinds = reps.select("dim").distinct().limit(MOST_SIZES + 1).collect()
-    if len(kinds) > MOST_SIZES:
-        raise ValueError(f"vectors of more than {MOST_SIZES} sizes")
-    found = [links_of(reps.where(F.col("dim") == r["dim"]), least, nearest, shared, block) for r in kinds]
+    own = [r["dim"] for r in reps.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(OWN_SIZES).collect()]
+    found = [links_of(reps.where(F.col("dim") == d), least, nearest, shared, block) for d in own]
+    rest = reps.where(~F.col("dim").isin(own)).withColumn("room", F.ceil(F.log2("dim")).cast("int"))
+    for r in rest.select("room").distinct().orderBy("room").collect() if own else []:  # 31 at most
+        # filled up with zeros, which changes no cosine; sizes stay apart as parts of the label
+        full = F.concat("embedding", F.array_repeat(F.lit(0).cast(part), F.lit(1 << r["room"]) - F.col("dim")))
+        some = rest.where(F.col("room") == r["room"]).withColumns({"embedding": full, "label": F.struct("label", "dim")})
+        found.append(links_of(some, least, nearest, shared, block))
     if not found:
         found = [vectors.sparkSession.createDataFrame([], "a long, b long, n long")]
     links = found[0]
