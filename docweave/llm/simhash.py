@@ -77,9 +77,9 @@ def voted(values: np.ndarray, width: int) -> np.ndarray:
 def simhash(docs: DataFrame, shingle: int = 5, text: str = "text", fp: str = "fp") -> DataFrame:
     """``docs`` without ``text``, with the fingerprint of it as a long (two's complement).
 
-    Null texts count as empty.  Rows are kept as they are, repeated ones too.
+    Null texts count as empty.  Rows are kept as they are, repeated ones too; a column ``fp`` is replaced.
     """
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in docs.columns if c not in (text, fp)]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +95,9 @@ def simhash(docs: DataFrame, shingle: int = 5, text: str = "text", fp: str = "fp
 def sketches(docs: DataFrame, shingle: int = 5, width: int = 4) -> DataFrame:
     """``docs`` without ``text``, with fp and more (the words of a fingerprint), same (a hash of the set) and n of its shingles.
 
-    Repeated shingles count once.  Null texts count as empty.
+    Repeated shingles count once.  Null texts count as empty.  Columns of these names are replaced.
     """
-    keep = [c for c in docs.columns if c != "text"]
+    keep = [c for c in docs.columns if c not in ("text", "fp", "more", "same", "n")]
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

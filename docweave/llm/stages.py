@@ -1,7 +1,9 @@
 """Stages of a corpus pipeline: each applies an operator's decisions to whole documents.
 
 Every function takes documents with any columns, among them doc_id, text, source,
-and returns the same columns.
+and returns the same columns.  No name of a column is reserved.  Repeated rows and null
+ids are rows of their own, null texts count as empty, and an empty table gives an empty
+table, unless a function says otherwise.
 """
 
 from __future__ import annotations
@@ -25,15 +27,21 @@ def _hashes(*of: Column) -> list[Column]:
     return [F.xxhash64(*marks).alias("_k1"), F.xxhash64(*marks, F.lit(1)).alias("_k2")]
 
 
+def _marked(docs: DataFrame, *of: Column) -> DataFrame:
+    """(_doc, _k1, _k2): whole rows and their hashes, so that no column of theirs clashes."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *_hashes(*of))
+
+
 def _without(docs: DataFrame, keys: DataFrame, *of: Column) -> DataFrame:
     """Rows of ``docs`` whose hashes aren't among ``keys`` (_k1, _k2), broadcast if they are few."""
-    cols = docs.columns
-    marked = docs.withColumns(dict(zip(["_k1", "_k2"], _hashes(*of), strict=True)))
-    return marked.join(bounded(keys), ["_k1", "_k2"], "left_anti").select(cols)
+    return _marked(docs, *of).join(bounded(keys), ["_k1", "_k2"], "left_anti").select("_doc.*")
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame:
-    """Documents that score below ``least``; the machine is trained on the labelled ones among them."""
+    """Documents that score below ``least``; the machine is trained on the labelled ones among them.
+
+    Without labels, or with labels of one kind only, all score the same: 0 without toxic ones.
+    """
     machine = toxicity.fit(docs, labels)
     where = docs.columns.index("text")
 
@@ -51,7 +59,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, widt
     """One document of each group of near-duplicates: that with the smallest doc_id, one of equal rows.
 
     Near-duplicates are connected by pairs whose sets of shingles have at least this Jaccard similarity.
-    Texts without words are equal to each other.
+    Texts without words are equal to each other.  A null id is chosen only from a group without others.
     """
     id_, text = F.col("doc_id"), F.col("text")
     rows = materialise(sketches(docs.select("doc_id", *_hashes(id_, text), "text"), shingle, width))
@@ -71,13 +79,12 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, widt
     twice = materialise(each.join(stay, ["_k1", "_k2"], "left_semi").groupBy("_k1", "_k2").count().where("count > 1").select("_k1", "_k2"))
     if twice.isEmpty():
         return out
-    marked = docs.withColumns(dict(zip(["_k1", "_k2"], _hashes(id_, text), strict=True)))
-    again = marked.join(bounded(twice), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(docs.columns)
+    again = _marked(docs, id_, text).join(bounded(twice), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("_doc.*")
     return _without(out, twice, id_, text).unionByName(again)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, least_items: int = 1) -> DataFrame:
-    """Documents in which fewer than ``least_items`` items have an occurring window."""
+    """Documents in which fewer than ``least_items`` items have an occurring window; all of them without items."""
     text = F.col("text")
     found = contamination(docs.select(F.struct(*_hashes(text)).alias("doc_id"), "text"), items, least_items=least_items)
     gone = materialise(found.where("contaminated").select("doc_id.*").distinct())
@@ -85,11 +92,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, least_items: int = 1) -> Da
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
+    """All documents, with a mark of its kind for each secret in a text; null texts stay null."""
     return secrets.redact(docs)
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """Documents as often as the mix takes them, with ``copy`` from 1 on."""
+    """Documents as often as the mix takes them, with ``copy`` from 1 on, which replaces a column of that name.
+
+    Texts without words are never taken; a null source is a source.
+    """
     rows = docs.select("source", mixing.n_words(F.col("text")).alias("size"), mixing.hash_of(F.col("doc_id")).alias("hash"))
     rows = materialise(rows)
     sizes = materialise(rows.groupBy("source").agg(F.sum("size").alias("source_size")))

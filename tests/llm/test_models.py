@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
-from docweave.llm import langid, queries, tokens, toxicity, urls
+from docweave.llm import langid, pivots, queries, tokens, toxicity, urls
 from docweave.llm.pivots import near_vectors
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score string"
@@ -106,6 +106,19 @@ def test_embeddings(spark, sf_dir):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in queries.op3_embeddings(spark, sf_dir).collect()) == sorted(brute_links(rows))
 
 
+def test_embeddings_of_many_sizes(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = []
+    for dim in (1, 2, 3, 4, 5, 7, 9):
+        base = rng.normal(size=(6, dim))
+        for k in range(24):
+            rows.append((len(rows), (base[k % 6] + rng.normal(size=dim) * 0.05 * (k // 6)).tolist(), k % 2))
+    monkeypatch.setattr(pivots, "OWN_SIZES", 2)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_vectors(df, shared=1).collect())
+    assert got == sorted(brute_links(rows))
+
+
 def kernel(s, t):
     """All pairs of equal subsequences, straight from the definition."""
     from itertools import combinations
@@ -321,3 +334,55 @@ def test_url_plan_is_linear(spark, sf_dir, monkeypatch):
         if order == 2:
             two = sum(exchanges)
     assert sum(exchanges) <= 40 and max(exchanges) <= 5 and sum(exchanges) - two <= 12
+
+
+def test_toxicity_tolerates_words_never_distorted(monkeypatch):
+    monkeypatch.setattr(toxicity, "_loosened", lambda w, rng: np.repeat(w, 3, axis=0))  # training sees the words as they are
+    machine = toxicity.train(*sentences(600, 1))
+    score = lambda texts: machine.score(machine.best(*toxicity._rows(texts)))
+    for x in ("grumpfjack", "zwixnut", "hoggle"):
+        forms = [" ".join(x), ".".join(x), *(x[:k] + c + x[k:] for k in range(1, len(x)) for c in "zq")]
+        assert (score([f"ba lo {f} so ti" for f in forms]) >= 0.7).mean() > 0.8
+    assert score(["ba lo ren so", "madi vek", "tirensomabalo so"]).max() < 0.3
+
+
+def test_toxicity_score_is_brute_force():
+    """Evidence of whole texts from its definition, window by window."""
+    machine = toxicity.train(*sentences(300, 3))
+    rng = random.Random(4)
+    texts = ["", "é", *("".join(rng.choices("grumpfjack zwixnut.hoggle  12", k=rng.randint(1, 60))) for _ in range(60))]
+    s, at = toxicity._rows(texts)
+    got = machine.best(s, at)
+
+    def decision(w):
+        total = machine.bias
+        for o, weight in toxicity.OFFSETS:
+            for p in range(toxicity.WINDOW - o[-1]):
+                code = 0
+                for x in (0, *o):
+                    code = code * toxicity.SYMBOLS + int(w[p + x])
+                total += weight * machine.table[code]
+        return total
+
+    for k in range(len(texts)):
+        row = s[at[k] : at[k + 1]].tolist()
+        runs = "".join(chr(65 + x) if x else " " for x in row).rstrip()
+        starts, place = {0}, 0
+        for run in runs.split(" "):
+            if run:  # the gap before it, then letters until a window reaches the end of a long run
+                starts |= {place - 1, *(place + i for i in range(len(run) - toxicity.WINDOW + 2) if len(run) > toxicity.WINDOW)} if len(run) > toxicity.WINDOW - 1 else {place - 1}
+            place += len(run) + 1
+        windows = [row[i : i + toxicity.WINDOW] + [0] * toxicity.WINDOW for i in sorted(starts) if i >= 0]
+        values = [decision(w) for w in windows]
+        words, now = [], []
+        for run in [*runs.split(" "), "xx"]:
+            if len(run) == 1:
+                now.append(ord(run) - 65)
+            elif run:
+                words += [now] if len(now) >= toxicity.LENGTH else []
+                now = []
+        spelled = []
+        for word in words:
+            padded = [0, *word] + [0] * 2 * toxicity.WINDOW
+            spelled.append(max(decision(padded[i : i + toxicity.WINDOW]) for i in range(len(word) + toxicity.WINDOW + 1)))
+        assert abs(got[k][0] - np.clip(max(values + spelled), -3, 3)) < 1e-3, texts[k]

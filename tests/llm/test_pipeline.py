@@ -148,3 +148,21 @@ def test_pipeline(spark, sf_dir):
     assert got.columns == [*docs.columns, "copy"]
     n = got.select("doc_id").distinct().count()
     assert 0.3 * docs.count() < n < docs.count()
+
+
+def test_stages_take_any_table(spark, sf_dir):
+    """Empty tables, nulls, repeated rows, very long texts, and columns with the names that stages use inside."""
+    long = "word " * 200_000 + "password = hunter22 "
+    rows = [(1, long, "s", "a", 1, "c", 0.5), (1, long, "s", "a", 1, "c", 0.5), (None, None, None, None, None, None, None), (2, "", "t", "b", 2, "d", 0.1), (3, "one two three four five six", "t", "e", 3, "f", 0.2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _k1 string, _k2 long, _doc string, score double")
+    labels, items = load(spark, sf_dir, "labels"), load(spark, sf_dir, "benchmark")
+    every = Counter(map(tuple, rows))
+    taken = lambda df: Counter(tuple(r) for r in df.collect())
+    for stage in (lambda d: stages.reject_toxic(d, labels.limit(0)), lambda d: stages.decontaminate(d, items), lambda d: stages.decontaminate(d, items.limit(0))):
+        assert taken(stage(df)) == every and stage(df.limit(0)).columns == df.columns and stage(df.limit(0)).count() == 0
+    red = stages.redact_secrets(df)
+    assert red.columns == df.columns and red.where("text like '%[assign] '").count() == 2 and red.count() == 5 and stages.redact_secrets(df.limit(0)).count() == 0
+    once = stages.one_of_each(df)
+    assert taken(once) == Counter([rows[0], rows[3], rows[4]]) and stages.one_of_each(df.limit(0)).count() == 0
+    mixed = stages.mix_sources(df)
+    assert mixed.columns == [*df.columns, "copy"] and mixed.where("text is null").count() == 0 and mixed.where("doc_id = 1").count() >= 2
