@@ -18,6 +18,8 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 8 << 20
 #: Bits of a map of hashes that is sent to all tasks: 16 MB at most.
 MAP_BITS = 1 << 27
+#: Bytes of a batch of rows on its way to Python, about, unless the session asks for less.
+BATCH_BYTES = 8 << 20
 #: Bytes of text that one vectorised step holds at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -28,6 +30,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound batches on their way to Python by bytes, as texts differ a thousandfold in length; a smaller bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch())
+    if now > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a local one only where that is unset and all is one process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

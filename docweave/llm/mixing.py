@@ -15,7 +15,6 @@ from .common import bounded, materialise, running
 
 #: Bits of the hash and of one histogram.
 HASH_BITS, STEP_BITS = 60, 12
-_SALTS = 64
 
 
 def hash_of(key: Column) -> Column:

@@ -31,7 +31,7 @@ OWN_SIZES = 32
 
 
 def n_pivots(n: int) -> int:
-    """Grows with the root of the largest label, so that lists grow with the root as well."""
+    """Grows with the root of the largest label, so that lists grow with the root as well, until there are MOST_PIVOTS; lists grow in proportion then."""
     return 64 * min(MOST_PIVOTS // 64, max(2, ceil(2 * sqrt(n) / 64)))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import mixing, secrets, toxicity
-from .common import bounded, chunks, materialise
+from .common import bounded, chunks, materialise, small_batches
 from .decontaminate import contamination
 from .simhash import near_texts, sketches
 
@@ -42,6 +42,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> Data
 
     Without labels, or with labels of one kind only, all score the same: 0 without toxic ones.
     """
+    small_batches(docs.sparkSession)
     machine = toxicity.fit(docs, labels)
     where = docs.columns.index("text")
 
@@ -61,6 +62,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, widt
     Near-duplicates are connected by pairs whose sets of shingles have at least this Jaccard similarity.
     Texts without words are equal to each other.  A null id is chosen only from a group without others.
     """
+    small_batches(docs.sparkSession)
     id_, text = F.col("doc_id"), F.col("text")
     rows = materialise(sketches(docs.select("doc_id", *_hashes(id_, text), "text"), shingle, width))
     known = rows.groupBy("fp", "more", "same", "n").agg(F.min("doc_id").alias("least"), F.min(F.struct("_k1", "_k2")).alias("one"))
@@ -85,6 +87,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, widt
 
 def decontaminate(docs: DataFrame, items: DataFrame, least_items: int = 1) -> DataFrame:
     """Documents in which fewer than ``least_items`` items have an occurring window; all of them without items."""
+    small_batches(docs.sparkSession)
     text = F.col("text")
     found = contamination(docs.select(F.struct(*_hashes(text)).alias("doc_id"), "text"), items, least_items=least_items)
     gone = materialise(found.where("contaminated").select("doc_id.*").distinct())
@@ -93,6 +96,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, least_items: int = 1) -> Da
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """All documents, with a mark of its kind for each secret in a text; null texts stay null."""
+    small_batches(docs.sparkSession)
     return secrets.redact(docs)
 
 

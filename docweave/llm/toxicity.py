@@ -36,6 +36,8 @@ SYMBOLS = 40
 OFTEN, RATHER = 3, 4.0
 #: Windows of a toxic text that are blamed at most in each round, and their share of the highest value at least.
 BLAMED, BLAMED_SHARE = 12, 0.2
+#: Different windows that are blamed at most, the most frequent ones.
+MOST_BLAMED = 3_000
 #: Windows whose subsequences are held at a time in training.
 STEP = 20_000
 
@@ -202,6 +204,22 @@ def _windows_of(s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return w[order], row[order]
 
 
+def _packed(w: np.ndarray) -> np.ndarray:
+    """Windows (rows of symbols) as one number each."""
+    out = np.zeros(len(w), np.int64)
+    for k in range(WINDOW):
+        out *= SYMBOLS
+        out += w[:, k]
+    return out
+
+
+def _unpacked(codes_: np.ndarray) -> np.ndarray:
+    out = np.empty((len(codes_), WINDOW), np.uint8)
+    for k in reversed(range(WINDOW)):
+        codes_, out[:, k] = np.divmod(codes_, SYMBOLS)
+    return out
+
+
 def _features(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes and weights of all subsequences inside windows; places that leave the window weigh 0."""
     wide = np.concatenate([w, np.zeros((len(w), LENGTH + GAPS), np.uint8)], 1).astype(np.int32)
@@ -232,15 +250,14 @@ def _kernels(codes_: np.ndarray, weights: np.ndarray, marks: np.ndarray) -> np.n
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1_000.0, steps: int = 60) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by Newton steps; y is 1 or -1."""
-    z = np.column_stack([x, np.ones(len(x), x.dtype)])
-    w = np.zeros(z.shape[1])
-    ridge = np.eye(z.shape[1])
+    w = np.zeros(x.shape[1] + 1)
+    ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
     for _ in range(steps):
-        on = np.flatnonzero(y * (z @ w) < 1)
+        on = np.flatnonzero(y * (x @ w[:-1].astype(x.dtype) + w[-1]) < 1)
         h, g = ridge.copy(), np.zeros(len(w))
         for part in np.array_split(on, 1 + len(on) // 2_000):
-            some, c = z[part].astype(np.float64), weight[part] * penalty
+            some, c = np.column_stack([x[part].astype(np.float64), np.ones(len(part))]), weight[part] * penalty
             h += (some * c[:, None]).T @ some
             g += some.T @ (c * y[part])
         new = np.linalg.solve(h, g)
@@ -292,21 +309,21 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
     if not held[y].any() or not held[~y].any():
         held[:] = False
     fit = np.flatnonzero(~held)
-    found = [(w, row.astype(np.int32) + first) for first, part in _parts_of([texts[i] for i in fit]) for w, row in [_windows_of(*_rows(part))]]
+    found = [(_packed(w), row.astype(np.int32) + np.int32(first)) for first, part in _parts_of([texts[i] for i in fit]) for w, row in [_windows_of(*_rows(part))]]
     w, row = (np.concatenate(x) for x in zip(*found, strict=True))
     del found
     yes = y[fit][row]
     counts = {label: np.zeros(SYMBOLS**LENGTH, np.float32) for label in (True, False)}
     for part in np.array_split(np.arange(len(fit)), max(1, len(w) // STEP)):  # whole texts, so that each counts once
         rows = np.arange(np.searchsorted(row, part[0]), np.searchsorted(row, part[-1], "right")) if len(part) else part
-        dense = _features(w[rows])[0][:, : WINDOW - LENGTH + 1]  # subsequences without gaps come first
+        dense = _features(_unpacked(w[rows]))[0][:, : WINDOW - LENGTH + 1]  # subsequences without gaps come first
         pairs, times = np.unique(row[rows].astype(np.int64).repeat(dense.shape[1]) * SYMBOLS**LENGTH + dense.ravel(), return_counts=True)
         label = y[fit][pairs // SYMBOLS**LENGTH]
         for k, into in counts.items():
             np.add.at(into, pairs[label == k] % SYMBOLS**LENGTH, np.minimum(times[label == k], OFTEN))
     in_yes, in_no = counts[True], counts[False]
-    w, back = np.unique(w.view(f"V{WINDOW}").ravel(), return_inverse=True)
-    w, back = w.view(np.uint8).reshape(-1, WINDOW), back.ravel().astype(np.int32)
+    w, back = np.unique(w, return_inverse=True)
+    back = back.ravel().astype(np.int32)
     n_yes, n_no = max(1, y[fit].sum()), max(1, (~y[fit]).sum())
     # the log of the ratio less two standard deviations, so that rare ones don't win by chance
     odds = np.log((in_yes + 0.5) / (n_yes + 1)) - np.log((in_no + 0.5) / (n_no + 1)) - 2 * np.sqrt(1 / (in_yes + 0.5) + 1 / (in_no + 0.5))
@@ -316,16 +333,19 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
     def valued(table: np.ndarray, features: int | None, weights: np.ndarray | float) -> np.ndarray:
         """Sum of the table over the features of all windows."""
         parts = np.array_split(w, max(1, len(w) // STEP))
-        return np.concatenate([(table[_features(x)[0][:, :features]] * weights).sum(1) for x in parts]).astype(np.float64)
+        return np.concatenate([(table[_features(_unpacked(x))[0][:, :features]] * weights).sum(1) for x in parts])
 
-    weights = _features(w[:0])[1]
+    weights = _features(_unpacked(w[:0]))[1]
     value = valued(odds, WINDOW - LENGTH + 1, 1.0)
+    del counts, in_yes, in_no, odds
     # occurrences of each window in texts of either label, a text's up to OFTEN
     pairs, times = np.unique(row.astype(np.int64) * len(w) + back, return_counts=True)
     kind, label = pairs % len(w), y[fit][pairs // len(w)]
     seen = {k: np.bincount(kind[label == k], np.minimum(times[label == k], OFTEN), len(w)) for k in (True, False)}
+    del pairs, times, kind, label
     clean = seen[False] > 0
     spared = clean & (seen[True] / n_yes < RATHER * seen[False] / n_no)
+    del seen
     machine = None
     for _ in range(rounds):
         score = np.where(spared, -np.inf, value)[back]
@@ -334,14 +354,16 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
             own = np.arange(np.searchsorted(row, r), np.searchsorted(row, r, "right"))
             pick = own[np.argsort(-score[own], kind="stable")[:BLAMED]]
             blame += [p for p in pick[np.isfinite(score[pick])].tolist() if p == pick[0] or score[p] > BLAMED_SHARE * score[pick[0]]]
-        good = np.unique(back[blame])
-        often = np.bincount(back[blame], minlength=len(w))[good]
+        good, often = np.unique(back[blame], return_counts=True)
+        if len(good) > MOST_BLAMED:
+            first = np.sort(np.argsort(-often, kind="stable")[:MOST_BLAMED])
+            good, often = good[first], often[first]
         no = np.flatnonzero(clean)
         hard = no[np.argsort(-value[no], kind="stable")[:3_000]]
         rest = rng.choice(no, min(len(no), 5_000), replace=False)
         bad = np.unique(np.concatenate([hard, rest]))
-        near_good, near_bad = _features(w[good])[0], _features(w[bad])[0]
-        x = np.concatenate([near_good, _features(_loosened(w[good], rng))[0], near_bad])
+        near_good, near_bad = _features(_unpacked(w[good]))[0], _features(_unpacked(w[bad]))[0]
+        x = np.concatenate([near_good, _features(_loosened(_unpacked(w[good]), rng))[0], near_bad])
         label = np.concatenate([np.ones(4 * len(good)), -np.ones(len(bad))])
         many = np.concatenate([often, np.repeat(0.25 * often, 3), np.ones(len(bad))]).astype(np.float64)
         many[label > 0] *= len(bad) / many[label > 0].sum()
@@ -352,7 +374,8 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         use = vals > 1e-6 * vals[-1]
         root = vecs[:, use] / np.sqrt(vals[use])
         scale = float(np.sqrt(np.mean(weights**2) * len(weights)))
-        v, bias = _svm(_kernels(x, weights, marks) @ (root / scale).astype(np.float32), label, many / len(many))
+        to = (root / scale).astype(np.float32)
+        v, bias = _svm(np.concatenate([_kernels(part, weights, marks) @ to for part in np.array_split(x, 8)]), label, many / len(many))
         alpha = root @ v / scale
         table = np.zeros(SYMBOLS**LENGTH, np.float32)
         for a, m in zip(alpha, marks, strict=True):
