@@ -36,6 +36,8 @@ SYMBOLS = 40
 OFTEN, RATHER = 3, 4.0
 #: Windows of a toxic text that are blamed at most in each round, and their share of the highest value at least.
 BLAMED, BLAMED_SHARE = 12, 0.2
+#: Share of the empty window among others, so that it is never toxic.
+EMPTY = 0.05
 #: Different windows that are blamed at most, the most frequent ones.
 MOST_BLAMED = 3_000
 #: Windows whose subsequences are held at a time in training.
@@ -108,12 +110,14 @@ def _hit(value: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Machine:
-    """Weights of subsequences, the bias, and the calibration: what a text's evidence weighs, and where the middle is."""
+    """Weights of subsequences, the bias, and the calibration: what a text's evidence weighs, and where the middle is;
+    and the same for its best window alone, as one window may be enough in a text of any length."""
 
     table: np.ndarray
     bias: float
     weights: tuple[float, float] = (0.0, 0.0)
     middle: float = 0.0
+    alone: tuple[float, float] = (0.0, 20.0)
 
     def windows(self, s: np.ndarray) -> np.ndarray:
         """Decision of the window that starts at each position, over the subsequences that stay inside it."""
@@ -151,7 +155,8 @@ class Machine:
         return np.column_stack([np.clip(top, -3, 3), np.log((hits + PRIOR_HITS) / (words + PRIOR_WORDS))])
 
     def score(self, best: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(best @ np.array(self.weights) - self.middle, -30, 30)))
+        value = np.maximum(best @ np.array(self.weights) - self.middle, best[:, 0] * self.alone[0] - self.alone[1])
+        return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
 
 
 def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -362,10 +367,10 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         hard = no[np.argsort(-value[no], kind="stable")[:3_000]]
         rest = rng.choice(no, min(len(no), 5_000), replace=False)
         bad = np.unique(np.concatenate([hard, rest]))
-        near_good, near_bad = _features(_unpacked(w[good]))[0], _features(_unpacked(w[bad]))[0]
+        near_good, near_bad = _features(_unpacked(w[good]))[0], _features(_unpacked(np.append(w[bad], 0)))[0]  # and an empty one
         x = np.concatenate([near_good, _features(_loosened(_unpacked(w[good]), rng))[0], near_bad])
-        label = np.concatenate([np.ones(4 * len(good)), -np.ones(len(bad))])
-        many = np.concatenate([often, np.repeat(0.25 * often, 3), np.ones(len(bad))]).astype(np.float64)
+        label = np.concatenate([np.ones(4 * len(good)), -np.ones(len(bad) + 1)])
+        many = np.concatenate([often, np.repeat(0.25 * often, 3), np.ones(len(bad)), [EMPTY * len(bad)]]).astype(np.float64)
         many[label > 0] *= len(bad) / many[label > 0].sum()
         order = np.argsort(-often, kind="stable")
         marks = np.concatenate([near_good[order[: LANDMARKS * 3 // 4]], near_bad[rng.choice(len(bad), min(len(bad), LANDMARKS // 4), replace=False)]])
@@ -385,7 +390,10 @@ def train(texts: list[str], toxic: list[int], rounds: int = 3, seed: int = 1) ->
         value = valued(table, None, weights) + bias
     use = np.flatnonzero(held) if held.any() else fit
     best = np.concatenate([machine.best(*_rows(part)) for _, part in _parts_of([texts[i] for i in use])])
-    return Machine(machine.table, machine.bias, *_calibrated(best, y[use]))
+    (slope,), middle = _calibrated(best[:, :1], y[use])
+    if not y[use].all():  # alone, a window must exceed those of all other texts
+        middle = max(middle, slope * float(best[~y[use], 0].max()))
+    return Machine(machine.table, machine.bias, *_calibrated(best, y[use]), (slope, middle))
 
 
 def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], float]:

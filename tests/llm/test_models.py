@@ -49,6 +49,25 @@ def test_language_is_brute_force(spark, sf_dir):
         assert profiles.predict(text, profiles.lookup())[0] == brute_language(text, tops, 100)
 
 
+def test_profiles_and_scores_are_brute_force(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    some = [r for r in rows.collect() if r.lang][:60]
+    profiles = langid.fit(spark.createDataFrame(some, "doc_id long, text string, lang string"), most=50)
+    counts = defaultdict(Counter)
+    for r in some:
+        for w in re.findall(r"[^\W\d_]+", r.text.lower()):
+            w = f"_{w}_"
+            counts[r.lang].update(langid_code(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1) if w[i : i + k] != "_")
+    signed = lambda c: c - (1 << 64) if c >> 63 else c
+    assert profiles.languages == tuple(sorted(counts))
+    for x, top in zip(profiles.languages, profiles.tops, strict=True):
+        assert [int(c) for c in top] == sorted(counts[x], key=lambda c: (-counts[x][c], signed(c)))[:50]
+    for r in some[:20]:
+        top = [int(c) for c in langid.ranked(langid.grams(r.text), 50)]
+        far = sorted(sum(abs(p[c] - k) if c in p else 50 for k, c in enumerate(top)) for t in profiles.tops for p in [{int(c): k for k, c in enumerate(t)}])
+        assert profiles.predict(r.text, profiles.lookup())[1] == pytest.approx(1 - far[0] / far[1])
+
+
 def test_language_edges(spark):
     rows = [(1, "the cat is here", "en", None, 0, "x"), (2, "der Hund ist da", "de", None, 0, "x"), (3, None, "en", None, 0, "x"), (None, "", None, None, 0, "x"), (4, "12 !?", None, None, 0, "x"), (4, "12 !?", None, None, 0, "x"), (5, "the " * 50_000, None, None, 0, "x")]
     df = spark.createDataFrame(rows, DOC)

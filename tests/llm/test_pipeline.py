@@ -86,6 +86,19 @@ def test_one_of_each_is_jaccard(spark):
     assert sorted(r.doc_id for r in stages.one_of_each(df).collect()) == want
 
 
+def test_candidates_are_few_bits_apart():
+    """Pairs of sets at 0.8: the bounds of candidates leave out about none of them."""
+    rng = np.random.default_rng(1)
+    missed = 0
+    for n in (5, 9, 64, 200):
+        for _ in range(250):
+            shared = -(-16 * n // 18)
+            v = rng.integers(0, 2**64, 2 * n - shared, dtype=np.uint64)
+            far = np.bitwise_count(simhash.voted(v[:n], 4) ^ simhash.voted(v[n - shared :], 4))
+            missed += far[0] > simhash.candidate_bits(0.8, 64, n) or far.sum() > simhash.candidate_bits(0.8, 256)
+    assert missed <= 2
+
+
 def test_jaccard_in_blocks(spark, monkeypatch):
     base = [f"w{k}" for k in range(100)]
     texts = [" ".join([*base[:k], "x" + str(k), *base[k:]]) for k in range(40)] + [" ".join(base[k:] + base[:k]) for k in range(0, 100, 25)]
