@@ -27,14 +27,21 @@ def _hashes(*of: Column) -> list[Column]:
     return [F.xxhash64(*marks).alias("_k1"), F.xxhash64(*marks, F.lit(1)).alias("_k2")]
 
 
-def _marked(docs: DataFrame, *of: Column) -> DataFrame:
-    """(_doc, _k1, _k2): whole rows and their hashes, so that no column of theirs clashes."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *_hashes(*of))
+def _matched(docs: DataFrame, keys: DataFrame, how: str, *of: Column) -> tuple[DataFrame, list[str]]:
+    """``docs`` joined (left_anti or left_semi) with ``keys`` (_k1, _k2), broadcast if they are few, on their hashes; and
+    the names of the two columns of hashes, none of which ``docs`` has."""
+    end = "_"
+    while {f"_k1{end}", f"_k2{end}"} & set(docs.columns):
+        end += "_"
+    names = [f"_k1{end}", f"_k2{end}"]
+    marked = docs.withColumns(dict(zip(names, _hashes(*of), strict=True)))
+    return marked.join(bounded(keys.select(F.col("_k1").alias(names[0]), F.col("_k2").alias(names[1]))), names, how), names
 
 
 def _without(docs: DataFrame, keys: DataFrame, *of: Column) -> DataFrame:
-    """Rows of ``docs`` whose hashes aren't among ``keys`` (_k1, _k2), broadcast if they are few."""
-    return _marked(docs, *of).join(bounded(keys), ["_k1", "_k2"], "left_anti").select("_doc.*")
+    """Rows of ``docs`` whose hashes aren't among ``keys`` (_k1, _k2)."""
+    out, names = _matched(docs, keys, "left_anti", *of)
+    return out.drop(*names)
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame:
@@ -81,7 +88,8 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, widt
     twice = materialise(each.join(stay, ["_k1", "_k2"], "left_semi").groupBy("_k1", "_k2").count().where("count > 1").select("_k1", "_k2"))
     if twice.isEmpty():
         return out
-    again = _marked(docs, id_, text).join(bounded(twice), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("_doc.*")
+    again, names = _matched(docs, twice, "left_semi", id_, text)
+    again = again.dropDuplicates(names).drop(*names)
     return _without(out, twice, id_, text).unionByName(again)
 
 
