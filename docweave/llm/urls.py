@@ -19,6 +19,8 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 EXPRESSION_RULES = 1_000
 #: Characters of context, and the chance of a character that was never seen.
 ORDER, UNSEEN = 4, 1.0 / 256
+#: Characters up to which grams are cut out of a string as it is.
+SHORT = 1_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _START, _END = "\u0002", "\u0003"
 
@@ -60,11 +62,15 @@ def with_rules(rows: DataFrame, rules: tuple[tuple[str, str, str], ...]) -> Data
 
 
 def _gram(order: int) -> Column:
-    """One row for each character of column ``key`` and for the end, with its context."""
+    """One row for each character of column ``key`` and for the end, with its context.
+
+    Cutting a gram out takes time in proportion to its place, so long strings are split into characters first.
+    """
     s = F.concat(F.lit(_START * order), "key", F.lit(_END))
+    cut = F.transform(F.sequence(F.lit(1), F.length(s) - order), lambda i: F.substr(s, i, F.lit(order + 1)))
     chars = F.regexp_extract_all(s, F.lit("(?s)."), F.lit(0))
     windows = lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - order - 1), lambda i: F.concat(*[F.get(c, i + d) for d in range(order + 1)]))
-    return F.explode(windows(chars)).alias("gram")
+    return F.explode(F.when(F.length("key") <= SHORT, cut).otherwise(windows(chars))).alias("gram")
 
 
 def log_ratios(known: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
@@ -173,6 +179,8 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, ord
     rows = with_rules(rows, rules)
     kinds = rows.groupBy("key").agg(F.first("verdict").alias("verdict"), F.count("*").alias("n"))
     held = F.pmod(F.xxhash64("key"), F.lit(5)) == 0
+    # a small table is much work, so it is dealt out anew
+    kinds = kinds.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
     kinds = materialise(kinds.select(F.monotonically_increasing_id().alias("id"), "key", "verdict", "n", held.alias("held")))
     fits = lambda v: F.sum(F.when((F.col("verdict") == v) & ~F.col("held"), F.col("n")).otherwise(0)).alias(v)
     counts = kinds.select("verdict", "held", "n", _gram(order)).groupBy("gram").agg(fits("allow"), fits("block"), F.count("*").alias("times"))

@@ -336,6 +336,7 @@ def test_rare_url_grams_and_many_rules(spark, sf_dir, monkeypatch):
     want = rows()
     monkeypatch.setattr(urls, "BROADCAST_ROWS", 50)
     monkeypatch.setattr(urls, "EXPRESSION_RULES", 0)
+    monkeypatch.setattr(urls, "SHORT", 20)
     assert rows() == want
 
 
