@@ -189,6 +189,13 @@ def _shared(kinds: DataFrame, least: int) -> DataFrame:
     written before they are joined, so that adaptive execution can split a hot anchor.
     """
     several = materialise(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    known = kinds.sparkSession.sparkContext.broadcast(hash_map(several, "h"))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # most anchors have one class, which needn't be shuffled
+            yield batch.filter(pa.array(in_map(known.value, batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64))))
+
+    kinds = kinds.mapInArrow(some, kinds.schema)
     rows = materialise(kinds.join(several, "h").select(*_SAME, "first.*", "left", "right"))
     near = F.lit(False)
     for side in ("left", "right"):
