@@ -8,17 +8,20 @@ compared word by word, and each hit is extended to both sides.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_map, in_map, materialise
+from .common import chunks, hash_map, in_map, materialise, small_batches
 from .words import Words, winnow
 
 _HITS = "m int, fp long, pos int, gram string, before array<string>, after array<string>"
+#: Marks that are held as strings at a time; a text may have as many as words.
+MARKS = 4096
 
 
 def _marks(w: Words, window: int, k: int, short: list[int]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -32,45 +35,45 @@ def _marks(w: Words, window: int, k: int, short: list[int]) -> Iterator[tuple[in
         yield m, m, at, grams[at]
 
 
+def _batch(ids: pa.Array, m: Sequence, fp: Sequence, pos: Sequence, gram: Sequence, before: Sequence, after: Sequence) -> pa.RecordBatch:
+    words = pa.list_(pa.string())
+    cols = zip((m, fp, pos, gram, before, after), (pa.int32(), pa.int64(), pa.int32(), pa.string(), words, words), strict=True)
+    return pa.RecordBatch.from_arrays([ids, *[pa.array(x, t) for x, t in cols]], names=["id", "m", "fp", "pos", "gram", "before", "after"])
+
+
 def _scan(rows: DataFrame, window: int, k: int, short: list[int], item: bool, seen: object) -> DataFrame:
     """For each row (id, text) a row with m = 0 and its number of words as pos, and one for each mark."""
     side = window - k
 
+    def found(w: Words, known: np.ndarray | None) -> Iterator[tuple]:
+        counts = w.counts()
+        for m, size, pos, fp in _marks(w, window, k, short if not item else sorted({int(n) for n in counts if 0 < n < window})):
+            if known is not None:
+                hit = in_map(known, fp ^ np.uint64(m))
+                pos, fp = pos[hit], fp[hit]
+            row = np.searchsorted(w.at, pos, "right") - 1
+            if item:  # a short item is one window; a long one has no shorter ones
+                own = counts[row] == m if m < window else counts[row] >= window
+                pos, fp, row = pos[own], fp[own], row[own]
+            for i in range(0, len(pos), MARKS):
+                part = slice(i, i + MARKS)
+                for p, h, r in zip(pos[part].tolist(), fp[part].view(np.int64).tolist(), row[part].tolist(), strict=True):
+                    lo, hi = (max(p - side, int(w.at[r])), min(p + size + side, int(w.at[r + 1]))) if m == window else (p, p + size)
+                    words = w.slice(lo, hi)
+                    yield r, m, h, p - int(w.at[r]), " ".join(words[p - lo : p - lo + size]), words[: p - lo][::-1], words[p - lo + size :]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = seen.value if seen is not None else None
         for batch in batches:
             for first, end, at, raw in chunks(batch.column(1)):
                 w = Words(at, raw)
-                counts = w.counts()
-                ids = batch.column(0).slice(first, end - first)
-                out: list[tuple] = []
-                for m, size, pos, fp in _marks(w, window, k, short if not item else sorted({int(n) for n in counts if 0 < n < window})):
-                    if known is not None:
-                        hit = in_map(known, fp ^ np.uint64(m))
-                        pos, fp = pos[hit], fp[hit]
-                    row = np.searchsorted(w.at, pos, "right") - 1
-                    if item:  # a short item is one window; a long one has no shorter ones
-                        own = counts[row] == m if m < window else counts[row] >= window
-                        pos, fp, row = pos[own], fp[own], row[own]
-                    for p, h, r in zip(pos.tolist(), fp.view(np.int64).tolist(), row.tolist(), strict=True):
-                        lo, hi = (max(p - side, int(w.at[r])), min(p + size + side, int(w.at[r + 1]))) if m == window else (p, p + size)
-                        words = w.slice(lo, hi)
-                        out.append((r, m, h, p - int(w.at[r]), " ".join(words[p - lo : p - lo + size]), words[: p - lo][::-1], words[p - lo + size :]))
-                r = np.array([o[0] for o in out], np.int64)
-                cols = list(zip(*out, strict=True))[1:] if out else [[]] * 6
-                none = [[]] * len(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([ids, ids.take(pa.array(r))]),
-                        pa.concat_arrays([pa.array(np.zeros(len(counts), np.int32)), pa.array(cols[0], pa.int32())]),
-                        pa.concat_arrays([pa.array(np.zeros(len(counts), np.int64)), pa.array(cols[1], pa.int64())]),
-                        pa.concat_arrays([pa.array(counts.astype(np.int32)), pa.array(cols[2], pa.int32())]),
-                        pa.array([""] * len(counts) + list(cols[3]), pa.string()),
-                        pa.array(none + list(cols[4]), pa.list_(pa.string())),
-                        pa.array(none + list(cols[5]), pa.list_(pa.string())),
-                    ],
-                    names=["id", "m", "fp", "pos", "gram", "before", "after"],
-                )
+                n = end - first
+                ids = batch.column(0).slice(first, n)
+                yield _batch(ids, [0] * n, [0] * n, w.counts(), [""] * n, [[]] * n, [[]] * n)
+                marks = found(w, known)
+                while part := list(islice(marks, MARKS)):
+                    r, *cols = zip(*part, strict=True)
+                    yield _batch(ids.take(pa.array(r, pa.int64())), *cols)
 
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, {_HITS}")
@@ -97,6 +100,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 8, k: int = 5
     """
     short_of = lambda df: [r[0] for r in df.where(f"m > 0 and m < {window}").select("m").distinct().collect()]  # noqa: E731  under ``window`` rows
     spark = docs.sparkSession
+    small_batches(spark)
     bench = materialise(_scan(items.select(F.col("item_id").alias("id"), F.col("text").cast("string").alias("text")), window, k, [], True, None).where("m > 0"))
     seen = spark.sparkContext.broadcast(hash_map(bench.select(F.col("fp").bitwiseXOR(F.col("m").cast("long")).alias("mark")), "mark"))
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("r"), F.col("doc_id")).alias("id"), F.col("text").cast("string").alias("text"))

@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 import xxhash
-from docweave.llm import oracles, queries
+from docweave.llm import common, decontaminate, oracles, queries
 from docweave.llm.decontaminate import contamination
 from docweave.llm.mixing import mix
 from docweave.llm.simhash import fingerprint, near_duplicates, within
@@ -77,6 +77,33 @@ def test_contamination_edges(spark):
     assert contamination(d, i.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_contamination_holds_little_at_a_time(spark):
+    """A text of nothing but hits is handed on in bounded batches, and so are the texts that come to Python."""
+    import numpy as np
+    import pyarrow as pa
+
+    class Table:  # keeps the function that Spark would run on batches
+        schema = spark.createDataFrame([], "id long, text string").schema
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            return run
+
+    text = " ".join(random.Random(4).choices(["a", "b", "c", "d"], k=20_000))
+    seen = type("All", (), {"value": np.full(1 << 10, ~np.uint64(0))})
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([text, None])], names=["id", "text"])
+    got = list(decontaminate._scan(Table(), 8, 5, [3], False, seen)(iter([batch])))
+    assert sum(b.num_rows for b in got) > 20_000
+    assert max(b.num_rows for b in got) <= 5_000
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(256 << 20))
+    try:
+        contamination(spark.createDataFrame([(1, "a")], "doc_id long, text string"), spark.createDataFrame([("i", "a")], "item_id string, text string"))
+        assert int(spark.conf.get(name)) == common.BATCH_BYTES
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_mix_edges(spark):
     rows = [(i, "w " * (i % 7), None, None if i % 11 == 0 else f"s{i % 5}", 0, "x") for i in range(300)]
     rows += [(None, None, None, "s1", 0, "x"), (1, "w " * 500, None, "zero", 0, "x"), (2, None, None, "empty", 0, "x"), (3, "a\t b\x0b\r\n c", None, "s1", 0, "x")] * 2
