@@ -4,7 +4,8 @@ import hashlib
 import random
 from collections import Counter
 
-from docweave.llm import queries, suffixes
+import pyarrow as pa
+from docweave.llm import common, queries, suffixes
 from docweave.llm.bwt import repeated
 from docweave.llm.suffixes import remove_repeats
 
@@ -65,3 +66,36 @@ def test_split_anchors(spark, monkeypatch):
 def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert got(queries.op7_repeats(spark, sf_dir)) == brute(rows, 400)
+
+
+def test_holds_little_at_a_time(spark, monkeypatch):
+    """Runs of a text are handed on in bounded batches, and so are the texts that come to Python."""
+
+    class Table:  # keeps the function that Spark would run on batches
+        def join(self, *_):
+            return self
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            return run
+
+    monkeypatch.setattr(suffixes, "_texts", lambda *_: Table())
+    cut = suffixes._texts_of(spark.createDataFrame([], "key binary, lo int, n int, x int, h long, c long, d long"), None, 400)
+    runs = [{"lo": i, "n": 200, "x": 0, "h": i, "c": 0, "d": 0} for i in range(0, 20_000, 2)]
+    kind = pa.list_(pa.struct([(c, pa.int64() if c in "hcd" else pa.int32()) for c in ("lo", "n", "x", "h", "c", "d")]))
+    text = "".join(random.Random(5).choices("abcdef", k=21_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([b"k", b"l"]), pa.array([text, "short"]), pa.array([runs, []], kind)], names=["key", "text", "runs"])
+    out = list(cut(iter([batch])))
+    assert [(r["h"], r["bytes"].decode()) for b in out for r in b.to_pylist()] == [(i, text[i : i + 599]) for i in range(0, 20_000, 2)]
+    assert max(b.nbytes for b in out) < 1.2 * common.CHUNK_BYTES
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(256 << 20))
+    monkeypatch.undo()
+    try:
+        remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), least=40, k=8)
+        assert int(spark.conf.get(name)) == common.BATCH_BYTES
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
