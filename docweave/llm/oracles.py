@@ -82,5 +82,52 @@ FROM vectors v JOIN least l ON l.a = v.r LEFT JOIN counts c ON c.a = v.r
 """
 
 
+#: Documents that hold each long key; what isn't in the largest of enough of them goes.
+OP12 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT r, doc_id, i, lines[i] AS line,
+         translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM docs, unnest(range(1, len(lines) + 1)) t(i)),
+often AS (
+  SELECT key, max(doc_id) AS owner FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), 'null')) >= 5),
+marked AS (
+  SELECT l.*, o.key IS NOT NULL AND l.doc_id IS DISTINCT FROM o.owner AS gone FROM lines l LEFT JOIN often o ON l.key = o.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
+_ROUND = """
+d{n} AS (
+  SELECT v.r, c.c, sum((v.x - c.x) * (v.x - c.x)) AS far FROM parts v JOIN c{n} c USING (dim) GROUP BY v.r, c.c),
+a{n} AS MATERIALIZED (SELECT r, min_by(c, (far, c)) AS c, min(far) AS far FROM d{n} GROUP BY r)"""
+_MOVE = """
+m{n} AS (
+  SELECT a.c, v.dim, sum(v.x) AS s, count(*) AS n FROM a{n} a JOIN parts v USING (r) GROUP BY a.c, v.dim),
+c{next} AS MATERIALIZED (
+  SELECT c.c, c.dim, CAST(CASE WHEN m.n IS NULL THEN c.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS HUGEINT) AS x
+  FROM c{n} c LEFT JOIN m{n} m ON m.c = c.c AND m.dim = c.dim)"""
+
+#: Every distance, round by round.
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, dim, CAST(floor(64 * CAST(embedding[dim] AS DOUBLE)) AS HUGEINT) AS x FROM kept, unnest(range(1, 65)) t(dim)),
+first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST) - 1 AS c FROM kept),
+c0 AS MATERIALIZED (SELECT f.c, v.dim, v.x FROM first f JOIN parts v USING (r) WHERE f.c < 16),
+{",".join(_ROUND.format(n=n) + "," + _MOVE.format(n=n, next=n + 1) for n in range(3))},{_ROUND.format(n=3)},
+about AS (SELECT c, sum(far) AS s FROM a3 GROUP BY c),
+named AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY dim)) AS digest FROM c3 GROUP BY c)
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.far AS BIGINT) AS distance, CAST(o.s AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(s) FROM about) AS BIGINT) AS inertia, n.digest AS centroid_sha256
+FROM a3 a JOIN kept k USING (r) JOIN about o ON o.c = a.c JOIN named n ON n.c = a.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op3_embeddings": OP3, "op4_decontamination": OP4}
+    return {"op1_mixing": OP1, "op3_embeddings": OP3, "op4_decontamination": OP4, "op12_lines": OP12, "op13_centroids": OP13}

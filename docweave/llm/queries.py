@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, secrets, toxicity
+from .centroids import cluster
 from .common import read
 from .decontaminate import contamination
+from .lines import line_digests
 from .mixing import mix
 from .pivots import near_vectors
 from .simhash import hexed, near_duplicates
 from .suffixes import remove_repeats
 from .tokens import histogram_of
 from .urls import judge
+from .whitening import whiten
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +76,17 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(read(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
