@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, materialise
+from .common import materialise
 
 #: What is stripped from both ends of a line (fixed values).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -96,7 +96,7 @@ def _marked(docs: DataFrame, least_chars: int, least_docs: int) -> DataFrame:
     """``docs`` (doc_id, text, more) with t, n_lines, n_dropped and keep."""
     rows = docs.withColumn("t", F.xxhash64("text"))
     found = materialise(long_lines(rows.select("doc_id", "t", "text"), least_chars))
-    gone = bounded(materialise(bitmaps(repeats(found, least_docs)))).withColumnsRenamed({"doc_id": "_id", "t": "_t"})
+    gone = materialise(bitmaps(repeats(found, least_docs))).withColumnsRenamed({"doc_id": "_id", "t": "_t"})
     out = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t")), "left").drop("_id", "_t")
     return out.withColumns({"n_lines": F.size(lines_of(F.col("text"))).cast("long"), "n_dropped": F.coalesce("n_dropped", F.lit(0)).cast("long")})
 
