@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +20,9 @@ BROADCAST_BYTES = 8 << 20
 #: Bits of a map of hashes that is sent to all tasks: 16 MB at most.
 MAP_BITS = 1 << 27
 #: Bytes of a batch of rows on its way to Python, about, unless the session asks for less.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 #: Bytes of text that one vectorised step holds at a time.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -46,15 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or "/tmp/checkpoints/docweave").rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, *sent: Broadcast) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives the plans above it the
     real size of the table.  Files go when the driver ends, or with ``forget``.
+    What was ``sent`` for ``df`` alone goes from all executors.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for x in sent:
+        x.destroy()
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 

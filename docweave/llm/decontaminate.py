@@ -104,7 +104,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 8, k: int = 5
     bench = materialise(_scan(items.select(F.col("item_id").alias("id"), F.col("text").cast("string").alias("text")), window, k, [], True, None).where("m > 0"))
     seen = spark.sparkContext.broadcast(hash_map(bench.select(F.col("fp").bitwiseXOR(F.col("m").cast("long")).alias("mark")), "mark"))
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("r"), F.col("doc_id")).alias("id"), F.col("text").cast("string").alias("text"))
-    found = materialise(_scan(rows, window, k, sorted(short_of(bench)), False, seen))
+    found = materialise(_scan(rows, window, k, sorted(short_of(bench)), False, seen), seen)
 
     same = ["m", "fp", "gram", "before", "after"]
     kinds = materialise(bench.select(*same, F.xxhash64(*same).alias("class"), F.col("id").cast("string").alias("item_id")).distinct())

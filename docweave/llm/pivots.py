@@ -118,7 +118,7 @@ def links_of(reps: DataFrame, least: float, nearest: int, shared: int, block: in
     kind = reps.schema["label"].dataType.simpleString()
     part = reps.schema["embedding"].dataType.simpleString()
     rows = reps.select("label", "id", "n", "embedding").mapInArrow(post, f"label {kind}, id long, n long, embedding {part}, near array<int>, bits array<long>")
-    rows = materialise(rows)
+    rows = materialise(rows, points)
     sizes = rows.select("label", F.explode("near").alias("pivot")).groupBy("label", "pivot").agg(F.count("*").alias("size"))
     sizes = materialise(sizes.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).where("size > 1"))
     lists = rows.withColumn("pivot", F.explode("near")).drop("near").join(bounded(sizes.drop("size")), ["label", "pivot"])

@@ -434,7 +434,7 @@ def near_texts(rows: DataFrame, docs: DataFrame, shingle: int = 5, similarity: f
             yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(sets, pa.binary())], names=[*cols, "shingles"])
 
     kinds = "id long, component long, block int, blocks int, n long, fp long, more array<long>, shingles binary"
-    sets = materialise(found.mapInArrow(run, kinds))
+    sets = materialise(found.mapInArrow(run, kinds), known)
     links = [materialise(_inside(sets, similarity))]
     wide = sets.where("blocks > 1")
     if not wide.isEmpty():

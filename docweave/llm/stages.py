@@ -24,7 +24,7 @@ from .simhash import near_texts, sketches
 def _hashes(*of: Column) -> list[Column]:
     """Two independent hashes that name a value; nulls differ from all else."""
     marks = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null")) for c in of]
-    return [F.xxhash64(*marks).alias("_k1"), F.xxhash64(*marks, F.lit(1)).alias("_k2")]
+    return [F.xxhash64(*marks).alias("_k1"), F.xxhash64(F.lit(1), *marks).alias("_k2")]  # the seed first: a last column would hash the first hash
 
 
 def _matched(docs: DataFrame, keys: DataFrame, how: str, *of: Column) -> tuple[DataFrame, list[str]]:

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,9 +128,10 @@ def _scan(docs: DataFrame, least: int, k: int) -> DataFrame:
     return rows.mapInArrow(run, f"key binary, runs array<struct<{', '.join(f.replace(' ', ':') for f in _RUN.split(', '))}>>")
 
 
-def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, text) of rows whose key may be among ``keys`` (materialised), once a task, so that few others are shuffled."""
+def _texts(docs: DataFrame, keys: DataFrame, sent: list[Broadcast]) -> DataFrame:
+    """(key, text) of rows whose key may be among ``keys`` (materialised), once a task, so that few others are shuffled; the map of keys joins ``sent``."""
     known = docs.sparkSession.sparkContext.broadcast(hash_map(keys.select(F.xxhash64("key").alias("mark")), "mark"))
+    sent.append(known)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -155,7 +157,7 @@ _SPANS = "array<struct<i:int,j:int>>"
 _SPANS_ARROW = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32())]))
 
 
-def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+def _texts_of(runs_: DataFrame, docs: DataFrame, least: int, sent: list[Broadcast] | None = None) -> DataFrame:
     """``runs_`` (key, lo, n, more) with the bytes of each run, taken from the texts with that key.
 
     Runs of a text overlap and are several times as long as it is, so they are handed on by about CHUNK_BYTES.
@@ -163,7 +165,7 @@ def _texts_of(runs_: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     more = [c for c in runs_.columns if c not in ("key", "lo")]
     arrow = {"bigint": pa.int64(), "int": pa.int32()}
     wanted = materialise(runs_.groupBy("key").agg(F.collect_list(F.struct("lo", *more)).alias("runs")))
-    rows = _texts(docs, wanted).join(wanted, "key").select("key", "text", "runs")
+    rows = _texts(docs, wanted, [] if sent is None else sent).join(wanted, "key").select("key", "text", "runs")
     kinds = {f.name: f.dataType.simpleString() for f in runs_.schema}
     types = pa.schema([(c, arrow[kinds[c]]) for c in more] + [("bytes", pa.binary())])
 
@@ -205,7 +207,7 @@ def _shared(kinds: DataFrame, least: int) -> DataFrame:
             yield batch.filter(pa.array(in_map(known.value, batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64))))
 
     kinds = kinds.mapInArrow(some, kinds.schema)
-    rows = materialise(kinds.join(several, "h").select(*_SAME, "first.*", "left", "right"))
+    rows = materialise(kinds.join(several, "h").select(*_SAME, "first.*", "left", "right"), known)
     near = F.lit(False)
     for side in ("left", "right"):
         often = rows.where(f"{side} <> 0").groupBy("h", side).agg(F.count("*").alias("times")).where("times > 1")
@@ -330,7 +332,8 @@ def repeated_spans(docs: DataFrame, least: int = 400, k: int = K) -> tuple[DataF
     first = [F.min(F.struct("key", "lo")).alias("first"), F.min("left").alias("left"), F.min("right").alias("right")]
     kinds = materialise(marks.groupBy(*_SAME).agg(F.sum("copies").alias("m"), *first))
     wanted = materialise(_shared(kinds, least))
-    parts = materialise(_texts_of(wanted, docs, least).withColumn("off", F.lit(0)))
+    sent: list[Broadcast] = []
+    parts = materialise(_texts_of(wanted, docs, least, sent).withColumn("off", F.lit(0)), *sent)
     fits = F.col("bytes_all") <= BUCKET_BYTES
     total = wanted.agg(F.sum(F.when(fits, F.col("n") + least))).first()[0] or 0
     every = F.array(F.struct(F.lit(0).alias("i"), F.col("n").alias("j")))
@@ -360,7 +363,7 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, least: int = 400, k: int = K) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs`` (doc_id, text, more).
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeat) for every row of ``docs`` (doc_id, text, more).
 
     A byte goes if it lies in a string of ``least`` bytes of its text that also
     starts at another place, in the same text or any other; judged on the input.
@@ -368,7 +371,8 @@ def remove_repeats(docs: DataFrame, least: int = 400, k: int = K) -> DataFrame:
     their own.  An empty table gives an empty table.  ``least`` must exceed ``k``.
     """
     rows, spans = repeated_spans(docs, least, k)
-    texts = _texts(docs, spans).join(spans, "key").select("key", "text", "spans")
+    sent: list[Broadcast] = []
+    texts = _texts(docs, spans, sent).join(spans, "key").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -385,14 +389,16 @@ def remove_repeats(docs: DataFrame, least: int = 400, k: int = K) -> DataFrame:
                 digest.append(hashlib.sha256(text[keep].tobytes()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), pa.array(digest, pa.string())], names=["key", "n_removed", "n_spans", "kept_sha256"])
 
-    kept = materialise(texts.mapInArrow(cut, "key binary, n_removed long, n_spans long, kept_sha256 string"))
+    kept = materialise(texts.mapInArrow(cut, "key binary, n_removed long, n_spans long, kept_sha256 string"), *sent)
     # only texts without copies have spans, so no key is hot here
     out = rows.where("copies = 1").join(kept, "key", "left").unionByName(rows.where("copies > 1"), allowMissingColumns=True)
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= least)
+    removed = F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long")
     return out.select(
         "doc_id",
         "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        removed.alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, F.lit(_NONE)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("key")))).alias("kept_sha256"),
+        (removed > 0).alias("has_repeat"),
     )

@@ -447,9 +447,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, key:
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
-    """``docs`` without ``text`` and with score (0 to 1) of the whole text: that of its best window.
+    """``docs`` without ``text`` and with score (0 to 1) of the whole text, from its best window and the share of its words that are hits.
 
-    Null and empty texts score as a window of nothing does.
+    Null and empty texts score as a window of nothing does.  Rows are scored one by one, repeated ones too, and other
+    columns stay but for one named ``score``, which is replaced; an empty table gives an empty table.
     """
     keep = [c for c in docs.columns if c not in (text, "score")]
 

@@ -6,7 +6,6 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 from docweave.llm import simhash, stages, toxicity
-from docweave.llm.simhash import fingerprints, similar_bits
 from test_mix_decon_simhash import brute_contamination
 from test_secrets import brute as brute_secrets
 
@@ -17,23 +16,10 @@ def load(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def brute_groups(texts, similarity=0.8, width=4):
-    f = [fingerprints((t or "").encode(), 5, width) for t in texts]
-    radius, total = round(1.75 * similar_bits(similarity, 64)), round(similar_bits(similarity, 64 * width) + 5)
-    group = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            d = np.bitwise_count(f[i] ^ f[j])
-            if d[0] <= radius and d.sum() <= total and group[i] != group[j]:
-                a, b = group[i], group[j]
-                group = [min(a, b) if g in (a, b) else g for g in group]
-    return group
-
-
 def test_one_of_each(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     rows = docs.collect()
-    groups = brute_groups([r.text for r in rows])
+    groups = jaccard_groups([r.text for r in rows])
     want = {}
     for r, g in zip(rows, groups, strict=True):
         want[g] = min(want.get(g, r.doc_id), r.doc_id)

@@ -99,3 +99,20 @@ def test_holds_little_at_a_time(spark, monkeypatch):
         assert int(spark.conf.get(name)) == common.BATCH_BYTES
     finally:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_passages_of_400_bytes_are_all_found(spark):
+    """Of planted passages of 51 to 80 words, those of 400 bytes and more lose every copy; shorter ones aren't repeats of 400 bytes."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 12)))
+    fill = lambda: " ".join(word() for _ in range(rng.randint(20, 120)))
+    passages = [" ".join(word() for _ in range(rng.randint(51, 80))) for _ in range(60)]
+    rows = [(3 * p + c, f"{fill()} {passage} {fill()}") for p, passage in enumerate(passages) for c in range(3)]
+    rows += [(1_000 + i, fill()) for i in range(60)]
+    found = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), least=400).collect()}
+    for p, passage in enumerate(passages):
+        for c in range(3):
+            r = found[3 * p + c]
+            assert r.has_repeat == (r.n_removed > 0) == (len(passage) >= 398) or abs(len(passage) - 399) < 3
+            assert r.n_removed >= len(passage) or not r.has_repeat
+    assert sum(len(p) >= 400 for p in passages) > 20 and not any(found[1_000 + i].has_repeat for i in range(60))
