@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
@@ -16,26 +16,49 @@ from .mapping import load_mappings, load_resource_paths
 from .model import GraphModel
 from .plans.compiler import auth_plugin, compile_all
 from .sinks import IndexStore, RestClient, SearchStore, array_config
-from .sources.graph import DumpSource, GraphSource, JdbcSource, ParquetSource
+from .sources.graph import BAD, DumpSource, GraphSource, JdbcSource, ParquetSource
 from .streaming.gating import must_build, transaction_time, watch
 
 
-def source_of(spark: SparkSession, spec: str, model: GraphModel) -> GraphSource:
+def pairs_of(given: Sequence[str]) -> dict[str, str]:
+    """``name=value`` by name; ``name=@file`` takes the value from a file, so that passwords needn't be on the command line."""
+    out = {}
+    for text in given:
+        name, found, value = text.partition("=")
+        if not found:
+            raise ValueError(f"{text} isn't name=value")
+        if value.startswith("@"):
+            with open(value[1:], encoding="utf-8") as f:
+                value = f.read().strip()
+        out[name] = value
+    return out
+
+
+def source_of(
+    spark: SparkSession, spec: str, model: GraphModel, properties: Mapping[str, str] | None = None, partitions: int = 1, rows_per_part: int = 1_000_000, bad: str = "fail"
+) -> GraphSource:
     """``dump:path``, ``parquet:path`` or a JDBC address."""
     kind, _, path = spec.partition(":")
     if kind == "jdbc":
-        return JdbcSource(spark, spec, model)
-    return {"dump": DumpSource, "parquet": ParquetSource}[kind](spark, path, model)
+        return JdbcSource(spark, spec, model, properties, partitions, rows_per_part=rows_per_part, bad=bad)
+    return {"dump": DumpSource, "parquet": ParquetSource}[kind](spark, path, model, bad)
+
 
+def store_of(spark: SparkSession, out: str, fmt: str, options: Mapping[str, str] | None = None) -> IndexStore | SearchStore:
+    """A folder, or a search engine by its address (``http://host:port``) with the connector ``fmt``.
 
-def store_of(spark: SparkSession, out: str, fmt: str) -> IndexStore | SearchStore:
-    """A folder, or a search engine by its address (``http://host:port``) with the connector ``fmt``."""
+    Of ``options``, user, password and ca are the engine's login and certificates, for the connector too; all others go to the writer.
+    """
+    more = dict(options or {})
     if not out.startswith(("http://", "https://")):
-        return IndexStore(spark, out, fmt)
-    _, _, host = out.partition("://")
+        return IndexStore(spark, out, fmt, more)
+    scheme, _, host = out.partition("://")
     name, _, port = host.rstrip("/").partition(":")
-    options = {"es.nodes": name, "es.port": port or "9200", "es.nodes.wan.only": "true"}
-    return SearchStore(RestClient(out), *([fmt] if fmt != "parquet" else []), options=options)
+    user, password, ca = (more.pop(k, None) for k in ("user", "password", "ca"))
+    login = {"es.net.http.auth.user": user, "es.net.http.auth.pass": password or ""} if user else {}
+    tls = {"es.net.ssl": "true"} if scheme == "https" else {}
+    found = {"es.nodes": name, "es.port": port or "9200", "es.nodes.wan.only": "true"} | login | tls | more
+    return SearchStore(RestClient(out, user, password, ca), *([fmt] if fmt != "parquet" else []), options=found)
 
 
 def main(argv: Sequence[str] | None = None) -> int:
@@ -54,6 +77,12 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--watch", help="checkpoint folder: build for each new transaction that is in --transactions, instead of once")
     p.add_argument("--every", help="with --watch: go on for ever, looking again after this time")
     p.add_argument("--force", action="store_true")
+    p.add_argument("--partitions", type=int, default=1, help="parts that a table of a database is read in, at most")
+    p.add_argument("--rows-per-part", type=int, default=1_000_000)
+    p.add_argument("--property", action="append", default=[], metavar="NAME=VALUE", help="login and options of the database; VALUE may be @file")
+    p.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="options of the writer; user, password and ca of a search engine")
+    p.add_argument("--bad", choices=BAD, default="fail", help="records that can't be read end the build, or are left out")
+    p.add_argument("--quarantine", help="folder for the bad records of a dump")
     p.add_argument("--bypass-multiplicity", action="store_true")
     args = p.parse_args(argv)
     if args.watch and not args.transactions:
@@ -62,24 +91,30 @@ def main(argv: Sequence[str] | None = None) -> int:
     with open(args.dictionary, encoding="utf-8") as f:
         model = GraphModel.from_dictionary(json.load(f))
     docs = load_mappings(args.mapping)
-    source = source_of(spark, args.source, model)
+    source = source_of(spark, args.source, model, pairs_of(args.property), args.partitions, args.rows_per_part, args.bad)
+    if args.quarantine and isinstance(source, DumpSource):
+        for table, n in sorted(source.quarantine(args.quarantine).items()):
+            print(f"{table}: {n} bad records")
     if args.import_to and args.step in ("import", "all"):
-        source.export(args.import_to)
-        source = ParquetSource(spark, args.import_to, model)
+        for table, n in source.export(args.import_to).items():
+            print(f"{table}: {n} rows")
+        source = ParquetSource(spark, args.import_to, model, args.bad)
     if args.step == "import":
         return 0
-    store = store_of(spark, args.out, args.format)
+    store = store_of(spark, args.out, args.format, pairs_of(args.option))
     overrides = load_resource_paths(args.resources)
 
     def build(*_: object) -> None:
         now, kept, arrays = datetime.now(UTC), [], None
         found = compile_all(source, docs, (auth_plugin(overrides),), args.bypass_multiplicity, kept)
+        names = {}
         for d, (doc_type, df) in zip(docs, found.items(), strict=True):
-            store.write(df, d.name, doc_type, now)
+            names[d.name] = store.stage(df, d.name, doc_type, now, unique=not args.bypass_multiplicity)
             row = array_config(df, d.name, now)
             arrays = row if arrays is None else arrays.unionByName(row)
         if args.config and arrays is not None:
-            store.write(arrays, args.config, "array_config", now)
+            names[args.config] = store.stage(arrays, args.config, "array_config", now)
+        store.commit(names)  # readers see the whole build or none of it
         for name in [d.name for d in docs] + ([args.config] if args.config else []):
             store.clean(name, args.keep)
         for df in kept:

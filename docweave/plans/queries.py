@@ -353,6 +353,35 @@ def array_fields_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(name,) for name in sorted(array_fields(df.schema))], "field string")
 
 
+def array_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What documents hold in the fields that are configured as arrays: documents with a value, and values."""
+    nested = MAPPED["nested_two_level"][0]["nested_props"]
+    df = compile_document(RelationalSource(spark, sf_dir), parse_mapping(_doc("subject", "c_custkey", aggregated_props=[_agg("return_flags", _ALIQUOTS, "set", "l_returnflag")], nested_props=nested)))
+    sizes = []
+    for name in array_fields(df.schema):
+        values = F.flatten(F.filter(name, lambda x: x.isNotNull())) if "." in name else F.col(name)  # a child without children has none
+        sizes.append(F.struct(F.lit(name).alias("field"), F.coalesce(F.size(values), F.lit(0)).alias("n")))
+    rows = df.select(F.inline(F.array(*sizes)))
+    return rows.groupBy("field").agg(F.count_if(F.col("n") > 0).alias("n_documents"), F.sum(F.greatest("n", F.lit(0))).alias("n_values"))
+
+
+def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a text dump in which some lines are cut off, some hold no JSON and some a text where a number belongs: all are told apart."""
+    path = scratch(spark)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    kind = F.col("o_orderkey") % 7
+    price = F.when(kind == 5, F.lit('"high"')).otherwise(F.col("o_totalprice").cast("string"))
+    props = F.concat(F.lit('{"o_orderkey": '), "o_orderkey", F.lit(', "o_totalprice": '), price, F.when(kind == 3, F.lit(", broken")).otherwise(F.lit("}")))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    key = F.col("o_orderkey").cast("string")
+    whole = F.concat_ws(",", F.lit('"2020","{}","{}"'), quoted(props), quoted(key))
+    orders.select(F.when(kind == 6, F.concat_ws(",", quoted(key), F.lit('"{}"'))).otherwise(whole)).write.text(f"{path}/node_sample")
+    source = DumpSource(spark, path, model(), bad="split")
+    good = source.node("sample", ["o_orderkey", "o_totalprice"]).select(F.col("o_orderkey"), F.lit("good").alias("reason"), F.round("o_totalprice", 2).alias("price"))
+    known = F.coalesce("id", F.regexp_extract("record", r"^\D*(\d+)", 1)).cast("long")
+    return good.unionByName(source.bad_records().select(known.alias("o_orderkey"), "reason", F.lit(None).cast("double").alias("price")))
+
+
 def raw_dump_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations written as a text dump of a node and an edge table, and read back through the dump's source."""
     path = scratch(spark)
@@ -414,6 +443,19 @@ OTHER: dict[str, tuple[Query, str | None]] = {
     ),
     "latest_transaction": (latest_transaction, "SELECT max(o_orderdate) AS latest FROM orders WHERE o_orderstatus = 'F'"),
     "array_fields": (array_fields_query, "SELECT unnest(['return_flags', 'samples', 'samples.lines']) AS field"),
+    "array_values": (
+        array_values,
+        "WITH t AS (SELECT o_custkey, o_orderkey, count(l_orderkey) AS lines, list(DISTINCT l_returnflag) FILTER (l_returnflag IS NOT NULL) AS flags "
+        "FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey, o_orderkey), "
+        "c AS (SELECT o_custkey, count(*) AS s, sum(lines) AS l, len(list_distinct(flatten(list(flags)))) AS f FROM t JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey) "
+        "SELECT x.field, count(*) FILTER (x.n > 0) AS n_documents, CAST(coalesce(sum(x.n), 0) AS BIGINT) AS n_values FROM (SELECT unnest(["
+        "{'field': 'samples', 'n': s}, {'field': 'samples.lines', 'n': l}, {'field': 'return_flags', 'n': coalesce(f, 0)}]) AS x FROM c) GROUP BY x.field",
+    ),
+    "bad_records": (
+        bad_records,
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (3, 5) THEN 'properties' WHEN o_orderkey % 7 = 6 THEN 'columns' ELSE 'good' END AS reason, "
+        "CASE WHEN o_orderkey % 7 NOT IN (3, 5, 6) THEN round(o_totalprice, 2) END AS price FROM orders",
+    ),
     "raw_dump_roundtrip": (raw_dump_roundtrip, "SELECT n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS region FROM nation"),
 }
 

@@ -13,7 +13,9 @@ from docweave.model import GraphModel, Link, ModelError, Node, Property
 from docweave.operators.index_join import join_index, order
 from docweave.operators.sliding import sliding_window
 from docweave.plans.compiler import auth_plugin, compile_all, compile_document, trace
-from docweave.sinks import IndexStore, RestClient, SearchStore, array_config, as_json
+from docweave.cli import store_of
+from docweave.sinks import IncompleteIndex, IndexStore, RestClient, SearchStore, array_config, as_json
+from docweave.sources import database as DB
 from docweave.sources.graph import DumpSource, FrameSource, JdbcSource, ParquetSource, edges_with_data
 from docweave.streaming.gating import must_build, read_stamp, stamp, transaction_time, watch
 from pyspark.sql import functions as F
@@ -351,8 +353,11 @@ class Engine(http.server.BaseHTTPRequestHandler):
     """A search engine's indices and aliases, as far as a store needs them."""
 
     indices: dict = {}
+    waits = 0
+    logins: set = set()
 
     def do(self):
+        type(self).logins.add(self.headers.get("Authorization"))
         path = self.path.strip("/").partition("?")[0]
         body = json.loads(self.rfile.read(int(self.headers.get("Content-Length") or 0)) or "null")
         kinds, code, out = type(self).indices, 200, {}
@@ -361,18 +366,28 @@ class Engine(http.server.BaseHTTPRequestHandler):
             for (what, how), in (a.items() for a in body["actions"]):
                 getattr(kinds[how["index"]]["aliases"], "add" if what == "add" else "discard")(how["alias"])
         elif path == "_reindex":
-            kinds[body["dest"]["index"]]["copied"] = body["source"]["index"]
+            kinds[body["dest"]["index"]] |= {"copied": body["source"]["index"], "docs": dict(kinds[body["source"]["index"]]["docs"])}
+            type(self).waits, out = 2, {"task": "n:1"}
+        elif name == "_tasks":
+            out = {"completed": type(self).waits == 0}
+            type(self).waits -= 1
         elif name == "_alias":
             out = {n: {} for n, k in kinds.items() if rest in k["aliases"]}
             code = 200 if out else 404
         elif path.endswith("*"):
             out = {n: {} for n in kinds if n.startswith(path[:-1])}
+        elif self.command == "PUT" and name in kinds:
+            code = 400
         elif self.command == "PUT":
-            kinds[name] = {"aliases": set(), **body}
+            kinds[name] = {"aliases": set(), "docs": {}, **body}
         elif name not in kinds:
             code = 404
         elif self.command == "DELETE":
             del kinds[name]
+        elif rest == "_count":
+            out = {"count": len(kinds[name]["docs"])}
+        elif rest == "_settings":
+            out = {name: {"settings": {"index": {"creation_date": str(kinds[name].get("created", 0))}}}}
         elif rest == "_alias":
             out = {name: {"aliases": {a: {} for a in kinds[name]["aliases"]}}}
         else:
@@ -389,28 +404,100 @@ class Engine(http.server.BaseHTTPRequestHandler):
         pass
 
 
-def test_search_store(spark, tmp_path):
+@pytest.fixture
+def engine():
+    Engine.indices, Engine.waits, Engine.logins = {}, 0, set()
     server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Engine)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    try:
-        store = SearchStore(RestClient(f"http://127.0.0.1:{server.server_port}"), write=lambda df, resource: df.write.parquet(f"{tmp_path}/{resource}"))
-        df = spark.createDataFrame([("c1", [1], "x")], "_case_id string, ids array<int>, s string")
-        when = datetime(2024, 1, 2, 3, 4, 5, tzinfo=UTC)
-        assert store.stamps(["case"]) == [None] and store.current("case") is None and store.versions("case") == []
-        assert store.write(df, "case", "case", when) == "case_0" and store.write(df, "case", "case", when) == "case_1"
-        assert store.current("case") == "case_1" and store.versions("case") == [0, 1] and store.stamps(["case", "none"]) == ["20240102T030405Z", None]
-        assert Engine.indices["case_1"]["mappings"]["properties"]["ids"] == {"type": "long"} and Engine.indices["case_0"]["aliases"] == {"time_20240102T030405Z"}
-        assert spark.read.parquet(f"{tmp_path}/case_1/case").count() == 1
-        assert store.backup("case") == "backup_0_case_1" and store.backup("case") == "backup_1_case_1" and store.backup("none") is None
-        assert Engine.indices["backup_0_case_1"]["copied"] == "case_1"
-        store.point("case", "case_0")
-        assert store.current("case") == "case_0" and store.clean("case", keep=0) == []
-        store.point("case", "case_1")
-        assert store.clean("case", keep=0) == ["case_0"] and store.versions("case") == [1]
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def connector(df, resource, again=0, lost=0):
+    """What a connector does: documents by their ids; a task that fails has sent its first ones already."""
+    docs = Engine.indices[resource.partition("/")[0]]["docs"]
+    rows = [r.asDict() for r in df.collect()]
+    for r in rows[:again] + rows[: len(rows) - lost]:
+        docs[r["_document_id"]] = {k: v for k, v in r.items() if k != "_document_id"}
+
+
+def test_documents_are_there_once(spark, engine):
+    df = spark.createDataFrame([(f"c{k}", f"p{k % 2}", k) for k in range(10)] + [("c1", "p0", 1)], "_case_id string, project_id string, n int")
+    store = SearchStore(RestClient(engine), write=lambda df, resource: connector(df, resource, again=7))
+    assert store.write(df, "case", "case") == "case_0" and store.current("case") == "case_0"
+    assert len(Engine.indices["case_0"]["docs"]) == 11 and {"c1/p1", "c1/p0"} <= set(Engine.indices["case_0"]["docs"])
+    store.save = lambda df, resource: connector(df, resource, lost=1)
+    with pytest.raises(IncompleteIndex, match="10 documents of 11"):
+        store.write(df, "case", "case")
+    assert store.current("case") == "case_0" and store.versions("case") == [0, 1] and store.clean("case") == ["case_1"]
+    several = spark.createDataFrame([("c1", 5), ("c1", 5), ("c1", 6), (None, 7)], "_case_id string, n int")
+    store.save = connector
+    store.commit({"many": store.stage(several, "many", "case", unique=False)})
+    assert sorted(Engine.indices["many_0"]["docs"]) [-3:] == ["c1/1", "c1/2", "c1/3"] and len(Engine.indices["many_0"]["docs"]) == 4
+    plain = spark.createDataFrame([("x", [1])], "index string, array array<int>")
+    assert store.write(plain, "arrays", "array_config") == "arrays_0" and store.write(plain.limit(0), "arrays", "array_config") == "arrays_1"
+
+
+def test_whole_builds_or_none(spark, engine, tmp_path):
+    """Three indices of a run: the second one's failure leaves readers all three old ones."""
+    df = spark.createDataFrame([("c1", 1)], "_case_id string, n int")
+    broken = df.withColumn("n", F.raise_error("lost").cast("int"))
+    for store in (IndexStore(spark, str(tmp_path / "ix")), SearchStore(RestClient(engine), write=connector)):
+        names = ["a", "b", "c"]
+        store.commit({n: store.stage(df, n, "case") for n in names})
+        with pytest.raises(Exception, match="lost"):
+            store.commit({n: store.stage(broken if n == "b" else df, n, "case") for n in names})
+        assert [store.current(n) for n in names] == ["a_0", "b_0", "c_0"]
+        assert store.clean("a") == [] if isinstance(store, IndexStore) else True  # begun just now
+        assert store.clean("a", stale=timedelta(0)) == ["a_1"] and store.clean("b", stale=timedelta(0)) == ["b_1"] and store.clean("c") == []
+        store.commit({n: store.stage(df.withColumn("n", F.lit(2)), n, "case") for n in names})
+        assert len({store.current(n).partition("_")[2] for n in names}) == 1 or [store.current(n) for n in names] == ["a_1", "b_1", "c_1"]
         with pytest.raises(FileNotFoundError):
-            store.point("case", "case_9")
-    finally:
-        server.shutdown()
+            store.commit({"a": "a_0", "b": "b_77"})
+        assert store.current("a") == "a_1"
+        store.point("a", "a_0")
+        assert store.current("a") == "a_0" and store.clean("a", stale=timedelta(0)) == [] and 1 in store.versions("a")
+    files = IndexStore(spark, str(tmp_path / "ix"))
+    files.files.delete("_current.3")
+    files.files.write("b_1", "old", "CURRENT.4")  # a store in which each index had its own pointer
+    assert files.current("old") == "b_1" and len([n for n in files.files.names() if n.startswith("_current")]) <= 2
+
+
+def test_login_and_backup_task(spark, engine):
+    client = RestClient(engine, "me", "secret", every=0.01)
+    store = SearchStore(client, write=connector)
+    store.write(spark.createDataFrame([("c1", 1), ("c2", 2)], "_case_id string, n int"), "case", "case")
+    assert store.backup("case") == "backup_0_case_0" and Engine.waits == -1 and len(Engine.indices["backup_0_case_0"]["docs"]) == 2
+    assert Engine.logins == {"Basic bWU6c2VjcmV0"}
+    found = store_of(spark, "https://search:9243", "parquet", {"user": "me", "password": "secret", "es.batch.size.bytes": "4mb"})
+    assert found.options == {
+        "es.nodes": "search", "es.port": "9243", "es.nodes.wan.only": "true", "es.net.ssl": "true",
+        "es.net.http.auth.user": "me", "es.net.http.auth.pass": "secret", "es.batch.size.bytes": "4mb",
+    }
+    assert found.client.tls is not None and found.client.headers["Authorization"].startswith("Basic ")
+
+
+def test_search_store(spark, engine, tmp_path):
+    def save(df, resource):
+        df.write.parquet(f"{tmp_path}/{resource}")
+        connector(spark.read.parquet(f"{tmp_path}/{resource}"), resource)
+
+    store = SearchStore(RestClient(engine, every=0.01), write=save)
+    df = spark.createDataFrame([("c1", [1], "x")], "_case_id string, ids array<int>, s string")
+    when = datetime(2024, 1, 2, 3, 4, 5, tzinfo=UTC)
+    assert store.stamps(["case"]) == [None] and store.current("case") is None and store.versions("case") == []
+    assert store.write(df, "case", "case", when) == "case_0" and store.write(df, "case", "case", when) == "case_1"
+    assert store.current("case") == "case_1" and store.versions("case") == [0, 1] and store.stamps(["case", "none"]) == ["20240102T030405Z", None]
+    assert Engine.indices["case_1"]["mappings"]["properties"]["ids"] == {"type": "long"} and Engine.indices["case_0"]["aliases"] == {"time_20240102T030405Z"}
+    assert spark.read.parquet(f"{tmp_path}/case_1/case").count() == 1
+    assert store.backup("case") == "backup_0_case_1" and store.backup("case") == "backup_1_case_1" and store.backup("none") is None
+    assert Engine.indices["backup_0_case_1"]["copied"] == "case_1"
+    store.point("case", "case_0")
+    assert store.current("case") == "case_0" and store.clean("case", keep=0) == []
+    store.point("case", "case_1")
+    assert store.clean("case", keep=0) == ["case_0"] and store.versions("case") == [1]
+    with pytest.raises(FileNotFoundError):
+        store.point("case", "case_9")
 
 
 def test_database(spark, tmp_path):
@@ -438,6 +525,95 @@ def test_database(spark, tmp_path):
     connection.close()
 
 
+def test_parts_at_one_moment(spark, tmp_path, monkeypatch):
+    """Parts of a table are even, also of ids of one length and of an id with many pairs; what is added meanwhile isn't seen."""
+    url = "jdbc:derby:memory:moment;create=true"
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url)
+    run = connection.createStatement().execute
+    run("call syscs_util.syscs_set_database_property('derby.locks.waitTimeout', '1')")
+    run('create table node_case ("node_id" varchar(20), "_props" varchar(200))')
+    run('create table edge_caseproject ("src_id" varchar(20), "dst_id" varchar(20))')
+    rows = ", ".join(f"""('c{k:03d}', '{{"sex": "F"}}')""" for k in range(200))
+    run(f"insert into node_case values {rows}, (null, '{{}}')")
+    run("insert into edge_caseproject values " + ", ".join(f"('c000', 'p''{k:03d}')" for k in range(150)) + ", ('c001', 'p'), ('c001', null)")
+    model = GraphModel([Node("case", "clinical", {"sex": Property(("string",))}, (Link("projects", "project", "cases", "edge_caseproject", "many_to_one"),)), Node("project", "administrative", {}, ())])
+    source = JdbcSource(spark, url, model, partitions=4, rows_per_part=40)
+    for table in ("node_case", "edge_caseproject"):
+        sizes = source._read(table).groupBy(F.spark_partition_id()).count().collect()
+        sizes = [r["count"] for r in sizes]
+        assert len(sizes) == 4 and max(sizes) <= 2 * min(sizes) and sum(sizes) == {"node_case": 201, "edge_caseproject": 152}[table]
+    blocked = []
+    copy = JdbcSource._copy
+
+    def copy_and_add(self, table, path, seen):
+        n = copy(self, table, path, seen)
+        for t in ("node_case", "edge_caseproject"):
+            try:
+                run(f"insert into {t} values ('new', 'new')")
+            except Exception as e:  # noqa: BLE001  writers wait, here for a second
+                blocked.append(str(e))
+        return n
+
+    monkeypatch.setattr(JdbcSource, "_copy", copy_and_add)
+    assert source.export(str(tmp_path / "copy"), at_once=1) == {"edge_caseproject": 152, "node_case": 201}
+    assert len(blocked) == 4 and all("lock" in b for b in blocked)
+    assert spark.read.parquet(str(tmp_path / "copy" / "node_case")).where("node_id = 'new'").count() == 0
+    run("insert into node_case values ('new', 'new')")  # and after it all goes on
+    connection.close()
+
+
+def test_statements_of_databases():
+    """Statements for databases that aren't here."""
+    pg = DB.DIALECTS["postgresql"]
+    asked = []
+    read = lambda s: asked.append(s) or [(10_000_000, 900)]
+    found = DB.plan(read, pg, "node_case", '"node_id"', 4, 1_000_000)
+    assert found[0] == "ctid >= '(0,0)'::tid and ctid < '(225,0)'::tid" and found[-1].endswith("ctid < '(4294967295,0)'::tid") and len(found) == 4 and len(asked) == 1
+    assert DB.plan(read, pg, "node_case", '"node_id"', 1, 1) == ["1 = 1"] and DB.plan(lambda s: [(5, 1)], pg, "t", "k", 8, 10) == ["1 = 1"]
+    my = DB.DIALECTS["mysql"]
+    found = DB.plan(lambda s: [(100, 0)] if "table_rows" in s else [("a",), ("b'c",), ("b'c",)], my, "t", "`k`", 4, 10)
+    assert found == ["`k` <= 'a' or `k` is null", "`k` > 'a' and `k` <= 'b''c'", "`k` > 'b''c'"]
+    assert "snapshot '{name}'" in pg.take and my.lock.format(tables=" read, ".join(["a", "b"])) == "lock tables a read, b read"
+
+
+def test_bad_records(spark, model, tmp_path):
+    good = '"2020","{}","{}","{""sex"": ""F"", ""age"": 3}","c1"\n'
+    bad = ['"2020","{}","{}","{""sex"": BROKEN","c2"\n', '"2020","{}","{}","{""sex"": ""M"", ""age"": ""x""}","c3"\n', '"2020","{}","{}"\n', '"2020","{}","{}","{}",\n']
+    for table, lines in (("node_case", [good, *bad]), ("edge_studyofcase", ['"2020","{}","{}","{}","s1","c1"\n', '"2020","{}","{}","{}","s1"\n'])):
+        (tmp_path / "g" / table).mkdir(parents=True)
+        (tmp_path / "g" / table / "part-m-00000").write_text("".join(lines))
+    source = DumpSource(spark, str(tmp_path / "g"), model)
+    with pytest.raises(Exception, match="bad record in node_case"):
+        source.node("case", ["sex", "age"]).collect()
+    with pytest.raises(Exception, match="bad record in edge_studyofcase"):
+        source.edge("study", model.resolve("study", "cases").link).collect()
+    source = DumpSource(spark, str(tmp_path / "g"), model, bad="split")
+    assert [tuple(r) for r in source.node("case", ["sex", "age"]).where("_case_id is not null").collect()] == [("c1", "F", 3.0)]
+    assert [tuple(r) for r in source.node("case", ["sex"]).where("_case_id = 'c3'").collect()] == [("c3", "M")]  # the number isn't asked for
+    assert source.edge("study", model.resolve("study", "cases").link).count() == 1
+    assert source.quarantine(str(tmp_path / "q")) == {"node_case": 4, "edge_studyofcase": 1}
+    told = spark.read.parquet(str(tmp_path / "q"))
+    assert sorted((r.table_name, r.id or "", r.reason) for r in told.collect()) == [
+        ("edge_studyofcase", "s1", "columns"), ("node_case", "", "columns"), ("node_case", "", "id"), ("node_case", "c2", "properties"), ("node_case", "c3", "properties"),
+    ]
+    assert "BROKEN" in told.where("id = 'c2'").first()["record"]
+    with pytest.raises(ValueError, match="fail or split"):
+        DumpSource(spark, str(tmp_path / "g"), model, bad="no").node("case", ["sex"])
+
+
+def test_links_with_data_in_one_query(spark, model, tmp_path):
+    for table in ("edge_studyofcase", "edge_scanofcase"):
+        (tmp_path / table).mkdir()
+        (tmp_path / table / "part-m-00000").write_text('"2020","{}","{}","{}","s1","c1"\n' * (table == "edge_studyofcase") + '"2020","{}","{}","{}",,"c1"\n' * 3)
+    source = DumpSource(spark, str(tmp_path), model)
+    spark.sparkContext.setJobGroup("links", "")
+    assert edges_with_data(source) == ["edge_studyofcase"]
+    spark.sparkContext.setJobGroup("", "")
+    edges = sum(len(n.links) for n in model.nodes.values())
+    # one query, whose stages run side by side: a job for each and one for the result
+    assert edges > 4 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("links")) <= edges + 1
+
+
 def test_clashes_are_told(spark):
     left, right = spark.createDataFrame([("a", 1)], "k string, v int"), spark.createDataFrame([("a", 2)], "k string, v int")
     spec = IndexJoin("other", ("k",), (Prop("v", "v"),))
