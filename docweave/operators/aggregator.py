@@ -9,7 +9,8 @@ a child's table is read only if one of its properties is asked for.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ..mapping import Aggregate, Document, Flatten, MappingError, Nested, Parent
 from ..model import Hop, id_column
 from ..sources.graph import GraphSource
 from .sliding import sliding_window
-from .walk import chain, node, pairs, reach
+from .walk import chain, node, pairs, reach, shown
 
 KEY = "_key"
 
@@ -31,20 +32,35 @@ class Branch:
 
     hop: Hop
     props: list[Prop] = field(default_factory=list)
+    picks: dict[str, Flatten] = field(default_factory=dict)
     below: dict[str, Branch] = field(default_factory=dict)
 
     def names(self) -> list[Prop]:
         return self.props + [p for b in self.below.values() for p in b.names()]
 
+    def all_picks(self) -> dict[str, Flatten]:
+        """Children to pick here and below, by the column that holds them."""
+        out = dict(self.picks)
+        for b in self.below.values():
+            out |= b.all_picks()
+        return out
 
-def trie(source: GraphSource, root: str, aggregates: tuple[Aggregate, ...]) -> dict[str, Branch]:
+
+def trie(source: GraphSource, root: str, aggregates: tuple[Aggregate, ...], picks: Mapping[str, Flatten] | None = None) -> dict[str, Branch]:
+    """Paths of aggregates and of children that are picked by a sort order, those with a common start together."""
     top: dict[str, Branch] = {}
-    for a in aggregates:
-        at, label, branch = top, root, None
-        for name, hop in zip(a.path.split("."), source.model.path(root, a.path), strict=True):
+
+    def end(path: str) -> Branch:
+        at, branch = top, None
+        for name, hop in zip(path.split("."), source.model.path(root, path), strict=True):
             branch = at.setdefault(name.strip(), Branch(hop))
-            at, label = branch.below, hop.end
-        branch.props.append(a.prop)
+            at = branch.below
+        return branch
+
+    for a in aggregates:
+        end(a.path).props.append(a.prop)
+    for name, spec in (picks or {}).items():
+        end(spec.path).picks[name] = spec
     return top
 
 
@@ -56,6 +72,8 @@ def reduce_branch(source: GraphSource, branch: Branch) -> DataFrame:
     """(near, one column for each property in and below the branch)."""
     label = branch.hop.end
     read = [p.src for p in branch.props if not _only_counted(p, label)]
+    for spec in branch.picks.values():
+        read += [p.src for p in spec.props] + [spec.sort]
     out = reach(source, (branch.hop,), read) if read else pairs(source, branch.hop)
     for below in branch.below.values():
         out = out.join(reduce_branch(source, below).withColumnRenamed("near", "far"), "far", "left")
@@ -67,10 +85,59 @@ def reduce_branch(source: GraphSource, branch: Branch) -> DataFrame:
         value, array = F.col(f"_src_{p.src}"), source.model.property(label, p.src).is_array
         value = E.recoded(value, p.values) if not array else value
         exprs.append(E.reduce_values(p.fn, value, array).alias(p.name))
+    for name, spec in branch.picks.items():
+        row = F.struct(F.col(f"_src_{spec.sort}").alias("_sort"), F.col("far").alias("_far"), *_renamed(spec.props))
+        exprs.append(_extreme(spec, row).alias(name))
+    for b in branch.below.values():
+        exprs += [_extreme(spec, F.col(name)).alias(name) for name, spec in b.all_picks().items()]
     exprs += [E.merge_partials(p.fn, F.col(p.name)).alias(p.name) for b in branch.below.values() for p in b.names()]
     return out.groupBy("near").agg(*exprs)
 
 
+def _extreme(spec: Flatten, row: Column) -> Column:
+    return F.max(row) if spec.descending else F.min(row)
+
+
+def _one_row(source: GraphSource, *labels: str) -> bool:
+    """Whether these nodes are rows that hold their links, so that each has one parent of a kind at most."""
+    return hasattr(source, "node_with_links") and all(map(source.one_row, labels))
+
+
+def _hops_of(source: GraphSource, root: str, path: ParentPath) -> list[Hop]:
+    out, label = [], root
+    for step in path.steps:
+        out.append(source.model.resolve(label, step.link))
+        label = out[-1].end
+    return out
+
+
+def ancestors(source: GraphSource, hops: list[Hop], path: ParentPath, first: int = 0) -> DataFrame:
+    """(far, properties of it and of what is above): each table read once for its properties and its link."""
+    label, props = hops[first].end, path.steps[first].props
+    own = ("id", id_column(label))
+    more = hops[first + 1 :][:1]
+    df = source.node_with_links(label, [p.src for p in props], [h.link for h in more]).withColumnRenamed(id_column(label), "far")
+    taken = [E.taken(p, shown(df, "far") if p.src in own else F.col(p.src)) for p in props]
+    df = df.select("far", *taken, *[f"_up_{h.link.name}" for h in more])
+    if not more:
+        return df
+    up = f"_up_{more[0].link.name}"
+    return df.join(ancestors(source, hops, path, first + 1).withColumnRenamed("far", up), up).drop(up)
+
+
+def single_parents(source: GraphSource, df: DataFrame, root: str, path: ParentPath, hops: list[Hop]) -> DataFrame:
+    """As ``parent_branch`` for ``df`` with the first link's parent as ``_up_<link>``: one join with one row of ancestors, no reduction."""
+    up = f"_up_{hops[0].link.name}"
+    names = [(p, h.end) for s, h in zip(path.steps, hops, strict=True) for p in s.props]
+    above = ancestors(source, hops, path).withColumnRenamed("far", up)
+    if not path.single:
+        for p, label in names:
+            array = source.model.property(label, p.src).is_array
+            one = F.sort_array(F.array_distinct(p.name)) if array else F.array(p.name)
+            above = above.withColumn(p.name, F.when(F.col(p.name).isNull(), F.array()).otherwise(one))
+    return df.join(above, up, "left")
+
+
 def parent_branch(source: GraphSource, root: str, path: ParentPath) -> DataFrame | None:
     """(near, properties of ancestors): sets over all ways up, or one value for a single parent."""
     label, out, names = root, None, []
@@ -91,11 +158,13 @@ def parent_branch(source: GraphSource, root: str, path: ParentPath) -> DataFrame
     return out.agg(*[E.reduce_values(fn, F.col(p.name), source.model.property(label, p.src).is_array and not path.single).alias(p.name) for p, label in names])
 
 
-def _projected(source: GraphSource, label: str, props: tuple[Prop, ...], key: str) -> DataFrame:
-    """Renamed and recoded properties of a node with its id as ``key``."""
-    df = node(source, label, [p.src for p in props], key)
+def _projected(source: GraphSource, label: str, props: tuple[Prop, ...], key: str, up: Iterable[Hop] = ()) -> DataFrame:
+    """Renamed and recoded properties of a node with its id as ``key``, and the parent's id of each hop ``up`` as ``_up_<link>``."""
+    links = {h.link.name: h.link for h in up}
+    read = [p.src for p in props]
+    df = source.node_with_links(label, read, links.values()).withColumnRenamed(id_column(label), key) if links else node(source, label, read, key)
     own = ("id", id_column(label))
-    return df.select(key, *[E.taken(p, F.col(key if p.src in own else p.src)) for p in props])
+    return df.select(key, *[f"_up_{name}" for name in links], *[E.taken(p, shown(df, key) if p.src in own else F.col(p.src)) for p in props])
 
 
 def _renamed(props: tuple[Prop, ...]) -> list[Column]:
@@ -117,8 +186,7 @@ def flatten_branch(source: GraphSource, root: str, spec: Flatten, bypass: bool =
     df = df.select("near", "far", *sort, *_renamed(spec.props))
     if spec.sort:
         row = F.struct("_sort", "far", *[p.name for p in spec.props])
-        pick = F.max(row) if spec.descending else F.min(row)
-        return df.groupBy("near").agg(pick.alias("top")).select("near", *[F.col(f"top.{p.name}").alias(p.name) for p in spec.props])
+        return df.groupBy("near").agg(_extreme(spec, row).alias("top")).select("near", *[F.col(f"top.{p.name}").alias(p.name) for p in spec.props])
     if reduced and len(reduced) == len(spec.props):
         return df.groupBy("near").agg(*[E.reduce_values(p.fn, F.col(p.name), source.model.property(label, p.src).is_array).alias(p.name) for p in spec.props])
     single = all(h.up or h.link.one_child or h.link.multiplicity == "one_to_many" for h in hops)
@@ -177,24 +245,48 @@ def _root_parents(source: GraphSource, doc: Document) -> tuple[ParentPath, ...]:
 def compile_aggregator(source: GraphSource, doc: Document, bypass_multiplicity: bool = False) -> DataFrame:
     """The document's rows before joins with other documents and the filter: ``_<doc_type>_id`` and its columns."""
     root = doc.root
-    df = _projected(source, root, _root_props(source, doc), KEY)
+    parents = [(path, _hops_of(source, root, path)) for path in _root_parents(source, doc)]
+    near = [(path, hops) for path, hops in parents if _one_row(source, root, *[h.end for h in hops]) and all(h.up for h in hops)]
+    df = _projected(source, root, _root_props(source, doc), KEY, [hops[0] for _, hops in near])
 
     def attach(branch: DataFrame) -> None:
         nonlocal df
         clash = E.kept([c for c in branch.columns if c != "near"], df.columns, doc.name)
         df = df.join(branch.drop(*clash).withColumnRenamed("near", KEY), KEY, "left")
 
-    for path in _root_parents(source, doc):
+    for path, hops in parents:
+        names = [p.name for s in path.steps for p in s.props]
+        if (path, hops) in near:
+            if names and not set(names) & set(df.columns) and len(set(names)) == len(names):
+                df = single_parents(source, df, root, path, hops)
+                continue
         if (branch := parent_branch(source, root, path)) is not None:
             attach(branch)
+    df = df.drop(*[c for c in df.columns if c.startswith("_up_")])
+    picks: dict[str, Flatten] = {}
     for spec in doc.flatten:
+        if spec.sort:  # reduced with the aggregates, as its table is then read once
+            names = [p.name for p in spec.props]
+            clash = E.kept(names, [*df.columns, *[p.name for x in picks.values() for p in x.props]], doc.name)
+            picks[f"_pick_{len(picks)}"] = replace(spec, props=tuple(p for p in spec.props if p.name not in clash))
+            continue
         attach(flatten_branch(source, root, spec, bypass_multiplicity))
+    picked = [F.col(f"{name}.{p.name}").alias(p.name) for name, spec in picks.items() for p in spec.props]
     if "project_id" not in df.columns and {"program_name", "project_code"} <= set(df.columns):
         df = df.withColumn("project_id", E.project_id(F.col("program_name"), F.col("project_code")))
-    implied = _implied(doc, set(df.columns) | {a.prop.name for a in doc.aggregates})
+    before = df.columns
+    known = [*df.columns, *[p.name for spec in picks.values() for p in spec.props]]
+    implied = _implied(doc, set(known) | {a.prop.name for a in doc.aggregates})
     aggregates = doc.aggregates + implied
-    for branch in trie(source, root, aggregates).values():
+    if clash := E.kept([a.prop.name for a in aggregates if picks], known, doc.name):
+        aggregates = tuple(a for a in aggregates if a.prop.name not in clash)
+    for branch in trie(source, root, aggregates, picks).values():
         attach(reduce_branch(source, branch))
+    if picks:
+        after = [c for c in df.columns if c not in before and c not in picks]
+        df = df.select(*before, *picked, *after)
+        if "project_id" not in df.columns and {"program_name", "project_code"} <= set(df.columns):
+            df = df.withColumn("project_id", E.project_id(F.col("program_name"), F.col("project_code")))
     for a in aggregates:
         df = df.withColumn(a.prop.name, E.completed(a.prop.fn, F.col(a.prop.name)))
     for s in doc.sliding:
@@ -203,7 +295,7 @@ def compile_aggregator(source: GraphSource, doc: Document, bypass_multiplicity:
         attach(sliding_window(rows, "near", s.offset, s.value, s.size, s.fn, s.over, s.name))
     for block in _blocks(doc.nested):
         attach(nested_branch(source, root, block))
-    return df.withColumnRenamed(KEY, id_column(doc.doc_type))
+    return df.withColumn(KEY, shown(df, KEY)).withColumnRenamed(KEY, id_column(doc.doc_type))
 
 
 def finish(source: GraphSource, doc: Document, df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import Hop, id_column
@@ -19,6 +19,26 @@ def pairs(source: GraphSource, hop: Hop) -> DataFrame:
     return edge.select(F.col(near).alias("near"), F.col(far).alias("far"))
 
 
+def upward(source: GraphSource, hops: list[Hop]) -> DataFrame:
+    """(near, which, far): the pairs of several hops up from one node type, ``which`` being a hop's number.
+
+    A source that keeps links in the child's own row (``link_rows``) reads it once for all.
+    """
+    if hasattr(source, "link_rows"):
+        rows = source.link_rows(hops[0].start, [h.link for h in hops])
+        return rows.select(F.col("child").alias("near"), "which", F.col("parent").alias("far"))
+    out = None
+    for i, hop in enumerate(hops):
+        step = pairs(source, hop).withColumn("which", F.lit(i))
+        out = step if out is None else out.unionByName(step)
+    return out
+
+
+def shown(df: DataFrame, key: str) -> Column:
+    """An id as documents show it: bytes in hexadecimal."""
+    return F.hex(key) if dict(df.dtypes)[key] == "binary" else F.col(key)
+
+
 def chain(source: GraphSource, hops: Iterable[Hop]) -> DataFrame:
     """(near, far) over a path, a row for each way along it.  Nodes on the way aren't read."""
     out = None
@@ -52,4 +72,4 @@ def reach(source: GraphSource, hops: tuple[Hop, ...], props: Iterable[str]) -> D
     if before:
         way = chain(source, before)
         df = way.join(df.withColumnRenamed("near", "_way"), way["far"] == F.col("_way")).drop(way["far"]).drop("_way")
-    return df.withColumns({f"_src_{p}": F.col("far") for p in own})
+    return df.withColumns({f"_src_{p}": shown(df, "far") for p in own})

@@ -76,7 +76,7 @@ class RelationalSource:
         if len(keys) == 1:
             return F.col(keys[0])
         parts = [x for k in keys for x in (F.col(k), F.col(k).isNull())]  # hashes skip nulls, so these are marked
-        return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(n), *parts)), 16, "0") for n in range(2)])
+        return F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(n), *parts)), 16, "0") for n in range(2)]))
 
     def _props(self, label: str, df: DataFrame, props: Iterable[str]) -> list[Column]:
         alias = _ALIAS.get(label, {})
@@ -92,6 +92,22 @@ class RelationalSource:
     def edge(self, child: str, link: Link) -> DataFrame:
         return self.child_rows(child, link, ())
 
+    def one_row(self, child: str) -> bool:
+        """Whether a node is one row of its table, which holds its links."""
+        return len(NODES[child][2]) == 1
+
+    def link_rows(self, child: str, links: Iterable[Link]) -> DataFrame:
+        """(child, which, parent) for several links of a child, ``which`` being a link's number: its table is read once."""
+        table, _, _, of = NODES[child]
+        ways = [F.struct(F.lit(i).alias("which"), F.col(of[link.name][2]).cast("bigint").alias("parent")) for i, link in enumerate(links)]
+        return self.table(table).select(self._key(child).alias("child"), F.inline(F.array(*ways))).where("parent is not null")
+
+    def node_with_links(self, label: str, props: Iterable[str], links: Iterable[Link]) -> DataFrame:
+        """``node`` with the parent's id of each of these links as ``_up_<link>``, null where there is none."""
+        table, _, _, of = NODES[label]
+        df = self.table(table)
+        return df.select(self._key(label).alias(id_column(label)), *self._props(label, df, props), *[F.col(of[x.name][2]).alias(f"_up_{x.name}") for x in links])
+
     def child_rows(self, child: str, link: Link, props: Iterable[str]) -> DataFrame:
         """(child, parent, properties of the child): a foreign key stands in the child's row, so nothing is joined."""
         table, _, _, links = NODES[child]
