@@ -84,6 +84,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--bad", choices=BAD, default="fail", help="records that can't be read end the build, or are left out")
     p.add_argument("--quarantine", help="folder for the bad records of a dump")
     p.add_argument("--bypass-multiplicity", action="store_true")
+    p.add_argument("--selective", action="store_true", help="filters of documents leave few: find these first and start all else from them")
     args = p.parse_args(argv)
     if args.watch and not args.transactions:
         p.error("--watch needs --transactions")
@@ -106,7 +107,7 @@ def main(argv: Sequence[str] | None = None) -> int:
 
     def build(*_: object) -> None:
         now, kept, arrays = datetime.now(UTC), [], None
-        found = compile_all(source, docs, (auth_plugin(overrides),), args.bypass_multiplicity, kept)
+        found = compile_all(source, docs, (auth_plugin(overrides),), args.bypass_multiplicity, kept, args.selective)
         names = {}
         for d, (doc_type, df) in zip(docs, found.items(), strict=True):
             names[d.name] = store.stage(df, d.name, doc_type, now, unique=not args.bypass_multiplicity)

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as E
 from ..functions.types import reduced_type, spark_type
-from ..mapping import Aggregate, Document, Flatten, MappingError, Nested, ParentPath, Prop, parse_path
+from ..mapping import Aggregate, Combined, Condition, Document, Flatten, MappingError, Nested, ParentPath, Prop, parse_path
 from ..model import Hop, id_column
 from ..sources.graph import GraphSource
 from .sliding import sliding_window
-from .walk import chain, node, pairs, reach, shown
+from .walk import among, chain, node, pairs, reach, shown
 
 KEY = "_key"
 
@@ -68,15 +68,16 @@ def _only_counted(p: Prop, label: str) -> bool:
     return p.fn == "count" and p.src in ("", "id", id_column(label))
 
 
-def reduce_branch(source: GraphSource, branch: Branch) -> DataFrame:
-    """(near, one column for each property in and below the branch)."""
+def reduce_branch(source: GraphSource, branch: Branch, keys: DataFrame | None = None) -> DataFrame:
+    """(near, one column for each property in and below the branch), for the nodes in ``keys`` (near) if they are given."""
     label = branch.hop.end
     read = [p.src for p in branch.props if not _only_counted(p, label)]
     for spec in branch.picks.values():
         read += [p.src for p in spec.props] + [spec.sort]
-    out = reach(source, (branch.hop,), read) if read else pairs(source, branch.hop)
+    out = reach(source, (branch.hop,), read, keys) if read else among(pairs(source, branch.hop), keys)
+    inner = None if keys is None else out.select(F.col("far").alias("near"))
     for below in branch.below.values():
-        out = out.join(reduce_branch(source, below).withColumnRenamed("near", "far"), "far", "left")
+        out = out.join(reduce_branch(source, below, inner).withColumnRenamed("near", "far"), "far", "left")
     exprs: list[Column] = []
     for p in branch.props:
         if _only_counted(p, label):  # a pair always has both ids, so none of them is needed
@@ -195,16 +196,17 @@ def flatten_branch(source: GraphSource, root: str, spec: Flatten, bypass: bool =
     return df.drop("far")
 
 
-def nested_branch(source: GraphSource, parent: str, spec: Nested) -> DataFrame:
+def nested_branch(source: GraphSource, parent: str, spec: Nested, keys: DataFrame | None = None) -> DataFrame:
     """(near, one array of child documents under the block's name); children are filtered before."""
     hops = source.model.path(parent, spec.path)
     label = hops[-1].end
     wanted = {p.name for p in spec.props}
     props = (*spec.props, *(Prop(c.prop, c.prop) for c in E.filtered_props(spec.filter) if c.prop not in wanted))
-    df = reach(source, hops, [p.src for p in props]).select("near", "far", *_renamed(props))
+    df = reach(source, hops, [p.src for p in props], keys).select("near", "far", *_renamed(props))
+    below = None if keys is None else df.select(F.col("far").alias("near"))
     inner = _blocks(spec.nested)
     for block in inner:
-        df = df.join(nested_branch(source, label, block).withColumnRenamed("near", "far"), "far", "left")
+        df = df.join(nested_branch(source, label, block, below).withColumnRenamed("near", "far"), "far", "left")
     if spec.filter is not None:
         df = df.where(E.predicate(spec.filter, F.col))
     names = [p.name for p in spec.props] + [b.name for b in inner]
@@ -242,8 +244,20 @@ def _root_parents(source: GraphSource, doc: Document) -> tuple[ParentPath, ...]:
     return (*doc.parents, ParentPath(parse_path("programs[program_name:name]"), True)) if "programs" in names else doc.parents
 
 
-def compile_aggregator(source: GraphSource, doc: Document, bypass_multiplicity: bool = False) -> DataFrame:
-    """The document's rows before joins with other documents and the filter: ``_<doc_type>_id`` and its columns."""
+def conjuncts(node: Condition | Combined | None) -> list[Condition | Combined]:
+    """Parts of a filter that must all hold."""
+    if node is None:
+        return []
+    return [x for p in node.parts for x in conjuncts(p)] if isinstance(node, Combined) and node.op == "and" else [node]
+
+
+def compile_aggregator(source: GraphSource, doc: Document, bypass_multiplicity: bool = False, selective: bool = False, kept: list[DataFrame] | None = None) -> DataFrame:
+    """The document's rows before joins with other documents and the filter: ``_<doc_type>_id`` and its columns.
+
+    With ``selective``, what the filter says of the root and of aggregates is found first, and all other
+    branches start from the roots that are left, at each of their hops; worth it where few are.  These roots' ids are persisted and
+    added to ``kept`` if that is given, and are an exchange that is used again otherwise.
+    """
     root = doc.root
     parents = [(path, _hops_of(source, root, path)) for path in _root_parents(source, doc)]
     near = [(path, hops) for path, hops in parents if _one_row(source, root, *[h.end for h in hops]) and all(h.up for h in hops)]
@@ -280,21 +294,37 @@ def compile_aggregator(source: GraphSource, doc: Document, bypass_multiplicity:
     aggregates = doc.aggregates + implied
     if clash := E.kept([a.prop.name for a in aggregates if picks], known, doc.name):
         aggregates = tuple(a for a in aggregates if a.prop.name not in clash)
-    for branch in trie(source, root, aggregates, picks).values():
-        attach(reduce_branch(source, branch))
+    branches, keys = trie(source, root, aggregates, picks), None
+    if selective:
+        of = {a.prop.name: a for a in aggregates}
+        asked = {c.prop for c in E.filtered_props(doc.filter)}
+        first = [n for n, b in branches.items() if asked & {p.name for p in b.names()} and not b.all_picks()]
+        for name in first:
+            branch = branches[name]
+            attach(reduce_branch(source, branch))
+            df = df.withColumns({p.name: E.completed(p.fn, F.col(p.name)) for p in branch.names() if p.name in of})
+        parts = [p for p in conjuncts(doc.filter) if {c.prop for c in E.filtered_props(p)} <= set(df.columns)]
+        if parts:
+            df = df.where(E.predicate(Combined("and", tuple(parts)), F.col))
+            keys = df.select(F.col(KEY).alias("near"))
+            if kept is not None:
+                keys = keys.persist()
+                kept.append(keys)
+    for branch in branches.values():
+        if not {p.name for p in branch.names()} & set(df.columns) or branch.all_picks():
+            attach(reduce_branch(source, branch, keys))
+    df = df.select(*before, *picked, *[p.name for b in branches.values() for p in b.names()])
     if picks:
-        after = [c for c in df.columns if c not in before and c not in picks]
-        df = df.select(*before, *picked, *after)
         if "project_id" not in df.columns and {"program_name", "project_code"} <= set(df.columns):
             df = df.withColumn("project_id", E.project_id(F.col("program_name"), F.col("project_code")))
     for a in aggregates:
         df = df.withColumn(a.prop.name, E.completed(a.prop.fn, F.col(a.prop.name)))
     for s in doc.sliding:
         hops = source.model.path(root, s.path)
-        rows = chain(source, hops).join(node(source, hops[-1].end, [s.offset, s.value], "far"), "far")
+        rows = among(chain(source, hops), keys).join(node(source, hops[-1].end, [s.offset, s.value], "far"), "far")
         attach(sliding_window(rows, "near", s.offset, s.value, s.size, s.fn, s.over, s.name))
     for block in _blocks(doc.nested):
-        attach(nested_branch(source, root, block))
+        attach(nested_branch(source, root, block, keys))
     return df.withColumn(KEY, shown(df, KEY)).withColumnRenamed(KEY, id_column(doc.doc_type))
 
 

@@ -53,8 +53,13 @@ def node(source: GraphSource, label: str, props: Iterable[str], key: str) -> Dat
     return source.node(label, props).withColumnRenamed(id_column(label), key)
 
 
-def reach(source: GraphSource, hops: tuple[Hop, ...], props: Iterable[str]) -> DataFrame:
-    """(near, far, _src_<property> for each): the nodes at the end of a path with raw properties.
+def among(df: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """``df`` with those ``near`` that are in ``keys`` (near); all of it without keys."""
+    return df if keys is None else df.join(keys, "near", "left_semi")
+
+
+def reach(source: GraphSource, hops: tuple[Hop, ...], props: Iterable[str], keys: DataFrame | None = None) -> DataFrame:
+    """(near, far, _src_<property> for each): the nodes at the end of a path with raw properties, from ``keys`` on if they are given.
 
     A source that keeps the link to a parent in the child's own row (``child_rows``)
     gives both at once; otherwise the link table is joined with the node's.
@@ -69,7 +74,9 @@ def reach(source: GraphSource, hops: tuple[Hop, ...], props: Iterable[str]) -> D
         df = pairs(source, last)
         if wanted:
             df = df.join(node(source, last.end, wanted, "far").select("far", *[F.col(p).alias(f"_src_{p}") for p in wanted]), "far")
-    if before:
-        way = chain(source, before)
+    if not before:
+        df = among(df, keys)
+    else:
+        way = among(chain(source, before), keys)
         df = way.join(df.withColumnRenamed("near", "_way"), way["far"] == F.col("_way")).drop(way["far"]).drop("_way")
     return df.withColumns({f"_src_{p}": shown(df, "far") for p in own})

@@ -29,15 +29,15 @@ def auth_plugin(overrides: Mapping[str, str] | None = None) -> Plugin:
     return run
 
 
-def compile_document(source: GraphSource, doc: Document, others: Mapping[str, DataFrame] | None = None, bypass_multiplicity: bool = False, kept: list[DataFrame] | None = None) -> DataFrame:
-    """The plan of one document; ``others`` holds those that it joins."""
-    df = compile_aggregator(source, doc, bypass_multiplicity) if doc.kind == "aggregator" else compile_collector(source, doc, kept)
+def compile_document(source: GraphSource, doc: Document, others: Mapping[str, DataFrame] | None = None, bypass_multiplicity: bool = False, kept: list[DataFrame] | None = None, selective: bool = False) -> DataFrame:
+    """The plan of one document; ``others`` holds those that it joins; for ``selective`` see ``compile_aggregator``."""
+    df = compile_aggregator(source, doc, bypass_multiplicity, selective, kept) if doc.kind == "aggregator" else compile_collector(source, doc, kept)
     for spec in doc.joins:
         df = join_index(df, (others or {})[spec.index], spec)
     return finish(source, doc, df)
 
 
-def compile_all(source: GraphSource, docs: list[Document], plugins: tuple[Plugin, ...] = (), bypass_multiplicity: bool = False, kept: list[DataFrame] | None = None) -> dict[str, DataFrame]:
+def compile_all(source: GraphSource, docs: list[Document], plugins: tuple[Plugin, ...] = (), bypass_multiplicity: bool = False, kept: list[DataFrame] | None = None, selective: bool = False) -> dict[str, DataFrame]:
     """Plans by doc_type, in the order of ``docs``.
 
     With ``kept``, what another document joins is persisted and added to it; the caller
@@ -46,7 +46,7 @@ def compile_all(source: GraphSource, docs: list[Document], plugins: tuple[Plugin
     joined = {j.index for d in docs for j in d.joins}
     found: dict[str, DataFrame] = {}
     for d in order(docs):
-        df = compile_document(source, d, found, bypass_multiplicity, kept)
+        df = compile_document(source, d, found, bypass_multiplicity, kept, selective)
         if kept is not None and {d.name, d.doc_type} & joined:
             df = df.persist()
             kept.append(df)

@@ -365,6 +365,23 @@ def array_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("field").agg(F.count_if(F.col("n") > 0).alias("n_documents"), F.sum(F.greatest("n", F.lit(0))).alias("n_values"))
 
 
+#: Few customers have so expensive a line.
+_RARE = _doc(
+    "subject", "c_custkey",
+    props=[_prop("c_custkey"), _prop("c_acctbal")],
+    aggregated_props=[_agg("max_price", _ALIQUOTS, "max", "l_extendedprice"), _agg("_visits_count", "visits", "count")],
+    flatten_props=[{"path": "visits", "props": [_prop("last_event", "event_type")], "sorted_by": "ts, desc"}],
+    nested_props=[{"name": "samples", "path": "samples", "props": [_prop("o_orderkey")], "nested_props": [{"name": "lines", "path": "aliquots", "props": [_prop("l_linenumber")]}]}],
+    filter={"op": "and", "logics": [{"prop": "max_price", "op": ">=", "value": 104800.0}, {"prop": "c_acctbal", "op": ">", "value": 0.0}]},
+)
+
+
+def selective_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = compile_document(RelationalSource(spark, sf_dir), parse_mapping(_RARE), selective=True)
+    tree = "array_sort(transform(samples, s -> concat(s.o_orderkey, '>', coalesce(array_join(array_sort(transform(s.lines, l -> l.l_linenumber)), ','), ''))))"
+    return df.selectExpr("c_custkey", "max_price", "last_event", "_visits_count", f"{tree} AS tree")
+
+
 def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a text dump in which some lines are cut off, some hold no JSON and some a text where a number belongs: all are told apart."""
     path = scratch(spark)
@@ -451,6 +468,15 @@ OTHER: dict[str, tuple[Query, str | None]] = {
         "SELECT x.field, count(*) FILTER (x.n > 0) AS n_documents, CAST(coalesce(sum(x.n), 0) AS BIGINT) AS n_values FROM (SELECT unnest(["
         "{'field': 'samples', 'n': s}, {'field': 'samples.lines', 'n': l}, {'field': 'return_flags', 'n': coalesce(f, 0)}]) AS x FROM c) GROUP BY x.field",
     ),
+    "selective_document": (
+        selective_document,
+        "WITH l AS (SELECT o_custkey, o_orderkey, max(l_extendedprice) AS m, o_orderkey || '>' || coalesce(string_agg(l_linenumber, ',' ORDER BY l_linenumber), '') AS t "
+        "FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey, o_orderkey), "
+        "o AS (SELECT o_custkey, max(m) AS m, list_sort(list(t)) AS tree FROM l GROUP BY ALL), "
+        "e AS (SELECT user_id, count(*) AS n, arg_max(event_type, (ts, event_id)) AS last_event FROM events GROUP BY ALL) "
+        "SELECT c_custkey, m AS max_price, last_event, coalesce(n, 0) AS _visits_count, tree FROM customer JOIN o ON o_custkey = c_custkey LEFT JOIN e ON user_id = c_custkey "
+        "WHERE m >= 104800 AND c_acctbal > 0",
+    ),
     "bad_records": (
         bad_records,
         "SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (3, 5) THEN 'properties' WHEN o_orderkey % 7 = 6 THEN 'columns' ELSE 'good' END AS reason, "

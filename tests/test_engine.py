@@ -2,6 +2,7 @@
 
 import http.server
 import json
+import re
 import threading
 from datetime import UTC, datetime, timedelta
 
@@ -213,6 +214,37 @@ def test_sliding(spark, source):
     assert got["c1"]["w"] == 20 and got["c3"]["w"] is None
 
 
+def test_sliding_in_blocks(spark):
+    """Blocks of any size give what whole keys give, with holes, negative offsets and windows larger than a block."""
+    rows = [(k, at, float((at * 7919 + k) % 101) if at % 13 else None) for k in range(3) for at in range(-60, 90) if (at + k) % 29 or k == 0]
+    df = spark.createDataFrame([*rows, (5, 1, 1.0), (6, None, 2.0)], "k int, at int, v double")
+    of = {k: {at: v for key, at, v in rows if key == k} for k in range(3)}
+    for size in (1, 4, 28):
+        for fn, over in (("sum", "max"), ("min", "sum"), ("count", "min"), ("max", "count")):
+            want = {}
+            ops = {"sum": lambda x: sum(x) if x else None, "min": lambda x: min(x, default=None), "max": lambda x: max(x, default=None), "count": len}
+            for k in [*range(3), *([5] if size == 1 else [])]:
+                have = of.get(k, {1: 1.0})
+                each = [ops[fn]([have[a + i] for i in range(size) if have[a + i] is not None]) for a in have if all(a + i in have for i in range(size))]
+                if each:
+                    want[k] = ops[over]([x for x in each if x is not None])
+            for block in (1, 10, 1 << 16):
+                got = {r.k: r.x for r in sliding_window(df, "k", "at", "v", size, fn, over, "x", block).collect()}
+                assert got == pytest.approx(want), (size, fn, over, block)
+
+
+def test_sliding_over_a_long_key(spark):
+    """A key of a million offsets is worked on by many tasks."""
+    df = spark.range(1_000_000).select((F.col("id") % 1 + 1).alias("k"), F.col("id").alias("at"), (F.col("id") % 1000).alias("v"))
+    tasks = F.collect_set(F.spark_partition_id())
+    out = sliding_window(df, "k", "at", "v", 5, "sum", "max", "x", block=10_000)
+    assert [tuple(r) for r in out.collect()] == [(1, 995 + 996 + 997 + 998 + 999)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and re.search(r"hashpartitioning\(k#\d+L, _block", plan)
+    spread = df.withColumn("_block", F.expr("at div 10000")).repartition("k", "_block").agg(tasks).first()[0]
+    assert len(spread) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_collector(source):
     doc = parse_mapping({"doc_type": "file", "type": "collector", "props": [{"name": "size"}, {"name": "tags"}, {"name": "source_node"}], "injecting_props": {"case": {"props": [{"name": "case_id", "src": "id"}, {"name": "ids"}]}, "project": {"props": [{"name": "code"}]}, "program": {"props": [{"name": "program", "src": "name"}]}}})
     rows = [r.asDict(True) for r in compile_document(source, doc).collect()]

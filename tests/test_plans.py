@@ -3,7 +3,11 @@
 import re
 
 import pytest
+from docweave.mapping import parse_mapping
+from docweave.operators.aggregator import compile_aggregator, nested_branch
 from docweave.plans import queries as plans
+from docweave.sources.relgraph import RelationalSource
+from pyspark.sql import functions as F
 
 D = "/root/testdata/sf0.001"
 
@@ -38,3 +42,47 @@ def test_partial_aggregation_before_the_exchange(spark):
     text = plan(spark, "agg_count_two_hop")
     assert text.count("partial_count") >= 1
     assert "partial_max" in plan(spark, "flatten_sorted_desc") and "Window" not in plan(spark, "flatten_sorted_desc")
+
+
+def scans(text):
+    """How often each table is read, and exchanges that aren't another one used again."""
+    text = text.partition("== Initial Plan ==")[0]
+    tables = re.findall(r"Scan parquet.*?/(\w+)\.parquet", text)
+    return {t: tables.count(t) for t in tables}, len(re.findall(r"^\W*Exchange", text, re.M))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def ran(spark, name):
+    df = plans.queries()[name](spark, D)
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["collector_union", "collector_lineage", "collector_diamond"])
+def test_lineage_is_read_once(spark, no_broadcast, name):
+    tables, exchanges = scans(ran(spark, name))
+    assert tables.pop("lineitem") <= 2  # once for its links and once for its properties
+    assert set(tables.values()) == {1} and exchanges <= 13
+
+
+def test_documents_read_each_table_once(spark, no_broadcast):
+    tables, exchanges = scans(ran(spark, "subject_document"))
+    assert set(tables) >= {"customer", "orders", "lineitem", "events", "nation", "region"} and set(tables.values()) == {1} and exchanges <= 9
+
+
+def test_selective_filters_leave_few_rows_for_other_branches(spark):
+    source, doc = RelationalSource(spark, D), parse_mapping(plans._RARE)
+    few = compile_aggregator(source, doc, selective=True).select(F.col("_subject_id").alias("near"))
+    n, block = few.count(), doc.nested[0]
+    every, some = (nested_branch(source, "subject", block, k).select(F.size("samples").alias("n")).agg(F.count("n"), F.sum("n")).first() for k in (None, few))
+    assert 0 < n < 20 and some[0] == n and every[0] > 4 * some[0] and every[1] > 4 * some[1]
+    kept = []
+    compile_aggregator(source, doc, selective=True, kept=kept).collect()
+    assert len(kept) == 1 and kept[0].count() == n
+    kept[0].unpersist()
