@@ -23,7 +23,7 @@ class Dialect:
     """What differs between databases.
 
     ``tables`` lists tables, ``rows`` gives a table's estimated rows (and pages), ``one_row`` is what a query of constants
-    is taken from, ``quote`` stands around names.  ``pages`` is the predicate of a range of pages.  ``export`` gives the
+    is taken from, ``quote`` stands around names.  ``numbered`` gives keys with their numbers in order.  ``pages`` is the predicate of a range of pages.  ``export`` gives the
     name of a snapshot that ``take`` takes up in another connection; without it ``lock`` keeps writers out.
     """
 
@@ -31,6 +31,7 @@ class Dialect:
     rows: str = "select count(*) as n_rows, 0 as n_pages from {table}"
     one_row: str = ""
     quote: str = '"'
+    numbered: str = "select row_number() over (order by {key}) as n, {key} as k from {table} where {key} is not null"
     pages: str | None = None
     export: str | None = None
     take: str = ""
@@ -46,7 +47,12 @@ DIALECTS = {
         take="set transaction isolation level repeatable read, read only; set transaction snapshot '{name}'",
     ),
     "mysql": Dialect(_INFORMATION + "database()", rows="select table_rows as n_rows, 0 as n_pages from information_schema.tables where table_schema = database() and table_name = '{table}'", quote="`", lock="lock tables {tables} read"),
-    "derby": Dialect("select lower(tablename) as table_name from sys.systables where tabletype = 'T'", one_row=" from sysibm.sysdummy1", lock="lock table {table} in share mode"),
+    "derby": Dialect(
+        "select lower(tablename) as table_name from sys.systables where tabletype = 'T'",
+        one_row=" from sysibm.sysdummy1",
+        numbered="select row_number() over () as n, k from (select {key} as k from {table} where {key} is not null order by {key}) as a",
+        lock="lock table {table} in share mode",
+    ),
 }
 OTHER = Dialect(_INFORMATION + "'public'")
 
@@ -61,13 +67,13 @@ def page_parts(dialect: Dialect, pages: int, n: int) -> list[str]:
     return [dialect.pages.format(lo=lo, hi=hi) for lo, hi in zip(cuts, [*cuts[1:], (1 << 32) - 1], strict=True)]
 
 
-def bounds_query(table: str, key: str, step: int) -> str:
-    """Every ``step``-th key in order, found by the database."""
-    return f"select k from (select row_number() over () as n, k from (select {key} as k from {table} where {key} is not null order by {key}) as a) as b where mod(n, {step}) = 0"
+def bounds_query(dialect: Dialect, table: str, key: str, step: int) -> str:
+    """(n, k): every ``step``-th key and its number, in the database's own order, which its comparisons follow."""
+    return f"select n, k from ({dialect.numbered.format(table=table, key=key)}) as b where mod(n, {step}) = 0"
 
 
 def key_parts(key: str, bounds: Iterable[str]) -> list[str]:
-    """Ranges of a key between bounds, each in one part; nulls are in the first, and the last has no end."""
+    """Ranges of a key between bounds in order, each in one part; nulls are in the first, and the last has no end."""
     quoted = ["'" + b.replace("'", "''") + "'" for b in dict.fromkeys(bounds)]
     if not quoted:
         return ["1 = 1"]
@@ -120,8 +126,11 @@ class Moment:
 Reader = Callable[[str], list]
 
 
-def plan(read: Reader, dialect: Dialect, table: str, key: str, most: int, rows_per_part: int) -> list[str]:
-    """Predicates of the parts of a table, each row in one of them; ``read`` runs a statement and gives its rows."""
+def plan(read: Reader, dialect: Dialect, table: str, key: str, most: int, rows_per_part: int, still: bool = False) -> list[str]:
+    """Predicates of the parts of a table, each row in one of them; ``read`` runs a statement and gives its rows.
+
+    Pages are told apart only if all parts are read from one snapshot (``still``), as a row that changes may move to another; its key stays.
+    """
     if most < 2:
         return ["1 = 1"]
     found = read(dialect.rows.format(table=table))
@@ -129,6 +138,7 @@ def plan(read: Reader, dialect: Dialect, table: str, key: str, most: int, rows_p
     n = n_parts(rows, rows_per_part, most)
     if n < 2:
         return ["1 = 1"]
-    if dialect.pages and pages >= n:
+    if still and dialect.pages and pages >= n:
         return page_parts(dialect, pages, n)
-    return key_parts(key, [str(r[0]) for r in read(bounds_query(table, key, max(1, ceil(rows / n))))])
+    found = sorted((int(r[0]), str(r[1])) for r in read(bounds_query(dialect, table, key, max(1, ceil(rows / n)))))
+    return key_parts(key, [k for _, k in found])

@@ -154,17 +154,17 @@ class JdbcSource:
     def _query(self, statement: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, f"({statement}) t", properties=self.properties)
 
-    def parts(self, table: str) -> list[str]:
+    def parts(self, table: str, still: bool = False) -> list[str]:
         """Predicates of the parts that a table is read in; pairs are told apart by both ids, so that one id with many is no large part."""
         name = lambda c: self.dialect.quote + c + self.dialect.quote
         edge = table.startswith("edge_") or table in {link.edge for n in self.model.nodes.values() for link in n.links}
         key = f"{name('src_id')} || '/' || {name('dst_id')}" if edge else name("node_id")
         if edge and self.dialect.quote == "`":
             key = "concat(`src_id`, '/', `dst_id`)"
-        return plan(lambda s: self._query(s).collect(), self.dialect, table, key, self.partitions, self.rows_per_part)
+        return plan(lambda s: self._query(s).collect(), self.dialect, table, key, self.partitions, self.rows_per_part, still)
 
     def _read(self, table: str, more: Mapping[str, str] | None = None) -> DataFrame:
-        return self.spark.read.jdbc(self.url, table, predicates=self.parts(table), properties=self.properties | dict(more or {}))
+        return self.spark.read.jdbc(self.url, table, predicates=self.parts(table, bool(more)), properties=self.properties | dict(more or {}))
 
     def tables(self) -> list[str]:
         """Names of the tables to import."""

@@ -598,12 +598,16 @@ def test_statements_of_databases():
     pg = DB.DIALECTS["postgresql"]
     asked = []
     read = lambda s: asked.append(s) or [(10_000_000, 900)]
-    found = DB.plan(read, pg, "node_case", '"node_id"', 4, 1_000_000)
+    found = DB.plan(read, pg, "node_case", '"node_id"', 4, 1_000_000, still=True)
     assert found[0] == "ctid >= '(0,0)'::tid and ctid < '(225,0)'::tid" and found[-1].endswith("ctid < '(4294967295,0)'::tid") and len(found) == 4 and len(asked) == 1
     assert DB.plan(read, pg, "node_case", '"node_id"', 1, 1) == ["1 = 1"] and DB.plan(lambda s: [(5, 1)], pg, "t", "k", 8, 10) == ["1 = 1"]
     my = DB.DIALECTS["mysql"]
-    found = DB.plan(lambda s: [(100, 0)] if "table_rows" in s else [("a",), ("b'c",), ("b'c",)], my, "t", "`k`", 4, 10)
+    found = DB.plan(lambda s: [(100, 0)] if "table_rows" in s else [(50, "b'c"), (25, "a"), (75, "b'c")], my, "t", "`k`", 4, 10)
     assert found == ["`k` <= 'a' or `k` is null", "`k` > 'a' and `k` <= 'b''c'", "`k` > 'b''c'"]
+    asked.clear()
+    assert DB.plan(lambda s: [(10_000_000, 900)] if "pg_class" in s else [(1, "a")], pg, "t", "k", 4, 1_000_000) == ["k <= 'a' or k is null", "k > 'a'"]  # rows may move
+    DB.plan(lambda s: asked.append(s) or [(100, 0)], my, "t", "`k`", 4, 10)
+    assert asked[1] == "select n, k from (select row_number() over (order by `k`) as n, `k` as k from t where `k` is not null) as b where mod(n, 25) = 0"
     assert "snapshot '{name}'" in pg.take and my.lock.format(tables=" read, ".join(["a", "b"])) == "lock tables a read, b read"
 
 
