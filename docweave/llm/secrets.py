@@ -70,7 +70,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -
     """``docs`` without ``text`` and with ``found``: array of (kind, start, end), code points, end exclusive.
 
     Sorted by start, then by the order of the rules.  Null and empty texts have
-    none.  Every row is scanned by itself, so repeated rows and null keys need no care.
+    none.  Every row is scanned by itself, so repeated rows and null keys need no care.  Other columns stay but
+    for one named ``found``, which is replaced; an empty table gives an empty table.
     """
     keep = [c for c in docs.columns if c not in (text, "found")]
     scanner = Scanner(rules)

@@ -34,7 +34,8 @@ def encoder(data: bytes, pattern: str) -> tiktoken.Encoding:
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN, text: str = "text") -> DataFrame:
     """``docs`` without ``text`` and with n_tokens (long): the length of the whole encoded text, null 0.
 
-    The file is read by the driver and sent along; executors need no copy of it.
+    Rows are counted one by one, repeated ones too.  Other columns stay but for one named ``n_tokens``, which
+    is replaced; an empty table gives an empty table.  The file is read by the driver and sent along; executors need no copy of it.
     """
     with open(vocabulary, "rb") as f:
         data = f.read(MOST_BYTES + 1)

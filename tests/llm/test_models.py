@@ -406,3 +406,34 @@ def test_toxicity_score_is_brute_force():
             padded = [0, *word] + [0] * 2 * toxicity.WINDOW
             spelled.append(max(decision(padded[i : i + toxicity.WINDOW]) for i in range(len(word) + toxicity.WINDOW + 1)))
         assert abs(got[k][0] - np.clip(max(values + spelled), -3, 3)) < 1e-3, texts[k]
+
+
+def test_very_long_texts(spark):
+    """A text of megabytes among short ones: mixing counts all of it, and toxicity finds what stands anywhere in it."""
+    from docweave.llm.mixing import mix
+
+    machine = toxicity.train(*sentences(600, 1))
+    calm = "ba lo ren so madi vek " * 60_000
+    rows = [(1, calm, "a"), (2, "ba lo ren so", "a"), (3, None, "b"), (4, "x" * 2_000_000, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, machine).collect()}
+    assert len(got) == 4 and all(0 <= s < 0.7 for s in got.values())
+    sizes = {r.doc_id: r["size"] for r in mix(df).collect()}
+    assert sizes == {1: 360_000, 2: 4, 3: 0, 4: 1}
+
+
+def test_vectors_of_rare_sizes_with_the_query_parameters(spark, monkeypatch):
+    """Sizes that share an index lose no link among near copies at the query's own parameters."""
+    monkeypatch.setattr(pivots, "OWN_SIZES", 1)
+    rng = np.random.default_rng(8)
+    rows, i = [], 0
+    for size in (64, 64, 33, 40, 48, 63):
+        for base in rng.normal(size=(12, size)):
+            for _ in range(4):
+                rows.append((i, (base + rng.normal(scale=0.05, size=size)).tolist(), 1))
+                i += 1
+    x = {r[0]: np.array(r[1]) / np.linalg.norm(r[1]) for r in rows}
+    want = {a: sum(len(x[a]) == len(x[b]) and a != b and x[a] @ x[b] >= 0.93 for b in x) for a in x}
+    got = {r.vec_id: r.n_links for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert sum(want.values()) > 800 and all(got[a] <= want[a] for a in want)
+    assert sum(got.values()) >= 0.98 * sum(want.values())
