@@ -69,13 +69,17 @@ class Aggregate:
 
 @dataclass(frozen=True)
 class Nested:
-    """Child documents; without a path only a group of other blocks."""
+    """Child documents; without a path only a group of other blocks.
+
+    ``spread`` says whether a parent's children are collected in parts first; None leaves it to the parent's category.
+    """
 
     name: str
     path: str | None
     props: tuple[Prop, ...]
     nested: tuple[Nested, ...] = ()
     filter: Condition | Combined | None = None
+    spread: bool | None = None
 
 
 @dataclass(frozen=True)
@@ -169,7 +173,10 @@ def _nested(spec: Mapping[str, Any]) -> Nested:
     inner = tuple(_nested(s) for s in spec.get("nested_props") or ())
     if not path and (spec.get("props") or not inner):
         raise MappingError(f"nested block {spec.get('name')!r} needs a path")
-    return Nested(spec.get("name") or (path or "").replace(".", "_"), path, _props(spec.get("props")), inner, parse_filter(spec.get("filter")))
+    spread = spec.get("spread")
+    if spread is not None and not isinstance(spread, bool):
+        raise MappingError(f"spread of a nested block is true or false, not {spread!r}")
+    return Nested(spec.get("name") or (path or "").replace(".", "_"), path, _props(spec.get("props")), inner, parse_filter(spec.get("filter")), spread)
 
 
 def _flatten(spec: Mapping[str, Any]) -> Flatten:

@@ -20,10 +20,13 @@ from ..functions.types import reduced_type, spark_type
 from ..mapping import Aggregate, Combined, Condition, Document, Flatten, MappingError, Nested, ParentPath, Prop, parse_path
 from ..model import Hop, id_column
 from ..sources.graph import GraphSource
+from .hot import collected
 from .sliding import sliding_window
 from .walk import among, chain, node, pairs, reach, shown
 
 KEY = "_key"
+#: Category of the nodes of which there are few, each with a large share of all rows below it.
+FEW = "administrative"
 
 
 @dataclass
@@ -196,6 +199,11 @@ def flatten_branch(source: GraphSource, root: str, spec: Flatten, bypass: bool =
     return df.drop("far")
 
 
+def _spread(source: GraphSource, parent: str, spec: Nested) -> bool:
+    """Whether a parent's children are collected in parts: if the block says so, else where parents are few and large, as programs and projects are."""
+    return spec.spread if spec.spread is not None else source.model[parent].category == FEW
+
+
 def nested_branch(source: GraphSource, parent: str, spec: Nested, keys: DataFrame | None = None) -> DataFrame:
     """(near, one array of child documents under the block's name); children are filtered before."""
     hops = source.model.path(parent, spec.path)
@@ -209,8 +217,10 @@ def nested_branch(source: GraphSource, parent: str, spec: Nested, keys: DataFram
         df = df.join(nested_branch(source, label, block, below).withColumnRenamed("near", "far"), "far", "left")
     if spec.filter is not None:
         df = df.where(E.predicate(spec.filter, F.col))
-    names = [p.name for p in spec.props] + [b.name for b in inner]
-    return df.groupBy("near").agg(F.sort_array(F.collect_list(F.struct(*names))).alias(spec.name))
+    row = F.struct(*[p.name for p in spec.props], *[b.name for b in inner])
+    if _spread(source, parent, spec):
+        return collected(df, "near", "far", row, spec.name)
+    return df.groupBy("near").agg(F.sort_array(F.collect_list(row)).alias(spec.name))
 
 
 def _blocks(blocks: tuple[Nested, ...]) -> list[Nested]:

@@ -238,10 +238,15 @@ MAPPED: dict[str, tuple[dict[str, Any], list[str], str]] = {
         "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey AND event_type = 'click')",
     ),
     "collector_single_parent": (
-        {"doc_type": "file", "type": "collector", "category": "data_file", "props": [_prop("event_type"), _prop("value"), _prop("source_node")], "injecting_props": {"subject": {"props": [_prop("subject_id", "id"), _prop("c_mktsegment")]}}},
-        ["_file_id", "project_id", "event_type", "value", "subject_id", "c_mktsegment"],
-        "SELECT CAST(event_id AS VARCHAR) AS _file_id, r_name || '-' || n_name AS project_id, event_type, value, [c_custkey] AS subject_id, [c_mktsegment] AS c_mktsegment "
-        "FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
+        {"doc_type": "file", "type": "collector", "category": "data_file", "props": [_prop("event_type"), _prop("value"), _prop("l_orderkey"), _prop("source_node")], "injecting_props": {"subject": {"props": [_prop("subject_id", "id"), _prop("c_mktsegment")]}}},
+        ["CASE WHEN source_node = 'visit' THEN _file_id END AS _file_id", "project_id", "source_node", "event_type", "value", "l_orderkey", "subject_id", "c_mktsegment"],
+        "WITH p AS (SELECT n_nationkey, r_name || '-' || n_name AS project_id FROM nation JOIN region ON n_regionkey = r_regionkey), "
+        "l AS (SELECT DISTINCT * FROM lineitem), a AS (SELECT l.*, c_nationkey AS n, c_custkey AS c, c_mktsegment AS m FROM l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
+        "UNION ALL SELECT l.*, s_nationkey, NULL, NULL FROM l JOIN supplier ON l_suppkey = s_suppkey) "
+        "SELECT CAST(event_id AS VARCHAR) AS _file_id, project_id, 'visit' AS source_node, event_type, value, NULL::BIGINT AS l_orderkey, [c_custkey] AS subject_id, [c_mktsegment] AS c_mktsegment "
+        "FROM events JOIN customer ON user_id = c_custkey JOIN p ON c_nationkey = n_nationkey "
+        "UNION ALL SELECT NULL, project_id, 'aliquot', NULL, NULL, l_orderkey, coalesce(list(c) FILTER (c IS NOT NULL), []), coalesce(list(m) FILTER (m IS NOT NULL), []) FROM a JOIN p ON n = n_nationkey "
+        "GROUP BY project_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate",
     ),
     "collector_union": (
         {"doc_type": "file", "type": "collector", "props": [_prop("event_type"), _prop("l_returnflag"), _prop("source_node")]},
@@ -259,7 +264,8 @@ MAPPED: dict[str, tuple[dict[str, Any], list[str], str]] = {
         "a AS (SELECT l.*, c_nationkey AS n, NULL::BIGINT AS v FROM (SELECT DISTINCT * FROM lineitem) l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
         "UNION ALL SELECT l.*, s_nationkey, s_suppkey FROM (SELECT DISTINCT * FROM lineitem) l JOIN supplier ON l_suppkey = s_suppkey) "
         "SELECT project_id, l_orderkey, l_linenumber, [r_name] AS program, coalesce(list(v) FILTER (v IS NOT NULL), []) AS vendor FROM a JOIN p ON n = n_nationkey "
-        "GROUP BY project_id, r_name, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate",
+        "GROUP BY project_id, r_name, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate "
+        "UNION ALL SELECT project_id, NULL, NULL, [r_name], [] FROM events JOIN customer ON user_id = c_custkey JOIN p ON c_nationkey = n_nationkey",
     ),
     "collector_lineage": (
         {"doc_type": "file", "type": "collector", "props": [_prop("event_id"), _prop("l_orderkey"), _prop("l_linenumber"), _prop("source_node")], "injecting_props": {"program": {"props": [_prop("program", "r_name")]}, "vendor": {"props": [_prop("vendor", "s_suppkey")]}}},
@@ -272,7 +278,6 @@ MAPPED: dict[str, tuple[dict[str, Any], list[str], str]] = {
         "UNION ALL SELECT project_id, 'visit', event_id, NULL, NULL, [r_name], [] FROM events JOIN customer ON user_id = c_custkey JOIN p ON c_nationkey = n_nationkey",
     ),
 }
-_ONLY = {"collector_single_parent": "source_node = 'visit'", "collector_diamond": "source_node = 'aliquot'"}
 #: Flattening many children without a choice, which the multiplicity check forbids.
 _BYPASS = _doc("subject", "c_custkey", flatten_props=[{"path": "samples", "props": [_prop("o_orderkey")]}])
 
@@ -281,8 +286,7 @@ def _mapped(name: str) -> Query:
     spec, columns, _ = MAPPED[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = compile_document(RelationalSource(spark, sf_dir), parse_mapping(spec))
-        return df.where(_ONLY[name]).selectExpr(*columns) if name in _ONLY else df.selectExpr(*columns)
+        return compile_document(RelationalSource(spark, sf_dir), parse_mapping(spec)).selectExpr(*columns)
 
     return run
 

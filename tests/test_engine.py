@@ -11,6 +11,7 @@ from docweave.functions import expressions as E
 from docweave.functions import types as TY
 from docweave.mapping import Combined, Condition, IndexJoin, MappingError, Prop, load_mappings, load_resource_paths, parse_filter, parse_mapping, parse_mappings, parse_path, resource_paths
 from docweave.model import GraphModel, Link, ModelError, Node, Property
+from docweave.operators.hot import collected
 from docweave.operators.index_join import join_index, order
 from docweave.operators.sliding import sliding_window
 from docweave.plans.compiler import auth_plugin, compile_all, compile_document, trace
@@ -18,6 +19,7 @@ from docweave.cli import store_of
 from docweave.sinks import IncompleteIndex, IndexStore, RestClient, SearchStore, array_config, as_json
 from docweave.sources import database as DB
 from docweave.sources.graph import DumpSource, FrameSource, JdbcSource, ParquetSource, edges_with_data
+from docweave.sources.relgraph import RelationalSource
 from docweave.streaming.gating import must_build, read_stamp, stamp, transaction_time, watch
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -661,3 +663,46 @@ def test_entry_points():
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert "subject_document" in e.queries()
+
+
+def test_children_of_large_parents_are_collected_in_parts(spark):
+    source = RelationalSource(spark, "/root/testdata/sf0.001")
+    block = {"name": "lines", "path": "subjects.samples", "props": [{"name": "o_orderkey"}, {"name": "o_orderstatus"}], "nested_props": [{"name": "of", "path": "aliquots", "props": [{"name": "l_linenumber"}]}]}
+
+    def rows(**more):
+        doc = parse_mapping({"doc_type": "project", "type": "aggregator", "root": "project", "props": [{"name": "n_nationkey"}], "nested_props": [block | more]})
+        return compile_document(source, doc).orderBy("n_nationkey")
+
+    spread, whole = rows(), rows(spread=False)  # a project's children are spread unless the block says otherwise
+    assert spread.collect() == whole.collect() and spread.schema == whole.schema
+    assert "pmod(xxhash64" in spread._jdf.queryExecution().executedPlan().toString() and "pmod(xxhash64" not in whole._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(MappingError, match="spread"):
+        rows(spread="often")
+
+
+def test_collecting_in_parts(spark):
+    # one parent has two thirds of all rows; equal rows, a null member, a null value and a parent of one
+    df = spark.range(3000).selectExpr("if(id % 3 < 2, 'hot', concat('k', id % 7)) as key", "nullif(id, 5) as member", "nullif(id % 11, 3) as a", "array(id % 2) as b")
+    df = df.unionByName(df.where("member < 40")).unionByName(spark.sql("select 'one' as key, 1L as member, 2L as a, array(3L) as b"))
+    row = F.struct("a", "b")
+    want = {r.key: r.rows for r in df.groupBy("key").agg(F.sort_array(F.collect_list(row)).alias("rows")).collect()}
+    for parts in (1, 7, 64):
+        assert {r.key: r.rows for r in collected(df, "key", "member", row, "rows", parts).collect()} == want
+    assert collected(df.limit(0), "key", "member", row, "rows").collect() == []
+    largest = {r.key: r.n for r in df.groupBy("key").agg(F.sum(F.octet_length(F.to_json(row))).alias("n")).collect()}
+    assert {r.key: r.rows for r in collected(df, "key", "member", row, "rows", budget=largest["hot"]).collect()} == want
+    for parts in (1, 64):  # told of in the first step where one part is too large, and in the second otherwise
+        with pytest.raises(Exception, match="rows: the children of hot take more than"):
+            collected(df, "key", "member", row, "rows", parts, largest["hot"] - 1).collect()
+    binary = df.withColumn("key", F.encode("key", "utf-8"))
+    with pytest.raises(Exception, match="the children of 686F74 take"):
+        collected(binary, "key", "member", row, "rows", budget=largest["hot"] - 1).collect()
+    # rows are exchanged once by key and part, and sorted parts once by key
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = collected(df, "key", "member", row, "rows")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    asked = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(asked) == 2 and sorted("_part#" in x for x in asked) == [False, True]
