@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_map, in_map, materialise, small_batches
-from .words import Words, winnow
+from .common import CHUNK_BYTES, chunks, hash_map, in_map, materialise, small_batches
+from .words import Words, parts, winnow
 
 _HITS = "m int, fp long, pos int, gram string, before array<string>, after array<string>"
 #: Marks that are held as strings at a time; a text may have as many as words.
@@ -45,7 +45,7 @@ def _scan(rows: DataFrame, window: int, k: int, short: list[int], item: bool, se
     """For each row (id, text) a row with m = 0 and its number of words as pos, and one for each mark."""
     side = window - k
 
-    def found(w: Words, known: np.ndarray | None) -> Iterator[tuple]:
+    def found(w: Words, known: np.ndarray | None, before: int = 0) -> Iterator[tuple]:
         counts = w.counts()
         for m, size, pos, fp in _marks(w, window, k, short if not item else sorted({int(n) for n in counts if 0 < n < window})):
             if known is not None:
@@ -60,20 +60,22 @@ def _scan(rows: DataFrame, window: int, k: int, short: list[int], item: bool, se
                 for p, h, r in zip(pos[part].tolist(), fp[part].view(np.int64).tolist(), row[part].tolist(), strict=True):
                     lo, hi = (max(p - side, int(w.at[r])), min(p + size + side, int(w.at[r + 1]))) if m == window else (p, p + size)
                     words = w.slice(lo, hi)
-                    yield r, m, h, p - int(w.at[r]), " ".join(words[p - lo : p - lo + size]), words[: p - lo][::-1], words[p - lo + size :]
+                    yield r, m, h, before + p - int(w.at[r]), " ".join(words[p - lo : p - lo + size]), words[: p - lo][::-1], words[p - lo + size :]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = seen.value if seen is not None else None
         for batch in batches:
-            for first, end, at, raw in chunks(batch.column(1)):
-                w = Words(at, raw)
+            for first, end, at, raw in chunks(batch.column(1), CHUNK_BYTES):
                 n = end - first
-                ids = batch.column(0).slice(first, n)
-                yield _batch(ids, [0] * n, [0] * n, w.counts(), [""] * n, [[]] * n, [[]] * n)
-                marks = found(w, known)
-                while part := list(islice(marks, MARKS)):
-                    r, *cols = zip(*part, strict=True)
-                    yield _batch(ids.take(pa.array(r, pa.int64())), *cols)
+                ids, counts = batch.column(0).slice(first, n), None
+                # a long text comes in parts that share all but one of a window's words, so that every window lies in one of them
+                for before, w in parts(raw, window - 1, CHUNK_BYTES) if len(raw) > CHUNK_BYTES else [(0, Words(at, raw))]:
+                    counts = before + w.counts()
+                    marks = found(w, known, before)
+                    while part := list(islice(marks, MARKS)):
+                        r, *cols = zip(*part, strict=True)
+                        yield _batch(ids.take(pa.array(r, pa.int64())), *cols)
+                yield _batch(ids, [0] * n, [0] * n, counts, [""] * n, [[]] * n, [[]] * n)
 
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, {_HITS}")
@@ -95,7 +97,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 8, k: int = 5
     window.  Returns, for each row of ``docs``, repeated and null ids included:
     doc_id, n_words, n_hit (words inside any occurrence), n_items, item_ids (sorted
     strings), spans (merged word ranges), contaminated (n_items >= least_items).
-    Null texts have no words; items with null ids count for hits but aren't listed.
+    Null texts have no words; long ones are worked on in parts; items with null ids count for hits but aren't listed.
     Needs 1 <= k <= window.
     """
     short_of = lambda df: [r[0] for r in df.where(f"m > 0 and m < {window}").select("m").distinct().collect()]  # noqa: E731  under ``window`` rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -85,6 +86,33 @@ class Words:
         return [self.low[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(self.start[i:j].tolist(), self.end[i:j].tolist(), strict=True)]
 
 
+def parts(raw: np.ndarray, shared: int, size: int) -> Iterator[tuple[int, Words]]:
+    """One text in parts of about ``size`` bytes, as (words before the part, its words).
+
+    Every part but the first starts with the last ``shared`` words of the one before and has a word more at least; a part is cut
+    between words and has ``shared`` words and one more, so it grows where words are very long.
+    """
+    lo, before, least = 0, 0, 0
+    while True:
+        hi, step = lo, size
+        while True:
+            hi = min(len(raw), hi + step)
+            while hi < len(raw) and WORD[LOWER[raw[hi - 1 : hi + 1]]].all():  # inside a word
+                ahead = np.flatnonzero(~WORD[LOWER[raw[hi : hi + 4096]]])
+                hi = min(len(raw), hi + (int(ahead[0]) if len(ahead) else 4096))
+            w = Words(np.array([0, hi - lo]), raw[lo:hi])
+            if hi == len(raw) or len(w.start) > shared:
+                break
+            step *= 2
+        if len(w.start) > least or not before:
+            yield before, w
+        if hi == len(raw):
+            return
+        skip, least = len(w.start) - shared, shared
+        before += skip
+        lo = lo + int(w.start[skip]) if shared else hi
+
+
 def winnow(grams: np.ndarray, whole: np.ndarray, window: int) -> np.ndarray:
     """Positions of the least gram of every window of ``window`` grams, the last of equal ones.
 

@@ -4,10 +4,11 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 import xxhash
-from docweave.llm import common, decontaminate, oracles, queries
+from docweave.llm import common, decontaminate, oracles, queries, words
 from docweave.llm.decontaminate import contamination
 from docweave.llm.mixing import mix
 from docweave.llm.simhash import fingerprint, near_duplicates, within
@@ -62,6 +63,33 @@ def key(rows):
     return sorted(rows, key=repr)
 
 
+def test_parts_of_long_texts():
+    rng = np.random.default_rng(3)
+    pieces = ["ab", "c", "Z", " ", "  ", ".", "é", "word", " and ", "longlonglonglonglong", "\n"]
+    for _ in range(500):
+        raw = np.frombuffer("".join(rng.choice(pieces, rng.integers(0, 80))).encode(), np.uint8)
+        whole = words.Words(np.array([0, len(raw)]), raw)
+        every = whole.slice(0, int(whole.counts()[0]))
+        size, shared, end = int(rng.integers(1, 60)), int(rng.integers(0, 8)), 0
+        for i, (before, w) in enumerate(words.parts(raw, shared, size)):
+            n = int(w.counts()[0])
+            assert w.slice(0, n) == every[before : before + n] and before == (end - shared if i else 0) and (not i or n > shared)
+            end = before + n
+        assert end == len(every)
+
+
+def test_contamination_of_long_texts_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHUNK_BYTES", 64)
+    rng = random.Random(5)
+    vocab = ["a", "b", "É9", "x1"]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.choice([2, 5, 7, 8, 9, 14, 90])))) for i in range(12)] + [(50, "a b " * 3 + "." * 200), (51, "." * 300 + "x1 a")]
+    docs = [(i, ("-" * rng.choice([1, 1, 9])).join(rng.choices(vocab, k=rng.choice([4, 8, 60, 300])))) for i in range(30)]
+    docs += [(97, "q" * 1000), (98, "." * 1000), (99, items[6][1] + " " + "q" * 500 + " " + items[6][1])]
+    got = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    rows = [(r.doc_id, r.n_words, r.n_hit, r.n_items, list(r.item_ids), r.contaminated) for r in got]
+    assert key(rows) == key(brute_contamination(docs, items))
+
+
 def test_contamination_edges(spark):
     rng = random.Random(3)
     vocab = ["a", "b", "É9", "x1"]
