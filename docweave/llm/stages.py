@@ -57,7 +57,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> Data
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
             for first, end, at, raw in chunks(batch.column(where)):
-                keep[first:end] = machine.score(machine.best(*toxicity.encode(at, raw))) < least
+                keep[first:end] = machine.scores(at, raw) < least
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

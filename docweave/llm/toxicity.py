@@ -91,12 +91,28 @@ def encode(at: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, ends + WINDOW * np.arange(rows + 1)
 
 
+def encode_long(raw: np.ndarray, size: int = CHUNK_BYTES) -> np.ndarray:
+    """Symbols of one text as ``encode`` gives them, made from parts of about ``size`` bytes, so that little more than the symbols is held."""
+    parts, lo, gap = [], 0, _TO == 0
+    while lo < len(raw):
+        hi = min(len(raw), lo + size)
+        while hi < len(raw) and hi > lo + 1 and raw[hi] & 0xC0 == 0x80:  # characters stay whole
+            hi -= 1
+        part = encode(np.array([0, hi - lo]), raw[lo:hi])[0][:-WINDOW]
+        # of the gaps that encode puts around a part, those stay that are in the text, once each
+        first = int(lo > 0 and bool(not gap[raw[lo]] or gap[raw[lo - 1]]))
+        last = int(hi < len(raw) and not gap[raw[hi - 1]])
+        parts.append(part[first : len(part) - last])
+        lo = hi
+    return np.concatenate([*parts, np.zeros(WINDOW, np.uint8)]) if parts else encode(np.array([0, 0]), raw)[0]
+
+
 def codes(s: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
     """Code of the subsequence at these offsets from every position on; beyond the end are gaps."""
     out = s.astype(np.int32)
     for o in offsets:
         out *= SYMBOLS
-        out[: len(s) - o] += s[o:]
+        out[: max(0, len(s) - o)] += s[o:]
     return out
 
 
@@ -154,10 +170,36 @@ class Machine:
             np.add.at(hits, row, _hit(found))
         return np.column_stack([np.clip(top, -3, 3), np.log((hits + PRIOR_HITS) / (words + PRIOR_WORDS))])
 
+    def best_long(self, s: np.ndarray, size: int = CHUNK_BYTES) -> np.ndarray:
+        """As ``best`` for one text of any length (symbols of ``encode_long``), ``size`` windows at a time."""
+        top, hits = -np.inf, 0.0
+        words = max(1, len(s) - WINDOW - int(np.count_nonzero(s)))  # gaps
+        for lo in range(0, len(s), size):
+            hi = min(len(s), lo + size)
+            value = self.windows(s[lo : hi + WINDOW])[: hi - lo][_leads(s, lo, hi)]
+            if len(value):
+                top, hits = max(top, float(value.max())), hits + float(_hit(value).sum())
+        spelled, ends, row = _spelled(s, np.array([0, len(s)]))
+        found = np.full(len(row), -np.inf)
+        for lo in range(0, len(spelled), size):
+            hi = min(len(spelled), lo + size)
+            value = self.windows(spelled[lo : hi + WINDOW])[: hi - lo]
+            k = np.arange(np.searchsorted(ends, lo, "right") - 1, np.searchsorted(ends, hi, "left"))
+            np.maximum.at(found, k, np.maximum.reduceat(value, np.maximum(ends[k] - lo, 0)))
+        if len(row):
+            top, hits = max(top, float(found.max())), hits + float(_hit(found).sum())
+        return np.array([[np.clip(top, -3, 3), np.log((hits + PRIOR_HITS) / (words + PRIOR_WORDS))]])
+
     def score(self, best: np.ndarray) -> np.ndarray:
         value = np.maximum(best @ np.array(self.weights) - self.middle, best[:, 0] * self.alone[0] - self.alone[1])
         return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
 
+    def scores(self, at: np.ndarray, raw: np.ndarray, size: int = CHUNK_BYTES) -> np.ndarray:
+        """Scores of the texts of a chunk; one of more than ``size`` bytes comes alone and is worked on in parts."""
+        if len(raw) > size and len(at) == 2:
+            return self.score(self.best_long(encode_long(raw, size), size))
+        return self.score(self.best(*encode(at, raw)))
+
 
 def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     data = [t.encode("utf-8", "replace") for t in texts]
@@ -175,6 +217,7 @@ def _parts_of(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
             start, size = k + 1, 0
 
 
+
 def _starts(s: np.ndarray) -> np.ndarray:
     """Where windows start: before every run, and at each letter of a run that is longer than a window until one reaches its end."""
     gaps = np.flatnonzero(s == 0)
@@ -183,6 +226,18 @@ def _starts(s: np.ndarray) -> np.ndarray:
     return np.arange(many.sum()) + np.repeat(gaps[:-1] - (np.cumsum(many) - many), many)
 
 
+def _leads(s: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Whether a window starts at each position from ``lo`` to ``hi`` of one text: as ``_starts`` says, and at the start of the text."""
+    near = np.concatenate([np.zeros(int(lo == 0), np.uint8), s[max(lo - 1, 0) : hi + WINDOW]])
+    gap = np.concatenate([near == 0, np.ones(WINDOW + 1, bool)])
+    seen = np.concatenate([[0], np.cumsum(gap, dtype=np.int32)])
+    p = np.arange(1, 1 + hi - lo)
+    inside = (seen[p + WINDOW - 1] == seen[p]) & ~(gap[p - 1] & gap[p + WINDOW - 1])
+    out = np.where(gap[p], ~gap[p + 1], inside)
+    out[: int(lo == 0)] = True
+    return out
+
+
 def _spelled(s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words that are spelled with a gap after every letter, without these gaps: symbols and offsets as of encode, and their rows."""
     gaps = np.flatnonzero(s == 0)
@@ -449,7 +504,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, key:
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     """``docs`` without ``text`` and with score (0 to 1) of the whole text, from its best window and the share of its words that are hits.
 
-    Null and empty texts score as a window of nothing does.  Rows are scored one by one, repeated ones too, and other
+    Null and empty texts score as a window of nothing does; long ones are worked on in parts, windows across parts included.  Rows are scored one by one, repeated ones too, and other
     columns stay but for one named ``score``, which is replaced; an empty table gives an empty table.
     """
     keep = [c for c in docs.columns if c not in (text, "score")]
@@ -457,7 +512,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, at, raw in chunks(batch.column(batch.num_columns - 1)):
-                found = machine.score(machine.best(*encode(at, raw)))
+                found = machine.scores(at, raw)
                 part = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found)], names=[*keep, "score"])
 

@@ -4,6 +4,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -366,6 +367,35 @@ def test_toxicity_tolerates_words_never_distorted(monkeypatch):
     assert score(["ba lo ren so", "madi vek", "tirensomabalo so"]).max() < 0.3
 
 
+def test_toxicity_of_long_texts_in_parts():
+    rng = np.random.default_rng(3)
+    table = rng.normal(0, 0.4, toxicity.SYMBOLS**toxicity.LENGTH).astype(np.float32)
+    machine = toxicity.Machine(table, -0.5, (1.0, 1.0), 0.0, (1.0, 1.0))
+    pieces = ["a", "b", "Z", " ", "  ", ".", "é", "É", "ж", "3", "a b c d e ", "abcdefghij ", "abcdefghijklmnop", "漢", "🙂", "\n", " abcdefghi "]
+    for _ in range(400):
+        raw = np.frombuffer("".join(rng.choice(pieces, rng.integers(0, 60))).encode(), np.uint8)
+        size, at = int(rng.integers(4, 40)), np.array([0, len(raw)])
+        s, _ = toxicity.encode(at, raw)
+        assert np.array_equal(toxicity.encode_long(raw, size), s)
+        lead = np.zeros(len(s), bool)
+        lead[toxicity._starts(s)] = True
+        lead[0] = True
+        assert np.array_equal(np.concatenate([toxicity._leads(s, lo, min(lo + size, len(s))) for lo in range(0, len(s), size)]), lead)
+        np.testing.assert_allclose(machine.scores(at, raw, size), machine.score(machine.best(*toxicity.encode(at, raw))), atol=1e-9)
+
+
+@pytest.mark.parametrize("text", ["some words, of 4 letters. ", "x", "a b c d e f "])
+def test_toxicity_memory_of_a_long_text(text):
+    table = np.zeros(toxicity.SYMBOLS**toxicity.LENGTH, np.float32)
+    machine = toxicity.Machine(table, -0.5, (1.0, 1.0), 0.0, (1.0, 1.0))
+    raw = np.frombuffer((text * (16_000_000 // len(text))).encode(), np.uint8)
+    tracemalloc.start()
+    machine.scores(np.array([0, len(raw)]), raw)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < {"a": 30, "x": 6, "s": 10}[text[0]] * len(raw)
+
+
 def test_toxicity_score_is_brute_force():
     """Evidence of whole texts from its definition, window by window."""
     machine = toxicity.train(*sentences(300, 3))
