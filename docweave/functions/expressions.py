@@ -17,7 +17,12 @@ from ..mapping import Combined, Condition, MappingError, Prop
 
 def united(c: Column) -> Column:
     """Union of sorted arrays.  Equal arrays become one before the shuffle, so a buffer holds different ones only."""
-    return F.sort_array(F.array_distinct(F.flatten(F.collect_set(c))))
+    return merged(F.collect_set(c))
+
+
+def merged(c: Column) -> Column:
+    """Union of the sorted arrays in an array."""
+    return F.sort_array(F.array_distinct(F.flatten(c)))
 
 
 def _set(c: Column, array: bool) -> Column:

@@ -25,9 +25,9 @@ TOP, PROJECT = "program", "project"
 class Lineage:
     """(near, project_id, a sorted set for each injected property) by node type.
 
-    Node types are worked out from the projects down, each once.  All links of a type to what lies above are
-    one join, and where links stand in the node's own row its table is read once for
-    links and properties.  With ``kept``, a type that several others hang below is persisted and added to it.
+    Node types are worked out from the projects down, each once.  Where links stand in the node's own row, its table is
+    read once for links and properties, and what lies above several links is merged in that row; elsewhere all links of
+    a type are one join and one grouping.  With ``kept``, a type that several others hang below is persisted and added to it.
     """
 
     def __init__(self, source: GraphSource, doc: Document, kept: list[DataFrame] | None = None) -> None:
@@ -92,6 +92,8 @@ class Lineage:
             if hasattr(self.source, "child_rows") and self.source.one_row(label):
                 return self._read(label, hop, read).join(above, "far").drop("far")
             df = pairs(self.source, hop).join(above, "far").drop("far")
+        elif hasattr(self.source, "node_with_links"):
+            return self._in_rows(label, found, read)
         else:
             above = None
             for i, (_, part) in enumerate(found):
@@ -104,6 +106,32 @@ class Lineage:
         df = df.groupBy("near", "project_id").agg(*merge) if merge else df.distinct()
         return self._joined(label, df, read)
 
+    def _in_rows(self, label: str, found: list[tuple[Hop, DataFrame]], read: list[str]) -> DataFrame:
+        """What lies above several links that stand in the node's row: each row is joined with one row for each link and merged by itself.
+
+        Equal rows of a table without a key are one node.
+        """
+        links = [h.link for h, _ in found]
+        raw = {p: f"_src_{p}" for p in read}
+        df = self.source.node_with_links(label, read, links).withColumnRenamed(id_column(label), "near").withColumnsRenamed(raw)
+        if not self.source.one_row(label):
+            df = df.dropDuplicates(["near"])
+        types = {c: t for _, above in found for c, t in above.dtypes if c not in ("near", "project_id")}
+        for i, (hop, above) in enumerate(found):
+            have = [F.col(c) if c in above.columns else F.array().cast(t).alias(c) for c, t in types.items()]
+            parents = above.groupBy(F.col("near").alias("far")).agg(F.collect_list(F.struct("project_id", *have)).alias(f"_above_{i}"))
+            df = _linked(df, f"_up_{hop.link.name}", parents)
+        every = F.concat(*[F.coalesce(f"_above_{i}", F.array()) for i in range(len(found))])
+        df = df.select("near", *raw.values(), every.alias("_above"))
+
+        def merged(project: Column) -> Column:
+            same = F.filter("_above", lambda x: x["project_id"] == project)
+            return F.struct(project.alias("project_id"), *[E.merged(same[c]).alias(c) for c in types])
+
+        projects = F.array_distinct(F.col("_above")["project_id"])
+        apart = F.size(projects) == F.size("_above")  # as they nearly always are; then nothing is merged
+        return df.select("near", *raw.values(), F.inline(F.when(apart, F.col("_above")).otherwise(F.transform(projects, merged))))
+
     def _project(self, read: list[str]) -> DataFrame:
         hop = next((h for h in self.model.up(PROJECT) if h.end == TOP), None)
         if hop is None:
@@ -120,6 +148,14 @@ class Lineage:
         return df.withColumn("project_id", E.project_id(F.col("_program"), F.col("_src_code"))).drop("_program", *([] if "code" in wanted else ["_src_code"]))
 
 
+def _linked(df: DataFrame, up: str, parents: DataFrame) -> DataFrame:
+    """``df`` left joined with ``parents`` (far, ...) on ``up``.  Rows without a parent are spread over all tasks by a key that matches nothing."""
+    if dict(df.dtypes)[up] != "bigint":
+        return df.join(parents.withColumnRenamed("far", up), up, "left").drop(up)
+    df = df.withColumn("_key", F.coalesce(up, F.xxhash64("near")))
+    return df.join(parents, (F.col("_key") == F.col("far")) & F.col(up).isNotNull(), "left").drop("_key", "far", up)
+
+
 def compile_collector(source: GraphSource, doc: Document, kept: list[DataFrame] | None = None) -> DataFrame:
     """``_<doc_type>_id``, project_id, source_node, the properties, and the injected sets.
 

@@ -20,13 +20,7 @@ def pairs(source: GraphSource, hop: Hop) -> DataFrame:
 
 
 def upward(source: GraphSource, hops: list[Hop]) -> DataFrame:
-    """(near, which, far): the pairs of several hops up from one node type, ``which`` being a hop's number.
-
-    A source that keeps links in the child's own row (``link_rows``) reads it once for all.
-    """
-    if hasattr(source, "link_rows"):
-        rows = source.link_rows(hops[0].start, [h.link for h in hops])
-        return rows.select(F.col("child").alias("near"), "which", F.col("parent").alias("far"))
+    """(near, which, far): the pairs of several hops up from one node type, ``which`` being a hop's number."""
     out = None
     for i, hop in enumerate(hops):
         step = pairs(source, hop).withColumn("which", F.lit(i))

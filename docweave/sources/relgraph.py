@@ -96,12 +96,6 @@ class RelationalSource:
         """Whether a node is one row of its table, which holds its links."""
         return len(NODES[child][2]) == 1
 
-    def link_rows(self, child: str, links: Iterable[Link]) -> DataFrame:
-        """(child, which, parent) for several links of a child, ``which`` being a link's number: its table is read once."""
-        table, _, _, of = NODES[child]
-        ways = [F.struct(F.lit(i).alias("which"), F.col(of[link.name][2]).cast("bigint").alias("parent")) for i, link in enumerate(links)]
-        return self.table(table).select(self._key(child).alias("child"), F.inline(F.array(*ways))).where("parent is not null")
-
     def node_with_links(self, label: str, props: Iterable[str], links: Iterable[Link]) -> DataFrame:
         """``node`` with the parent's id of each of these links as ``_up_<link>``, null where there is none."""
         table, _, _, of = NODES[label]

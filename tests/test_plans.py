@@ -71,6 +71,29 @@ def test_lineage_is_read_once(spark, no_broadcast, name):
     assert set(tables.values()) == {1} and exchanges <= 13
 
 
+@pytest.mark.parametrize("name", ["collector_union", "collector_lineage", "collector_diamond", "collector_single_parent"])
+def test_lines_are_read_once_and_merged_in_their_rows(spark, no_broadcast, name):
+    tables, _ = scans(text := ran(spark, name))
+    assert tables["lineitem"] == 1
+    lines = len(spark.read.parquet(f"{D}/lineitem.parquet").collect())
+    df = plans.queries()[name](spark, D)
+    df.collect()
+    dealt = [int(n) for n in rows_dealt(df._jdf.queryExecution().executedPlan())]
+    assert max(dealt) <= lines and "collect_set" not in text  # no row for each of a line's parents is dealt out
+
+
+def rows_dealt(plan):
+    """Rows that each exchange of an executed plan wrote."""
+    out, todo = [], [plan.executedPlan()]
+    while todo:
+        at = todo.pop()
+        metric = at.metrics().get("shuffleRecordsWritten")
+        if metric.isDefined():
+            out.append(metric.get().value())
+        todo += [at.plan()] if "QueryStage" in at.getClass().getSimpleName() else [at.children().apply(i) for i in range(at.children().size())]
+    return out
+
+
 def test_documents_read_each_table_once(spark, no_broadcast):
     tables, exchanges = scans(ran(spark, "subject_document"))
     assert set(tables) >= {"customer", "orders", "lineitem", "events", "nation", "region"} and set(tables.values()) == {1} and exchanges <= 9

@@ -63,3 +63,16 @@ def test_customers_without_orders_and_broken_quantities(spark, tmp_path):
     )
     assert con.sql("SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)").fetchall()[0][0] > 0
     test_query(spark, (d, con), "nested_two_level")
+
+
+@pytest.mark.parametrize("name", ["collector_diamond", "collector_lineage", "collector_single_parent"])  # the SQL of collector_union has lines with both parents only
+def test_lines_without_parents_twice_or_under_one_project(spark, tmp_path, name):
+    d, con = odd_tables(
+        tmp_path,
+        supplier="SELECT * REPLACE (CASE WHEN s_suppkey % 2 = 0 THEN 3 ELSE s_nationkey END AS s_nationkey) FROM supplier WHERE s_suppkey % 5 <> 1",
+        customer="SELECT * REPLACE (CASE WHEN c_custkey % 2 = 0 THEN 3 ELSE c_nationkey END AS c_nationkey) FROM customer WHERE c_custkey % 7 <> 0",
+        orders="SELECT * FROM orders WHERE o_orderkey % 11 <> 0",
+        lineitem="WITH l AS (SELECT * REPLACE (CASE WHEN l_linenumber <> 2 THEN l_orderkey END AS l_orderkey, CASE WHEN l_linenumber % 3 > 0 THEN l_suppkey END AS l_suppkey) FROM lineitem) "
+        "SELECT * FROM l UNION ALL SELECT * FROM l WHERE l_orderkey IS NULL OR l_orderkey % 3 = 0",
+    )
+    test_query(spark, (d, con), name)
