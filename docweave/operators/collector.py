@@ -115,7 +115,7 @@ class Lineage:
         raw = {p: f"_src_{p}" for p in read}
         df = self.source.node_with_links(label, read, links).withColumnRenamed(id_column(label), "near").withColumnsRenamed(raw)
         if not self.source.one_row(label):
-            df = df.dropDuplicates(["near"])
+            df = df.repartition("near").dropDuplicates(["near"])  # not before rows are dealt out, where few are equal
         types = {c: t for _, above in found for c, t in above.dtypes if c not in ("near", "project_id")}
         for i, (hop, above) in enumerate(found):
             have = [F.col(c) if c in above.columns else F.array().cast(t).alias(c) for c, t in types.items()]
